@@ -16,10 +16,10 @@ from fieldrank.roles import DEFAULT_ROLES, Roles
 from fieldrank.sources import landing
 from fieldrank.sources.store import (
     Load,
+    find_table,
     merged,
     read_dates,
     read_snapshots,
-    table_exists,
     write_snapshots,
 )
 
@@ -99,10 +99,10 @@ def _with_earlier_files(rows: DataFrame, tables: Tables, chain: Chain) -> DataFr
     """Add what earlier files brought for the same dates. Rows of a file that
     comes again are replaced, so a repeated batch changes nothing."""
     spark = rows.sparkSession
-    if not table_exists(spark, tables.flat):
+    flat = find_table(spark, tables.flat, merge_schema=True)
+    if flat is None:
         return rows
     batch = materialise(rows, dates=F.collect_set("snapshot_date"))
-    flat = read_snapshots(spark, tables.flat, merge_schema=True)
     earlier = on_dates(flat, batch.observed["dates"] or [])
     files = materialise(batch.df.select("file_path").distinct())
     kept = join_stored(earlier, files, ["file_path"], "left_anti", salt_by=list(chain.rules.key))
@@ -122,11 +122,11 @@ def refresh(
     cleaned = read_snapshots(spark, tables.cleaned).select(*roles.columns)
     board = leaderboard(read_dates(spark, tables.cleaned, dates), roles=roles)
     write_snapshots(board, tables.leaderboard, contract="leaderboard")
-    if table_exists(spark, tables.trends):
-        current = read_snapshots(spark, tables.trends)
-        changed = trends_after(cleaned, current, dates, roles)
-    else:
+    current = find_table(spark, tables.trends)
+    if current is None:
         changed = trends(cleaned, roles)
+    else:
+        changed = trends_after(cleaned, current, dates, roles)
     write_snapshots(changed, tables.trends, contract="trends")
 
 

@@ -91,11 +91,12 @@ def load_history(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(_AUDIT).parquet(_audit_root(root))
 
 
-def table_exists(spark: SparkSession, root: str) -> bool:
+def find_table(spark: SparkSession, root: str, merge_schema: bool = False) -> DataFrame | None:
+    """The table, or None while nothing has been written."""
     try:
-        return DAY in spark.read.parquet(root).columns
+        return read_snapshots(spark, root, merge_schema=merge_schema)
     except AnalysisException:
-        return False
+        return None
 
 
 def read_snapshots(

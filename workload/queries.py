@@ -106,10 +106,8 @@ def incomplete_records(spark, sf_dir):
             F.struct(F.col("p_brand").alias("slug")).alias("model_creator"),
         )).alias("record")
     )
-    absent = landing.incomplete_records(short)
-    return absent.groupBy(F.explode("missing").alias("key")).agg(
-        F.count(F.lit(1)).alias("n_records")
-    )
+    absent = landing.incomplete_records(short).select(F.explode("missing").alias("key"))
+    return absent.groupBy("key").agg(F.count(F.lit(1)).alias("n_records"))
 
 
 def clean_snapshots(spark, sf_dir):
