@@ -13,11 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fieldrank.materialise import materialise
+from fieldrank.materialise import join_stored, materialise
 from fieldrank.operators.ranking import keep_first
 from fieldrank.operators.statistics import with_mean_price
 from fieldrank.roles import DEFAULT_ROLES, Roles
 
+# How far back the previous row is looked for before the whole history is read.
+LOOKBACK_DAYS = 7
+
 
 def _tracked(roles: Roles) -> dict[str, str]:
     return {"quality": roles.quality, "speed": roles.speed, "price": "mean_price"}
@@ -53,6 +56,7 @@ def trends_after(
     current: DataFrame,
     changed: list[dt.date],
     roles: Roles = DEFAULT_ROLES,
+    lookback_days: int = LOOKBACK_DAYS,
 ) -> DataFrame:
     """The partitions of a trends table that new or reloaded dates change.
 
@@ -73,13 +77,10 @@ def trends_after(
     before = current.where(F.col(day).isin(changed)).select(entity)
     affected = now.union(before).distinct()
 
-    # Their rows from the first change on, plus the one row before it. The
-    # group limit leaves one row per entity and task of the older history.
-    history = keep_first(
-        cleaned.where(F.col(day) < F.lit(first)), [entity], [F.col(day).desc()]
-    )
-    window = cleaned.where(F.col(day) >= F.lit(first)).unionByName(history)
-    redone = trends(window.join(affected, entity, "left_semi"), roles)
+    # Their rows from the first change on, plus the one row before it.
+    earlier = _last_rows_before(cleaned, first, affected, roles, lookback_days)
+    window = cleaned.where(F.col(day) >= F.lit(first)).join(affected, entity, "left_semi")
+    redone = trends(window.unionByName(earlier), roles)
     follows = F.col(day).isin(changed) | F.col("prev_snapshot_date").isin(changed)
     # A row also follows a change when the reload took its old predecessor away.
     later = current.where(F.col(day) >= F.lit(first))
@@ -100,3 +101,33 @@ def trends_after(
         fresh.df.select(entity, day), [entity, day], "left_anti"
     )
     return materialise(fresh.df.unionByName(kept.select(*fresh.df.columns))).df
+
+
+def _last_rows_before(
+    cleaned: DataFrame,
+    first: dt.date,
+    affected: DataFrame,
+    roles: Roles,
+    lookback_days: int,
+) -> DataFrame:
+    """Each affected entity's newest row before ``first``.
+
+    Most entities were there in the last few days, so those partitions are read
+    first; the long history is read only for the entities not found in them.
+    """
+    day, entity = roles.snapshot_date, roles.entity_id
+    start = first - dt.timedelta(days=lookback_days)
+    newest = [F.col(day).desc()]
+    past = cleaned.where(F.col(day) < F.lit(first))
+    recent = materialise(
+        keep_first(past.where(F.col(day) >= F.lit(start)), [entity], newest).join(
+            affected, entity, "left_semi"
+        )
+    )
+    unseen = materialise(affected.join(recent.df, entity, "left_anti"))
+    if not unseen.rows:
+        return recent.df
+    older = join_stored(
+        past.where(F.col(day) < F.lit(start)), unseen, [entity], "left_semi", salt_by=[day]
+    )
+    return recent.df.unionByName(keep_first(older, [entity], newest))

@@ -87,9 +87,9 @@ def load_envelopes(envelopes: DataFrame, tables: Tables, chain: Chain) -> Load:
     flat = write_snapshots(rows, tables.flat)
     if not flat.rows:
         return flat
+    arrived = read_dates(spark, tables.flat, flat.dates, merge_schema=True)
     cleaned = write_snapshots(
-        clean(read_dates(spark, tables.flat, flat.dates), chain.rules),
-        tables.cleaned, contract="cleaned", open_columns=True,
+        clean(arrived, chain.rules), tables.cleaned, contract="cleaned", open_columns=True
     )
     refresh(spark, tables, cleaned.dates, chain.roles)
     return cleaned
@@ -121,7 +121,8 @@ def refresh(
         return
     cleaned = read_snapshots(spark, tables.cleaned).select(*roles.columns)
     board = leaderboard(read_dates(spark, tables.cleaned, dates), roles=roles)
-    write_snapshots(board, tables.leaderboard, contract="leaderboard")
+    # Ranking leaves the rows of a snapshot together.
+    write_snapshots(board, tables.leaderboard, contract="leaderboard", arranged=True)
     current = find_table(spark, tables.trends)
     if current is None:
         changed = trends(cleaned, roles)

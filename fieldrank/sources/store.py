@@ -36,11 +36,13 @@ def write_snapshots(
     contract: str | None = None,
     open_columns: bool = False,
     operation: str = "replace dates",
+    arranged: bool = False,
 ) -> Load:
     """Replace exactly the dates found in ``df``; create the table if needed.
 
-    Executors write; AQE splits a large date over several tasks and packs small
-    ones. No rows means nothing is touched; a row without a date is an error. A
+    Executors write. Rows are brought together by date first, where AQE splits
+    a large date over several tasks and packs small ones; ``arranged`` says
+    they already lie by date and skips that shuffle. No rows means nothing is touched; a row without a date is an error. A
     failed write may leave some dates replaced and others not; running it again
     settles that. ``df`` must not read ``root`` itself: write such a result
     somewhere first.
@@ -50,10 +52,11 @@ def write_snapshots(
         check_contract(df, contract, open_columns)
     seen = Observation()
     undated = F.raise_error(F.lit(f"row without {day}"))
+    dated = df.withColumn(day, F.coalesce(F.col(day), undated.cast("date"))).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.collect_set(day).alias("dates")
+    )
     (
-        df.withColumn(day, F.coalesce(F.col(day), undated.cast("date")))
-        .observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(day).alias("dates"))
-        .hint("rebalance", day)
+        (dated if arranged else dated.hint("rebalance", day))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(day)
@@ -121,14 +124,15 @@ def read_snapshots(
 
 
 def read_dates(
-    spark: SparkSession, root: str, dates: list[dt.date], day: str = DAY
+    spark: SparkSession,
+    root: str,
+    dates: list[dt.date],
+    day: str = DAY,
+    merge_schema: bool = False,
 ) -> DataFrame:
-    """The named dates only, under the union of their columns.
-
-    Lists just their folders, however many the table has.
-    """
+    """The named dates only; lists just their folders, however many there are."""
     folders = [f"{root.rstrip('/')}/{day}={date}" for date in dates]
-    reader = spark.read.option("basePath", root).option("mergeSchema", True)
+    reader = spark.read.option("basePath", root).option("mergeSchema", merge_schema)
     return reader.parquet(*folders)
 
 

@@ -50,11 +50,13 @@ def build_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _stored_table(spark: SparkSession, sf_dir: str, name: str, build, contract: str) -> DataFrame:
+def _stored_table(
+    spark: SparkSession, sf_dir: str, name: str, build, contract: str, arranged: bool = False
+) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
         root = scratch_folder(spark)
-        write_snapshots(build(), root, contract=contract)
+        write_snapshots(build(), root, contract=contract, arranged=arranged)
         _stored[key] = root
     return read_snapshots(spark, _stored[key])
 
@@ -69,6 +71,7 @@ def board(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_table(
         spark, sf_dir, "board",
         lambda: leaderboard(snapshots(spark, sf_dir), exact_cuts=True), "leaderboard",
+        arranged=True,
     )
 
 
