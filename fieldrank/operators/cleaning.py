@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +45,24 @@ def _typed_column(item: T.StructField, rules: CleaningRules) -> Column:
     return column.alias(item.name)
 
 
+def cast_losses(df: DataFrame, rules: CleaningRules) -> DataFrame:
+    """Per listed column, how many values the casts could not read.
+
+    A zero that means "not measured" is read, so it is no loss.
+    """
+    names = [n for n in (*rules.dates, *rules.numbers, *rules.zero_is_missing) if n in df.columns]
+    reading = {n: _typed_column(df.schema[n], _without_zeros(rules)) for n in names}
+    counts = df.agg(*(
+        F.count_if(F.col(n).isNotNull() & reading[n].isNull()).alias(n) for n in names
+    ))
+    pairs = [F.struct(F.lit(n).alias("column_name"), F.col(n).alias("unreadable")) for n in names]
+    return counts.select(F.inline(F.array(*pairs)))
+
+
+def _without_zeros(rules: CleaningRules) -> CleaningRules:
+    return replace(rules, numbers=rules.numbers + rules.zero_is_missing, zero_is_missing=())
+
+
 def with_identity(df: DataFrame, columns: tuple[str, ...] | list[str]) -> DataFrame:
     """Drop rows that cannot be told apart: an identity column is null."""
     for name in columns:

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from fieldrank.materialise import Stored, join_stored, materialise
 
 # Largest group that is sorted inside one task.
-WINDOW_ROWS = 5_000_000
+WINDOW_ROWS = 2_000_000
 
 # monotonically_increasing_id() keeps the task above this bit, the row below it.
 _TASK_SHIFT = 33
@@ -77,23 +77,68 @@ def _number_large(df: DataFrame, group: list[str], order: list[Column], out: str
         .withColumn("_place", F.monotonically_increasing_id())
     ).df.withColumn("_task", F.shiftright("_place", _TASK_SHIFT))
 
-    # One run per task and group: ranges are contiguous, so there are at most
-    # as many runs as tasks plus groups.
+    runs = _run_starts(placed, group, F.count(F.lit(1)), _first=F.min("_place"))
+    number = F.col("_place") - F.col("_first") + F.col("_before") + 1
+    return (
+        join_stored(placed, materialise(runs), [*group, "_task"], salt_by=["_place"])
+        .withColumn(out, number.cast("int"))
+        .drop("_task", "_place", "_first", "_before")
+    )
+
+
+def distribution(
+    df: DataFrame,
+    group: list[str],
+    value: str,
+    largest: int | None,
+    window_rows: int | None = None,
+) -> DataFrame:
+    """How often each value occurs in its group (``n_equal``), and how many
+    rows of the group have it or a lower one (``n_upto``).
+
+    Equal values are counted before the shuffle, so a group is as large here as
+    its number of different values.
+    """
+    limit = WINDOW_ROWS if window_rows is None else window_rows
+    counts = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("n_equal"))
+    upto = Window.partitionBy(*group).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    if (largest or 0) <= limit:
+        return counts.withColumn("n_upto", F.sum("n_equal").over(upto))
+    counts = materialise(counts).df
+    if (group_sizes(counts, group).observed["largest"] or 0) <= limit:
+        return counts.withColumn("n_upto", F.sum("n_equal").over(upto))
+
+    # Too many different values for one task: add up inside ranges of them.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = materialise(
+        counts.repartitionByRange(tasks, *group, value).withColumn("_task", F.spark_partition_id())
+    ).df
+    inside = Window.partitionBy(*group, "_task").orderBy(value).rowsBetween(
+        Window.unboundedPreceding, 0
+    )
+    runs = materialise(_run_starts(placed, group, F.sum("n_equal")))
+    return (
+        join_stored(placed, runs, [*group, "_task"], salt_by=[value])
+        .withColumn("n_upto", F.sum("n_equal").over(inside) + F.col("_before"))
+        .drop("_task", "_before")
+    )
+
+
+def _run_starts(placed: DataFrame, group: list[str], amount: Column, **extra: Column) -> DataFrame:
+    """One run per task and group, with the amount in the group's earlier runs.
+
+    Ranges are contiguous, so there are at most as many runs as tasks plus
+    groups.
+    """
     earlier = Window.partitionBy(*group).orderBy("_task").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    runs = (
+    return (
         placed.groupBy(*group, "_task")
-        .agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_run"))
+        .agg(amount.alias("_run"), *(column.alias(name) for name, column in extra.items()))
         .withColumn("_before", F.coalesce(F.sum("_run").over(earlier), F.lit(0)))
         .drop("_run")
     )
-    number = F.col("_place") - F.col("_first") + F.col("_before") + 1
-    return (
-        join_stored(placed, materialise(runs), [*group, "_task"], salt_by=["_place"])
-        .withColumn(out, number.cast("int"))
-        .drop("_task", "_place", "_first", "_before")
-    )
 
 
 def percent_ranks(
@@ -107,7 +152,7 @@ def percent_ranks(
 ) -> DataFrame:
     """Add the 0..1 percent rank of each value (``out -> value column``).
 
-    Equal values share the rank of their first row.
+    Equal values share the rank of their first row. Values are not null.
     """
     limit = WINDOW_ROWS if window_rows is None else window_rows
     small = df if (largest or 0) <= limit else df.where(F.col(size) <= limit)
@@ -117,18 +162,16 @@ def percent_ranks(
         )
     if (largest or 0) <= limit:
         return small
-    large = df.where(F.col(size) > limit)
+    rows = large = df.where(F.col(size) > limit)
     for out, value in values.items():
-        placed = _number_large(large, group, [F.col(value), F.col(tie_break)], "_number")
-        below = materialise(
-            placed.groupBy(*group, value).agg((F.min("_number") - 1).alias("_below"))
+        below = (F.col("n_upto") - F.col("n_equal")).alias("_below")
+        found = materialise(
+            distribution(rows, group, value, largest, window_rows).select(*group, value, below)
         )
+        share = F.when(F.col(size) > 1, F.col("_below") / (F.col(size) - 1)).otherwise(0.0)
         large = (
-            join_stored(placed, below, [*group, value], salt_by=[tie_break])
-            .withColumn(
-                out,
-                F.when(F.col(size) > 1, F.col("_below") / (F.col(size) - 1)).otherwise(0.0),
-            )
-            .drop("_number", "_below")
+            join_stored(large, found, [*group, value], salt_by=[tie_break])
+            .withColumn(out, share)
+            .drop("_below")
         )
     return small.unionByName(large)

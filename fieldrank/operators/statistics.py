@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from fieldrank.functions.measures import mean_price
 from fieldrank.materialise import Stored, join_stored, materialise
-from fieldrank.operators.ranking import number_rows
+from fieldrank.operators.ranking import distribution
 from fieldrank.roles import DEFAULT_ROLES, Roles
 
 # Tier cut points and the relative rank error of the quantiles.
@@ -117,22 +117,19 @@ def exact_quantiles(
 ) -> DataFrame:
     """Per snapshot, the lowest value that at least a share ``cut`` of rows reaches.
 
-    Reads the row at position ``ceil(cut * n)`` from the skew-safe numbering,
-    so no snapshot is ever held in one aggregation buffer. ``value`` must not
-    be null.
+    That is the value at position ``ceil(cut * n)``, read from the counts of
+    the different values, so no snapshot is ever held in one buffer. ``value``
+    must not be null.
     """
     day = roles.snapshot_date
-    narrow = df.select(day, roles.entity_id, value)
+    spread = distribution(
+        df.select(day, value), [day], value, statistics.largest, window_rows
+    )
     size = Stored(
         statistics.df.select(day, SIZE), statistics.stored.rows, statistics.stored.nbytes
     )
-    sized = join_stored(narrow, size, [day], salt_by=[roles.entity_id])
-    numbered = number_rows(
-        sized, [day], {"_number": [F.col(value), F.col(roles.entity_id)]},
-        SIZE, statistics.largest, window_rows,
-    )
     picks = []
     for cut, name in zip(cuts, names):
         position = F.ceil(F.col(SIZE).cast("decimal(19,0)") * F.lit(Decimal(str(cut))))
-        picks.append(F.min(F.when(F.col("_number") >= position, F.col(value))).alias(name))
-    return numbered.groupBy(day).agg(*picks)
+        picks.append(F.min(F.when(F.col("n_upto") >= position, F.col(value))).alias(name))
+    return join_stored(spread, size, [day], salt_by=[value]).groupBy(day).agg(*picks)

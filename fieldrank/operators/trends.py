@@ -100,7 +100,7 @@ def trends_after(
     kept = later.where(F.col(day).isin(following)).join(
         fresh.df.select(entity, day), [entity, day], "left_anti"
     )
-    return materialise(fresh.df.unionByName(kept.select(*fresh.df.columns))).df
+    return fresh.df.unionByName(materialise(kept.select(*fresh.df.columns)).df)
 
 
 def _last_rows_before(

@@ -16,6 +16,7 @@ from fieldrank.roles import DEFAULT_ROLES, Roles
 from fieldrank.sources import landing
 from fieldrank.sources.store import (
     Load,
+    find_dates,
     find_table,
     merged,
     read_dates,
@@ -99,20 +100,15 @@ def _with_earlier_files(rows: DataFrame, tables: Tables, chain: Chain) -> DataFr
     """Add what earlier files brought for the same dates. Rows of a file that
     comes again are replaced, so a repeated batch changes nothing."""
     spark = rows.sparkSession
-    flat = find_table(spark, tables.flat, merge_schema=True)
-    if flat is None:
-        return rows
     batch = materialise(rows, dates=F.collect_set("snapshot_date"))
-    earlier = on_dates(flat, batch.observed["dates"] or [])
+    earlier = find_dates(spark, tables.flat, batch.observed["dates"] or [], merge_schema=True)
+    if earlier is None:
+        return batch.df
     files = materialise(batch.df.select("file_path").distinct())
     kept = join_stored(earlier, files, ["file_path"], "left_anti", salt_by=list(chain.rules.key))
     return materialise(merged(kept, batch.df)).df
 
 
-def on_dates(df: DataFrame, dates: list[dt.date], day: str = DEFAULT_ROLES.snapshot_date):
-    return df.where(F.col(day).isin(dates))
-
-
 def refresh(
     spark: SparkSession, tables: Tables, dates: list[dt.date], roles: Roles = DEFAULT_ROLES
 ) -> None:

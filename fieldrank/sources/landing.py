@@ -7,6 +7,7 @@ file, or one per line (``multi_line=False``), which lets Spark split files.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -130,9 +131,17 @@ def _path_date(path: Column) -> Column:
     return F.try_to_date(F.nullif(F.regexp_extract(path, _DATE_IN_PATH, 1), F.lit("")))
 
 
-def read_landing(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """One row per envelope, with its file and date."""
-    return _envelopes(spark.read, path, multi_line)
+def read_landing(
+    spark: SparkSession, path: str, multi_line: bool = True, date: dt.date | str | None = None
+) -> DataFrame:
+    """One row per envelope, with its file and date.
+
+    ``date`` stamps all of them, for files whose path tells no date.
+    """
+    envelopes = _envelopes(spark.read, path, multi_line)
+    if date is None:
+        return envelopes
+    return envelopes.withColumn("snapshot_date", F.lit(date).cast("date"))
 
 
 def stream_landing(

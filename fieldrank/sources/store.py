@@ -94,10 +94,10 @@ def load_history(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(_AUDIT).parquet(_audit_root(root))
 
 
-def find_table(spark: SparkSession, root: str, merge_schema: bool = False) -> DataFrame | None:
+def find_table(spark: SparkSession, root: str) -> DataFrame | None:
     """The table, or None while nothing has been written."""
     try:
-        return read_snapshots(spark, root, merge_schema=merge_schema)
+        return read_snapshots(spark, root)
     except AnalysisException:
         return None
 
@@ -130,10 +130,24 @@ def read_dates(
     day: str = DAY,
     merge_schema: bool = False,
 ) -> DataFrame:
-    """The named dates only; lists just their folders, however many there are."""
-    folders = [f"{root.rstrip('/')}/{day}={date}" for date in dates]
+    """Those of the named dates that the table has.
+
+    Only their folders are listed and only their files asked for columns,
+    however many dates there are. None of them there is a path error.
+    """
+    wanted = ",".join(str(date) for date in dates)
     reader = spark.read.option("basePath", root).option("mergeSchema", merge_schema)
-    return reader.parquet(*folders)
+    return reader.parquet(f"{root.rstrip('/')}/{day}={{{wanted}}}")
+
+
+def find_dates(
+    spark: SparkSession, root: str, dates: list[dt.date], merge_schema: bool = False
+) -> DataFrame | None:
+    """As :func:`read_dates`, or None if the table has none of the dates."""
+    try:
+        return read_dates(spark, root, dates, merge_schema=merge_schema) if dates else None
+    except AnalysisException:
+        return None
 
 
 def merged(older: DataFrame, newer: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from conftest import as_dicts, as_set, day_of
 
 from fieldrank.contracts import CLEANED, contract_problems
-from fieldrank.operators.cleaning import CleaningRules, clean, dedupe, typed, with_identity
+from fieldrank.operators.cleaning import CleaningRules, cast_losses, clean, dedupe, typed, with_identity
 from fieldrank.sources.landing import record_rules
 
 RULES = CleaningRules(
@@ -36,6 +36,14 @@ def test_prices_keep_zero(spark, text, value):
     assert row["price"] == value
 
 
+def test_unreadable_values_are_counted(spark):
+    df = rows_of(
+        spark, ("a", "s", "2024-01-01", "n/a", "0", 1), ("b", "s", "yesterday", None, "slow", 1)
+    )
+    found = {r["column_name"]: r["unreadable"] for r in cast_losses(df, RULES).collect()}
+    assert found == {"snapshot_date": 1, "price": 1, "rate": 1}
+
+
 def test_columns_that_are_absent_are_skipped(spark):
     df = rows_of(spark, ("a", "s", "2024-01-01", "1", "1", 1)).drop("price", "rate")
     assert typed(df, RULES).columns == df.columns

@@ -2,6 +2,7 @@ import pytest
 from conftest import as_dicts, as_set, day_of
 from test_landing import land, record
 
+from fieldrank.__main__ import main
 from fieldrank.operators.scoring import leaderboard
 from fieldrank.operators.trends import trends
 from fieldrank.plans.daily import Chain, Tables, run_daily
@@ -115,3 +116,13 @@ def test_files_of_a_date_can_complete_each_other(spark, tmp_path, per_batch):
     assert [(row["entity_id"], row["speed"]) for row in cleaned] == [
         ("a", 10.0), ("b", 20.0), ("c", 21.0)
     ]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    land(tmp_path / "in", 1, day(1))
+    land(tmp_path / "in", 2, day(2))
+    common = [str(tmp_path / "in"), str(tmp_path / "out"), "--quality-key", "index"]
+    main([*common, "--date", "2024-01-02"])
+    assert capsys.readouterr().out == "3 rows on 1 dates\n"
+    main([*common, "--stream", str(tmp_path / "checkpoint")])
+    assert consistent(spark, Tables(str(tmp_path / "out"))).count() == 6

@@ -51,6 +51,12 @@ def test_envelopes_become_flat_rows(spark, tmp_path):
     assert rows[2]["release_date"] is None
 
 
+def test_date_can_be_given(spark, tmp_path):
+    land(tmp_path, 1, [record("a")], name="today.json")
+    envelopes = landing.read_landing(spark, str(tmp_path), date="2024-03-04")
+    assert str(landing.records(envelopes).first()["snapshot_date"]) == "2024-03-04"
+
+
 def test_lines_of_envelopes(spark, tmp_path):
     folder = tmp_path / "2024-01-03"
     lines = "\n".join(json.dumps({"data": [record(key)]}) for key in "abc")

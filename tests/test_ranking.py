@@ -1,5 +1,6 @@
 import pytest
 from conftest import as_set
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from test_scoring import random_field
 
@@ -42,7 +43,21 @@ def test_two_passes_equal_the_window_without_broadcast(skewed, monkeypatch):
     assert as_set(numbered(skewed, 500)) == expected
 
 
-@pytest.mark.parametrize("window_rows", [0, 500])
+@pytest.mark.parametrize("window_rows", [0, 5, 500])
+@pytest.mark.parametrize("value", ["score", "number"])
+def test_distribution_counts_up_to_each_value(skewed, window_rows, value):
+    rows = skewed.withColumn("number", F.col("key").cast("int"))
+    found = ranking.distribution(rows, ["grp"], value, 10_000, window_rows)
+    upto = Window.partitionBy("grp").orderBy(value).rangeBetween(Window.unboundedPreceding, 0)
+    expected = rows.select(
+        "grp", value,
+        F.count("*").over(Window.partitionBy("grp", value)).alias("n_equal"),
+        F.count("*").over(upto).alias("n_upto"),
+    ).distinct()
+    assert as_set(found) == as_set(expected)
+
+
+@pytest.mark.parametrize("window_rows", [0, 5, 500])
 def test_percent_ranks_of_large_groups(skewed, window_rows):
     sizes = ranking.group_sizes(skewed, ["grp"])
     rows = written.join_stored(skewed, sizes, ["grp"])

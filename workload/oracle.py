@@ -259,6 +259,13 @@ FROM raw GROUP BY 1"""),
 SELECT id, snapshot_date, delivery, TRY_CAST(cost_in AS DOUBLE) AS cost_in,
        TRY_CAST(cost_out AS DOUBLE) AS cost_out
 FROM raw"""),
+    "cast_losses": _with([SNAP, RAW], " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, "
+        f"COUNT(CASE WHEN {c} IS NOT NULL AND TRY_CAST({c} AS {t}) IS NULL THEN 1 END) AS unreadable "
+        "FROM raw"
+        for c, t in (("snapshot_date", "DATE"), ("cost_in", "DOUBLE"), ("cost_out", "DOUBLE"),
+                     ("rate", "DOUBLE"))
+    )),
     "identity_filter": _with([SNAP, RAW], """
 SELECT delivery, COUNT(*) AS n_rows FROM raw
 WHERE id IS NOT NULL AND slug IS NOT NULL GROUP BY 1"""),

@@ -132,6 +132,10 @@ def safe_cast(spark, sf_dir):
     return typed.select("id", "snapshot_date", "delivery", "cost_in", "cost_out")
 
 
+def cast_losses(spark, sf_dir):
+    return cleaning.cast_losses(fx.raw_rows(spark, sf_dir), fx.RAW_RULES)
+
+
 def identity_filter(spark, sf_dir):
     return cleaning.with_identity(fx.raw_rows(spark, sf_dir), ["id", "slug"]).groupBy(
         "delivery"
@@ -441,7 +445,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         flatten_nested, map_spread, measurements_spread, landing_read, landing_rejects,
         incomplete_records, clean_snapshots, dedupe_latest, sentinel_to_null, safe_cast,
-        identity_filter, snapshot_slice, table_health, table_summary, null_check,
+        cast_losses, identity_filter, snapshot_slice, table_health, table_summary, null_check,
         partition_reload, load_audit, merged_schema, merged_frames, scorable_filter,
         snapshot_stats, price_quantiles_exact, price_quantiles_two_pass, price_quantiles_approx,
         minmax_norm, inverse_norm, composite_score, composite_rank, composite_rank_two_pass,
