@@ -1,0 +1,86 @@
+"""The physical plans that the operators are meant to have."""
+
+import pytest
+from pyspark.sql import functions as F
+from test_scoring import random_field
+
+from fieldrank.operators import cleaning, movements, scoring, snapshots, statistics, trends
+from fieldrank.operators.ranking import distribution
+from fieldrank.operators.reports import best_overall, top_n, top_n_per_snapshot
+from fieldrank.sources import store
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(plan):
+    return [line.strip(" +-:") for line in plan.splitlines() if " Exchange " in f" {line.strip(' +-:')} "]
+
+
+@pytest.fixture
+def table(spark, snapshot_rows, tmp_path):
+    root = str(tmp_path / "cleaned")
+    rows = random_field(snapshot_rows, 11).withColumn("eval_unused", F.lit(1.0))
+    store.write_snapshots(rows, root)
+    return store.read_snapshots(spark, root)
+
+
+def test_both_ranks_share_one_exchange_by_date(table):
+    plan = plan_of(scoring.leaderboard(table))
+    moves = exchanges(plan)
+    assert len(moves) == 1 and "hashpartitioning(snapshot_date" in moves[0]
+    assert "BroadcastHashJoin [snapshot_date" in plan
+    assert "eval_unused" not in plan
+    assert "Python" not in plan
+
+
+def test_statistics_are_partial_before_the_exchange(table):
+    plan = plan_of(statistics.summarise(statistics.with_mean_price(table), cuts=None))
+    assert len(exchanges(plan)) == 1
+    assert "partial_min" in plan[plan.index("Exchange"):]
+    assert "entity_id" not in plan
+
+
+def test_trends_use_one_window(table):
+    plan = plan_of(trends.trends(table))
+    assert plan.count("+- Window [") == 1 and len(exchanges(plan)) == 1
+    assert "eval_unused" not in plan
+
+
+def test_a_snapshot_reads_its_partition(table):
+    day = plan_of(scoring.scorable(snapshots.snapshot(table, "2024-01-02")))
+    assert "(snapshot_date" in day.split("PartitionFilters: ")[1].split("]")[0]
+    assert "PushedFilters: [IsNotNull(quality)" in day
+    latest = plan_of(snapshots.latest_snapshot(table))
+    assert "Subquery" in latest.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert exchanges(latest) == [] or all("SinglePartition" in move for move in exchanges(latest))
+
+
+@pytest.mark.parametrize("make", [
+    lambda df: snapshots.as_of(df, "2024-01-03"),
+    lambda df: cleaning.dedupe(df, ["entity_id", "snapshot_date"], []),
+])
+def test_one_row_per_key_is_cut_before_the_exchange(table, make):
+    plan = plan_of(make(table))
+    assert len(exchanges(plan)) == 1
+    assert "Partial" in plan[plan.index("Exchange"):] and "WindowGroupLimit" in plan
+
+
+def test_value_counts_are_partial_before_the_exchange(table):
+    plan = plan_of(distribution(table, ["snapshot_date"], "quality", 0))
+    assert "partial_count" in plan[plan.rindex("Exchange"):]
+
+
+def test_entered_and_dropped_move_rows_once(table):
+    plan = plan_of(movements.entered_dropped(table))
+    assert len(exchanges(plan)) == 1 and "hashpartitioning(entity_id" in exchanges(plan)[0]
+
+
+def test_reports_read_ranks_instead_of_computing_them(spark, table, tmp_path):
+    root = str(tmp_path / "board")
+    store.write_snapshots(scoring.leaderboard(table), root, arranged=True)
+    board = store.read_snapshots(spark, root)
+    for report in (best_overall(board), top_n_per_snapshot(board, 3)):
+        assert exchanges(plan_of(report)) == [] and "PushedFilters: [IsNotNull(rank)" in plan_of(report)
+    assert "TakeOrderedAndProject" in plan_of(top_n(board, "2024-01-01", 3))
