@@ -12,6 +12,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from dataclasses import dataclass, field
+from functools import cache
 from typing import Any
 
 from py4j.protocol import Py4JJavaError
@@ -43,16 +44,17 @@ class Stored:
 
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder name below the session's checkpoint directory."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or _own_folder(spark)
-    return f"{base.rstrip('/')}/fieldrank/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None and not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    base = base or _own_folder(context.applicationId)
+    return f"{base.rstrip('/')}/fieldrank/{context.applicationId}/{uuid.uuid4().hex}"
 
 
-def _own_folder(spark: SparkSession) -> str:
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="fieldrank-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+@cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="fieldrank-")
 
 
 def observed_metrics(observation: Observation) -> dict[str, Any]:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from fieldrank.contracts import check_contract, check_types
 from fieldrank.materialise import observed_metrics
@@ -52,11 +54,11 @@ def write_snapshots(
         check_contract(df, contract, open_columns)
     seen = Observation()
     undated = F.raise_error(F.lit(f"row without {day}"))
-    dated = df.withColumn(day, F.coalesce(F.col(day), undated.cast("date"))).observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.collect_set(day).alias("dates")
-    )
+    dated = df.withColumn(day, F.coalesce(F.col(day), undated.cast("date")))
+    # Observed in the writing stage itself, where a repeated task counts once.
     (
         (dated if arranged else dated.hint("rebalance", day))
+        .observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(day).alias("dates"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(day)
@@ -90,16 +92,27 @@ def _append_audit(spark: SparkSession, root: str, load: Load, operation: str, da
 
 
 def load_history(spark: SparkSession, root: str) -> DataFrame:
-    """Every load of the table: when, how, which dates with how many rows."""
-    return spark.read.schema(_AUDIT).parquet(_audit_root(root))
+    """Every load of the table, numbered from 0: when, how, which dates with
+    how many rows."""
+    lines = spark.read.schema(_AUDIT).parquet(_audit_root(root))
+    order = Window.orderBy("loaded_at", "load_id")  # over one row per load
+    loads = lines.select("load_id", "loaded_at").distinct()
+    versions = loads.select("load_id", (F.row_number().over(order) - 1).alias("version"))
+    return lines.join(versions, "load_id")
 
 
 def find_table(spark: SparkSession, root: str) -> DataFrame | None:
     """The table, or None while nothing has been written."""
+    return _if_there(lambda: read_snapshots(spark, root))
+
+
+def _if_there(read: Callable[[], DataFrame]) -> DataFrame | None:
     try:
-        return read_snapshots(spark, root)
-    except AnalysisException:
-        return None
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def read_snapshots(
@@ -144,10 +157,9 @@ def find_dates(
     spark: SparkSession, root: str, dates: list[dt.date], merge_schema: bool = False
 ) -> DataFrame | None:
     """As :func:`read_dates`, or None if the table has none of the dates."""
-    try:
-        return read_dates(spark, root, dates, merge_schema=merge_schema) if dates else None
-    except AnalysisException:
+    if not dates:
         return None
+    return _if_there(lambda: read_dates(spark, root, dates, merge_schema=merge_schema))
 
 
 def merged(older: DataFrame, newer: DataFrame) -> DataFrame:

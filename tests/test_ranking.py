@@ -128,3 +128,20 @@ def test_keep_first_prunes_before_the_shuffle(skewed):
     before_shuffle = plan[plan.index("Exchange"):]
     assert "WindowGroupLimit" in before_shuffle
     assert first.count() == 3
+
+
+class Session:
+    """As much of a session as the scratch folder asks for."""
+
+    def __init__(self, master, folder=None):
+        self.sparkContext = self
+        self.conf = {"spark.checkpoint.dir": folder}
+        self.master, self.applicationId = master, "app"
+
+
+def test_scratch_folder_is_the_sessions_own():
+    given = written.scratch_folder(Session("yarn", "s3a://shared/checkpoints/"))
+    assert given.startswith("s3a://shared/checkpoints/fieldrank/app/")
+    assert "fieldrank" in written.scratch_folder(Session("local[2]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        written.scratch_folder(Session("yarn"))

@@ -56,7 +56,7 @@ def test_history_lists_every_load(spark, snapshot_rows, root):
     assert [(r["operation"], r["snapshot_date"], r["n_rows"]) for r in found] == [
         ("replace dates", day_of(1), 2), ("correct", day_of(1), 1), ("correct", day_of(2), 1),
     ]
-    assert len({r["load_id"] for r in found}) == 2
+    assert [r["version"] for r in found] == [0, 1, 1]
 
 
 def test_contract_is_checked_before_writing(spark, snapshot_rows, root):
@@ -105,3 +105,10 @@ def test_summary_and_health(snapshot_rows):
     assert (first["n_rows"], first["speed_nulls"], first["quality_lo"], first["quality_hi"]) == (
         2, 1, 1.0, 5.0
     )
+
+
+def test_only_a_missing_table_counts_as_none(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    assert store.find_table(spark, str(tmp_path / "empty")) is None
+    with pytest.raises(AnalysisException):
+        store._if_there(lambda: spark.range(1).select("absent"))
