@@ -13,7 +13,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fieldrank.materialise import join_stored, materialise
 from fieldrank.operators.cleaning import CleaningRules
@@ -49,20 +48,6 @@ class RecordLayout:
             found.setdefault(parent, []).append(leaf)
         return found
 
-    @property
-    def schema(self) -> T.StructType:
-        """All leaves as text: numbers may arrive quoted, and one bad value
-        must not void its neighbours."""
-        fields = [T.StructField(leaf, T.StringType()) for leaf in self.groups[""]]
-        for parent, leaves in self.groups.items():
-            if parent:
-                inner = T.StructType([T.StructField(leaf, T.StringType()) for leaf in leaves])
-                fields.append(T.StructField(parent, inner))
-        if self.measurements:
-            texts = T.MapType(T.StringType(), T.StringType())
-            fields.append(T.StructField(self.measurements, texts))
-        return T.StructType(fields)
-
 
 # The record format of the landing files.
 RECORD = RecordLayout(
@@ -194,12 +179,28 @@ def records(envelopes: DataFrame) -> DataFrame:
     )
 
 
-def missing_keys(record: Column, layout: RecordLayout = RECORD) -> Column:
-    """Mandatory keys that the record does not have (a null value is not missing)."""
+_TEXTS = "map<string,string>"
+
+
+def _opened(rows: DataFrame, layout: RecordLayout) -> DataFrame:
+    """Each record as a map of texts, and one more map per nested object.
+
+    Texts, because numbers may arrive quoted and one bad value must not void
+    its neighbours; maps, because they tell a null value from a missing key.
+    """
+    opened = rows.withColumn("_", F.from_json("record", _TEXTS))
+    nested = [parent for parent in layout.groups if parent]
+    if layout.measurements:
+        nested.append(layout.measurements)
+    return opened.withColumns({
+        f"_{name}": F.from_json(F.col("_")[F.lit(name)], _TEXTS) for name in nested
+    })
+
+
+def _missing(layout: RecordLayout) -> Column:
     parts = []
     for parent, leaves in layout.groups.items():
-        text = F.get_json_object(record, f"$.{parent}") if parent else record
-        present = F.coalesce(F.json_object_keys(text), F.array().cast("array<string>"))
+        present = F.coalesce(F.map_keys(f"_{parent}"), F.array().cast("array<string>"))
         absent = F.array_except(F.array(*map(F.lit, leaves)), present)
         parts.append(F.transform(absent, _below(parent)))
     return F.concat(*parts)
@@ -211,9 +212,9 @@ def _below(parent: str) -> Callable[[Column], Column]:
 
 
 def incomplete_records(rows: DataFrame, layout: RecordLayout = RECORD) -> DataFrame:
-    """Records that lack mandatory keys, with the keys."""
-    absent = missing_keys(F.col("record"), layout)
-    return rows.withColumn("missing", absent).where(F.size("missing") > 0)
+    """Records that lack mandatory keys, with the keys (a null value is not missing)."""
+    short = _opened(rows, layout).withColumn("missing", _missing(layout))
+    return short.where(F.size("missing") > 0).select(*rows.columns, "missing")
 
 
 def flatten(
@@ -222,24 +223,29 @@ def flatten(
     on_missing: str = "fail",
     keep_origin: bool = True,
 ) -> DataFrame:
-    """Nested record to flat row; measurements stay a map of text.
+    """Nested record to flat row of texts; measurements stay a map.
 
     A record without a mandatory key fails the job (``on_missing="fail"``) or
     gets null in its place (``"null"``).
     """
     if on_missing not in ("fail", "null"):
         raise ValueError(f"on_missing must be 'fail' or 'null', not {on_missing!r}")
-    text = F.col("record")
+    opened = _opened(rows, layout)
     if on_missing == "fail":
-        absent = missing_keys(text, layout)
-        message = F.concat(F.lit("record lacks "), F.array_join(absent, ", "), F.lit(": "), text)
-        text = F.when(F.size(absent) == 0, text).otherwise(F.raise_error(message))
-    origin = ["snapshot_date", "file_path", "file_time"] if keep_origin else ["snapshot_date"]
-    parsed = rows.select(*origin, F.from_json(text, layout.schema).alias("_r"))
-    values = [F.col(f"_r.{path}").alias(layout.column(path)) for path in layout.paths]
+        absent = _missing(layout)
+        message = F.concat(
+            F.lit("record lacks "), F.array_join(absent, ", "), F.lit(": "), F.col("record")
+        )
+        complete = F.when(F.size(absent) == 0, F.lit(True))
+        opened = opened.where(complete.otherwise(F.raise_error(message).cast("boolean")))
+    values = []
+    for path in layout.paths:
+        parent, _, leaf = path.rpartition(".")
+        values.append(F.col(f"_{parent}")[F.lit(leaf)].alias(layout.column(path)))
     if layout.measurements:
-        values.append(F.col(f"_r.{layout.measurements}").alias(layout.measurements))
-    return parsed.select(*values, *origin)
+        values.append(F.col(f"_{layout.measurements}").alias(layout.measurements))
+    origin = ["snapshot_date", "file_path", "file_time"] if keep_origin else ["snapshot_date"]
+    return opened.select(*values, *origin)
 
 
 def map_keys(df: DataFrame, column: str, at_most: int = 2_000) -> list[str]:

@@ -54,10 +54,7 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 # Landing and cleaning
 
 def flatten_nested(spark, sf_dir):
-    flat = landing.flatten(fx.part_records(spark, sf_dir).withColumns({
-        "file_path": F.lit("part"), "file_time": F.lit(None).cast("timestamp"),
-    }), keep_origin=False)
-    return flat.drop("evaluations")
+    return landing.flatten(fx.part_records(spark, sf_dir), keep_origin=False).drop("evaluations")
 
 
 def map_spread(spark, sf_dir):
@@ -68,10 +65,8 @@ def map_spread(spark, sf_dir):
 
 
 def measurements_spread(spark, sf_dir):
-    parsed = fx.part_records(spark, sf_dir).select(
-        F.from_json("record", landing.RECORD.schema).alias("r")
-    ).select("r.id", "r.evaluations")
-    spread = landing.spread_map(parsed, "evaluations")
+    flat = landing.flatten(fx.part_records(spark, sf_dir), keep_origin=False)
+    spread = landing.spread_map(flat.select("id", "evaluations"), "evaluations")
     return spread.groupBy().agg(*(
         F.count(name).alias(f"{name}_rows") for name in spread.columns if name != "id"
     ))
