@@ -8,11 +8,13 @@ file, or one per line (``multi_line=False``), which lets Spark split files.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+import operator
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldrank.materialise import join_stored, materialise
 from fieldrank.operators.cleaning import CleaningRules
@@ -179,36 +181,37 @@ def records(envelopes: DataFrame) -> DataFrame:
     )
 
 
-_TEXTS = "map<string,string>"
-
-
 def _opened(rows: DataFrame, layout: RecordLayout) -> DataFrame:
-    """Each record as a map of texts, and one more map per nested object.
+    """The record parsed once, and its top-level keys.
 
-    Texts, because numbers may arrive quoted and one bad value must not void
-    its neighbours; maps, because they tell a null value from a missing key.
+    All values are read as text, because numbers may arrive quoted and one bad
+    value must not void its neighbours. Nested objects become maps, which tell
+    a null value from a missing key.
     """
-    opened = rows.withColumn("_", F.from_json("record", _TEXTS))
+    texts = T.MapType(T.StringType(), T.StringType())
     nested = [parent for parent in layout.groups if parent]
     if layout.measurements:
         nested.append(layout.measurements)
-    return opened.withColumns({
-        f"_{name}": F.from_json(F.col("_")[F.lit(name)], _TEXTS) for name in nested
+    schema = T.StructType(
+        [T.StructField(leaf, T.StringType()) for leaf in layout.groups[""]]
+        + [T.StructField(name, texts) for name in nested]
+    )
+    return rows.withColumns({
+        "_r": F.from_json("record", schema), "_keys": F.json_object_keys("record"),
     })
 
 
-def _missing(layout: RecordLayout) -> Column:
-    parts = []
-    for parent, leaves in layout.groups.items():
-        present = F.coalesce(F.map_keys(f"_{parent}"), F.array().cast("array<string>"))
-        absent = F.array_except(F.array(*map(F.lit, leaves)), present)
-        parts.append(F.transform(absent, _below(parent)))
-    return F.concat(*parts)
+def _has(path: str) -> Column:
+    parent, _, leaf = path.rpartition(".")
+    if parent:
+        found = F.map_contains_key(F.col("_r")[parent], leaf)
+    else:
+        found = F.array_contains("_keys", leaf)
+    return F.coalesce(found, F.lit(False))
 
 
-def _below(parent: str) -> Callable[[Column], Column]:
-    prefix = F.lit(f"{parent}." if parent else "")
-    return lambda key: F.concat(prefix, key)
+def _missing(layout: RecordLayout) -> Column:
+    return F.array_compact(F.array(*(F.when(~_has(path), path) for path in layout.paths)))
 
 
 def incomplete_records(rows: DataFrame, layout: RecordLayout = RECORD) -> DataFrame:
@@ -232,18 +235,20 @@ def flatten(
         raise ValueError(f"on_missing must be 'fail' or 'null', not {on_missing!r}")
     opened = _opened(rows, layout)
     if on_missing == "fail":
-        absent = _missing(layout)
+        # In the projection, not in a filter, which would parse a second time.
+        complete = reduce(operator.and_, map(_has, layout.paths))
         message = F.concat(
-            F.lit("record lacks "), F.array_join(absent, ", "), F.lit(": "), F.col("record")
+            F.lit("record lacks "), F.array_join(_missing(layout), ", "), F.lit(": "), "record"
         )
-        complete = F.when(F.size(absent) == 0, F.lit(True))
-        opened = opened.where(complete.otherwise(F.raise_error(message).cast("boolean")))
+        checked = F.when(complete, F.col("_r")).otherwise(F.raise_error(message))
+        opened = opened.withColumn("_r", checked)
     values = []
     for path in layout.paths:
         parent, _, leaf = path.rpartition(".")
-        values.append(F.col(f"_{parent}")[F.lit(leaf)].alias(layout.column(path)))
+        holder = F.col("_r")[parent] if parent else F.col("_r")
+        values.append(holder[leaf].alias(layout.column(path)))
     if layout.measurements:
-        values.append(F.col(f"_{layout.measurements}").alias(layout.measurements))
+        values.append(F.col("_r")[layout.measurements].alias(layout.measurements))
     origin = ["snapshot_date", "file_path", "file_time"] if keep_origin else ["snapshot_date"]
     return opened.select(*values, *origin)
 
