@@ -18,6 +18,9 @@ from fieldrank.materialise import Stored, join_stored, materialise
 # Largest group that is sorted inside one task.
 WINDOW_ROWS = 2_000_000
 
+# Numbers are int, as in a window, unless a group has more rows than that holds.
+_INT_ROWS = 2**31 - 1
+
 # monotonically_increasing_id() keeps the task above this bit, the row below it.
 _TASK_SHIFT = 33
 
@@ -57,7 +60,7 @@ def number_rows(
     small = _number_small(df.where(F.col(size) <= limit), group, orders)
     large = df.where(F.col(size) > limit)
     for out, order in orders.items():
-        large = _number_large(large, group, order, out)
+        large = _number_large(large, group, order, out, largest)
     return small.unionByName(large)
 
 
@@ -68,7 +71,9 @@ def _number_small(df: DataFrame, group: list[str], orders: dict[str, list[Column
     return df
 
 
-def _number_large(df: DataFrame, group: list[str], order: list[Column], out: str) -> DataFrame:
+def _number_large(
+    df: DataFrame, group: list[str], order: list[Column], out: str, largest: int
+) -> DataFrame:
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(name) for name in group] + order
     placed = materialise(
@@ -81,7 +86,7 @@ def _number_large(df: DataFrame, group: list[str], order: list[Column], out: str
     number = F.col("_place") - F.col("_first") + F.col("_before") + 1
     return (
         join_stored(placed, materialise(runs), [*group, "_task"], salt_by=["_place"])
-        .withColumn(out, number.cast("int"))
+        .withColumn(out, number.cast("int" if largest <= _INT_ROWS else "bigint"))
         .drop("_task", "_place", "_first", "_before")
     )
 

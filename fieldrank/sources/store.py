@@ -44,10 +44,12 @@ def write_snapshots(
 
     Executors write. Rows are brought together by date first, where AQE splits
     a large date over several tasks and packs small ones; ``arranged`` says
-    they already lie by date and skips that shuffle. No rows means nothing is touched; a row without a date is an error. A
-    failed write may leave some dates replaced and others not; running it again
-    settles that. ``df`` must not read ``root`` itself: write such a result
-    somewhere first.
+    they already lie by date and skips that shuffle.
+
+    No rows means nothing is touched; a row without a date is an error. A failed
+    write may leave some dates replaced and others not; running it again settles
+    that. ``df`` must not read ``root`` itself: write such a result somewhere
+    first.
     """
     check_types(df)
     if contract:

@@ -56,4 +56,5 @@ def as_dicts(df, *order):
 
 
 def as_set(df):
-    return sorted(map(repr, (tuple(row[name] for name in sorted(df.columns)) for row in df.collect())))
+    names = sorted(df.columns)
+    return sorted(repr(tuple(row[name] for name in names)) for row in df.collect())

@@ -4,7 +4,14 @@ import pytest
 from conftest import as_dicts, as_set, day_of
 
 from fieldrank.contracts import CLEANED, contract_problems
-from fieldrank.operators.cleaning import CleaningRules, cast_losses, clean, dedupe, typed, with_identity
+from fieldrank.operators.cleaning import (
+    CleaningRules,
+    cast_losses,
+    clean,
+    dedupe,
+    typed,
+    with_identity,
+)
 from fieldrank.sources.landing import record_rules
 
 RULES = CleaningRules(

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldrank.contracts import (
+    ALLOWED_TYPES,
     CLEANED,
     ContractError,
     check_contract,
@@ -39,12 +40,14 @@ def test_unknown_table():
         contract_for("other")
 
 
-@pytest.mark.parametrize("kind", ["string", "double", "float", "int", "bigint", "date", "boolean", "timestamp"])
+@pytest.mark.parametrize("kind", ALLOWED_TYPES)
 def test_allowed_types(spark, kind):
     check_types(spark.range(1).select(F.lit(None).cast(kind).alias("v")))
 
 
-@pytest.mark.parametrize("kind", ["decimal(10,2)", "array<int>", "map<string,int>", "struct<a:int>"])
+@pytest.mark.parametrize("kind", [
+    "decimal(10,2)", "array<int>", "map<string,int>", "struct<a:int>",
+])
 def test_refused_types(spark, kind):
     with pytest.raises(ContractError, match="unsupported types: v "):
         check_types(spark.range(1).select(F.lit(None).cast(kind).alias("v")))

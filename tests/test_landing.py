@@ -157,7 +157,8 @@ def test_newest_file_of_a_date_replaces_older_ones(spark, tmp_path):
 def test_layouts_are_parameters(spark):
     layout = RecordLayout(paths=("key", "inner.v"), measurements=None)
     rows = spark.range(1).select(
-        F.current_date().alias("snapshot_date"), F.lit('{"key": 5, "inner": {"v": [1]}}').alias("record")
+        F.current_date().alias("snapshot_date"),
+        F.lit('{"key": 5, "inner": {"v": [1]}}').alias("record"),
     )
     (row,) = landing.flatten(rows, layout, keep_origin=False).select("key", "inner_v").collect()
     assert tuple(row) == ("5", "[1]")

@@ -105,7 +105,8 @@ def test_salted_join_equals_broadcast_join(skewed, how, monkeypatch):
 
 
 def test_wide_sides_are_not_broadcast(spark):
-    side = written.materialise(spark.range(40).select("id", F.repeat(F.lit("x"), 1_000_000).alias("t")))
+    text = F.repeat(F.lit("x"), 1_000_000).alias("t")
+    side = written.materialise(spark.range(40).select("id", text))
     assert side.rows == 40 and side.nbytes > written.BROADCAST_BYTES
     assert not side.fits_broadcast
 
@@ -145,3 +146,12 @@ def test_scratch_folder_is_the_sessions_own():
     assert "fieldrank" in written.scratch_folder(Session("local[2]"))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         written.scratch_folder(Session("yarn"))
+
+
+def test_numbers_widen_only_for_groups_beyond_int(skewed):
+    sizes = ranking.group_sizes(skewed, ["grp"])
+    rows = written.join_stored(skewed, sizes, ["grp"])
+    orders = {"number": [F.col("score"), F.col("key")]}
+    for largest, kind in ((3_000, "int"), (2**31, "bigint")):
+        found = ranking.number_rows(rows, ["grp"], orders, "n_rows", largest, window_rows=500)
+        assert found.schema["number"].dataType.simpleString() == kind

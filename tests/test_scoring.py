@@ -5,8 +5,9 @@ from conftest import as_dicts, as_set, day_of
 from pyspark.sql import functions as F
 
 from fieldrank.contracts import check_contract
-from fieldrank.operators import scoring, statistics
+from fieldrank.operators import movements, scoring, snapshots, statistics, trends
 from fieldrank.operators.scoring import Scaling, Weights
+from fieldrank.roles import DEFAULT_ROLES, Roles
 
 
 def board_of(df, **options):
@@ -167,7 +168,8 @@ def test_z_score_scaling_is_cut(snapshot_rows):
 
 def test_log_price_scaling(snapshot_rows):
     rows = snapshot_rows(("a", 1, 1, 1, 1, 1), ("b", 1, 2, 2, 10, 10), ("c", 1, 3, 3, 100, 100))
-    norms = {r["entity_id"]: r["price_norm"] for r in board_of(rows, scaling=Scaling(log_price=True))}
+    board = board_of(rows, scaling=Scaling(log_price=True))
+    norms = {row["entity_id"]: row["price_norm"] for row in board}
     assert norms["a"] == 100.0 and norms["c"] == 0.0
     assert norms["b"] == pytest.approx(50.0)
 
@@ -177,3 +179,19 @@ def test_unknown_scaling_is_refused():
         Scaling("median")
     with pytest.raises(ValueError):
         Scaling("z_score", log_price=True)
+
+
+def test_columns_may_have_other_names(snapshot_rows):
+    roles = Roles("key", "title", "maker", "day", "points", "rate", "cost_in", "cost_out")
+    rows = random_field(snapshot_rows, 6)
+    names = dict(zip(DEFAULT_ROLES.columns, roles.columns))
+    renamed = rows.withColumnsRenamed(names)
+    back = {new: old for old, new in names.items()}
+    for make in (scoring.leaderboard, trends.trends):
+        assert as_set(make(renamed, roles=roles).withColumnsRenamed(back)) == as_set(make(rows))
+    board = scoring.leaderboard(renamed, roles=roles)
+    assert movements.rank_movement(board, roles).count() == board.count()
+    assert movements.entered_dropped(board, roles).count() == movements.entered_dropped(
+        scoring.leaderboard(rows)
+    ).count()
+    assert snapshots.latest_snapshot(board, roles).select("day").distinct().count() == 1

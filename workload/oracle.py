@@ -213,7 +213,8 @@ _PRESENT = "CASE WHEN {0} THEN 1 END"
 ORACLE: dict[str, str] = {
     "flatten_nested": """
 SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS slug, '2023-05-06' AS release_date,
-       p_brand AS model_creator_slug, CAST(p_retailprice AS VARCHAR) AS pricing_price_1m_input_tokens,
+       p_brand AS model_creator_slug,
+       CAST(p_retailprice AS VARCHAR) AS pricing_price_1m_input_tokens,
        CAST(CAST(p_size AS DOUBLE) AS VARCHAR) AS pricing_price_1m_output_tokens,
        '0.0' AS median_output_tokens_per_second, '0.0' AS median_time_to_first_token_seconds,
        CAST(NULL AS VARCHAR) AS median_time_to_first_answer_token,
@@ -261,8 +262,8 @@ SELECT id, snapshot_date, delivery, TRY_CAST(cost_in AS DOUBLE) AS cost_in,
 FROM raw"""),
     "cast_losses": _with([SNAP, RAW], " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, "
-        f"COUNT(CASE WHEN {c} IS NOT NULL AND TRY_CAST({c} AS {t}) IS NULL THEN 1 END) AS unreadable "
-        "FROM raw"
+        f"COUNT(CASE WHEN {c} IS NOT NULL AND TRY_CAST({c} AS {t}) IS NULL THEN 1 END) "
+        "AS unreadable FROM raw"
         for c, t in (("snapshot_date", "DATE"), ("cost_in", "DOUBLE"), ("cost_out", "DOUBLE"),
                      ("rate", "DOUBLE"))
     )),
