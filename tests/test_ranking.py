@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from test_scoring import random_field
 
 from fieldrank import materialise as written
-from fieldrank.operators import ranking, scoring, statistics
+from fieldrank.operators import movements, ranking, reports, scoring, statistics
 from fieldrank.operators.scoring import Scaling
 
 
@@ -155,3 +155,19 @@ def test_numbers_widen_only_for_groups_beyond_int(skewed):
     for largest, kind in ((3_000, "int"), (2**31, "bigint")):
         found = ranking.number_rows(rows, ["grp"], orders, "n_rows", largest, window_rows=500)
         assert found.schema["number"].dataType.simpleString() == kind
+
+
+def test_nothing_depends_on_broadcasts(snapshot_rows, monkeypatch):
+    rows = random_field(snapshot_rows, 12)
+
+    def results(limit):
+        board = scoring.leaderboard(rows, exact_cuts=True, window_rows=limit)
+        ranked = scoring.leaderboard(rows, scaling=Scaling("percent_rank"), window_rows=limit)
+        return [as_set(found) for found in (
+            board, ranked, reports.ever_top_n(board, 2), movements.entered_dropped(board)
+        )]
+
+    expected = results(None)
+    monkeypatch.setattr(written, "BROADCAST_ROWS", 0)
+    assert results(None) == expected
+    assert results(20) == expected
