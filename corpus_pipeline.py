@@ -7,14 +7,26 @@ and ``tests/llm`` holds every stage against a brute-force version.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fieldrank.llm import decontamination, mixing
+from fieldrank.llm import decontamination, mixing, quality, simhash
 from fieldrank.llm.common import table
 from fieldrank.materialise import scratch_folder
 
 SHARDS = 8
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; the others lose lines that are very common in their source."""
+    kept = quality.filtered(docs)
+    return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays, the one with the smallest id."""
+    return simhash.deduplicated(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go, all others stay as they are."""
     return decontamination.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -26,6 +38,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality rules", quality_rules),
+    ("SimHash near-dedup", near_dedup),
     ("benchmark decontamination", decontaminate),
     ("mixing sources to target weights", mix),
 ]

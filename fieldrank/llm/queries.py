@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldrank.llm import decontamination, mixing, sharding
+from fieldrank.llm import decontamination, mixing, quality, sharding, simhash
 from fieldrank.llm.common import table
 
 N_SHARDS = 24
@@ -22,16 +22,26 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(docs, items).drop("spans")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.clustered(table(spark, sf_dir, "documents"))
+
+
 def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"), [1.0] * N_SHARDS)
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"))
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"), MIX_SHARDS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op5_simhash": op5_simhash,
     "op7_shard": op7_shard,
+    "op8_quality": op8_quality,
     "op9_mix": op9_mix,
 }
