@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldrank.llm import decontamination, mixing, quality, simhash
+from fieldrank.llm import decontamination, mixing, packing, quality, simhash
 from fieldrank.llm.common import table
 from fieldrank.materialise import scratch_folder
 
@@ -37,11 +37,17 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs, SHARDS)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packed sequences of token ids with the documents in each."""
+    return packing.packed_sequences(docs)
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("SimHash near-dedup", near_dedup),
     ("benchmark decontamination", decontaminate),
     ("mixing sources to target weights", mix),
+    ("token-ID / binary output", pack),
 ]
 
 ORACLE_SQL = None

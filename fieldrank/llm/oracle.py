@@ -37,6 +37,23 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
 """
 
+OP4 = """
+WITH p AS (
+  SELECT row_number() OVER (ORDER BY page_id NULLS FIRST) AS r, page_id,
+         octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages
+), f AS (
+  SELECT *, max(r) OVER (PARTITION BY payload_digest) AS first_r,
+         last_value(page_id) OVER (PARTITION BY payload_digest ORDER BY r
+           ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS first_page
+  FROM p
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND r <> first_r THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND r <> first_r THEN first_page END AS refers_to
+FROM f
+"""
+
 _SCORE = (
     "1.0 / -ln((('0x' || substr(md5('0:' || s || ':' || coalesce(doc_id::VARCHAR, '')), 1, 13))"
     "::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)"
@@ -143,4 +160,4 @@ SELECT doc_id, size, source_size, target, ((passes + more) * size)::BIGINT AS ta
 FROM chosen LEFT JOIN dealt USING (key, block)
 """
 
-ORACLE = {"op1_decontaminate": OP1, "op7_shard": OP7, "op9_mix": OP9}
+ORACLE = {"op1_decontaminate": OP1, "op4_warc": OP4, "op7_shard": OP7, "op9_mix": OP9}

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldrank.llm import decontamination, mixing, quality, sharding, simhash
+from fieldrank.llm import decontamination, language, licenses, mixing, packing, quality, sharding, simhash, warc, wrappers
 from fieldrank.llm.common import table
 
 N_SHARDS = 24
@@ -22,10 +22,26 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(docs, items).drop("spans")
 
 
+def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_sequences(table(spark, sf_dir, "documents"))
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.resolved_pages(table(spark, sf_dir, "pages"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.clustered(table(spark, sf_dir, "documents"))
 
 
+def op6_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extracted(table(spark, sf_dir, "pages"))
+
+
 def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"), [1.0] * N_SHARDS)
 
@@ -38,10 +54,19 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"), MIX_SHARDS)
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_pack": op2_pack,
+    "op3_licenses": op3_licenses,
+    "op4_warc": op4_warc,
     "op5_simhash": op5_simhash,
+    "op6_extract": op6_extract,
     "op7_shard": op7_shard,
     "op8_quality": op8_quality,
     "op9_mix": op9_mix,
+    "op10_language": op10_language,
 }
