@@ -13,9 +13,6 @@ from fieldrank.llm import decontamination, mixing, packing, quality, simhash
 from fieldrank.llm.common import table
 from fieldrank.materialise import scratch_folder
 
-SHARDS = 8
-
-
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; the others lose lines that are very common in their source."""
     kept = quality.filtered(docs)
@@ -34,7 +31,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each time the mix takes a document, in output shards."""
-    return mixing.mixed_documents(docs, SHARDS)
+    return mixing.mixed_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,8 +51,19 @@ def unpacked(df: DataFrame) -> DataFrame:
     return df.select(*[F.col("doc").getField(name).alias(name) for name in fields])
 
 
-def texts_of(column: pa.Array) -> list[bytes | None]:
-    return column.cast(pa.binary()).to_pylist()
+# Bytes of text that a Python worker turns into objects at once.
+_SLICE = 4 * 1024 * 1024
+
+
+def slices(batch: pa.RecordBatch, texts: pa.Array) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Parts of a batch with their texts, each of about ``_SLICE`` bytes or one row."""
+    texts = texts.cast(pa.binary())
+    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64)
+    part = np.cumsum(sizes) // _SLICE
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+    for start, end in zip(cuts, cuts[1:]):
+        if start < end:
+            yield batch.slice(start, end - start), texts.slice(start, end - start).to_pylist()
 
 
 def with_columns_of_text(
@@ -60,7 +73,7 @@ def with_columns_of_text(
 
     Columns besides ``doc`` stay. ``keep`` are the fields of ``doc`` to return; a
     plan that needs no text after this leaves it out. Spark cuts the batches at
-    its limits of rows and bytes, so memory is bounded by a batch.
+    its limits of rows and bytes, and texts become Python objects slice by slice.
     """
     fields = {f.name: f for f in packed.schema["doc"].dataType.fields}
     others = [f for f in packed.schema.fields if f.name != "doc"]
@@ -68,14 +81,16 @@ def with_columns_of_text(
         [T.StructField("doc", T.StructType([fields[name] for name in keep])), *others, *added]
     )
 
+    places = {name: i for i, name in enumerate(fields)}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = make()
-        for batch in batches:
-            doc = batch.column("doc")
-            new = function(texts_of(doc.field(text)))
-            kept = pa.StructArray.from_arrays([doc.field(n) for n in keep], names=keep)
-            columns = [kept, *[batch.column(f.name) for f in others], *new]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
+        for whole_batch in batches:
+            for batch, texts in slices(whole_batch, whole_batch.column("doc").field(text)):
+                doc = batch.column("doc").flatten()
+                kept = pa.StructArray.from_arrays([doc[places[n]] for n in keep], names=keep)
+                columns = [kept, *[batch.column(f.name) for f in others], *function(texts)]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
     return packed.mapInArrow(run, schema)
 

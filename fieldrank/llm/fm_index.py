@@ -74,7 +74,7 @@ def suffix_array(symbols: np.ndarray, alphabet: int) -> np.ndarray:
     bits = max(1, (alphabet - 1).bit_length())
     width = max(1, 62 // bits)
     key = np.zeros(n, dtype=np.int64)
-    for i in range(width):
+    for i in range(min(width, n)):
         key[: n - i] += symbols[i:].astype(np.int64) << (bits * (width - 1 - i))
     order = np.argsort(key, kind="stable")
     ordered = key[order]

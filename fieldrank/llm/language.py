@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldrank.llm.common import LOWER_BYTES, join_measured, picked, texts_of
+from fieldrank.llm.common import LOWER_BYTES, join_measured, picked, slices
 from fieldrank.llm.html_tree import main_text, parse
 from fieldrank.llm.wrappers import host_of
 from fieldrank.materialise import materialise
@@ -61,7 +61,11 @@ def trigrams(text: bytes) -> np.ndarray:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[str, np.ndarray] = {}
     for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), texts_of(batch.column("text"))):
+        pairs = (
+            pair for part, texts in slices(batch, batch.column("text"))
+            for pair in zip(part.column("lang").to_pylist(), texts)
+        )
+        for lang, text in pairs:
             if lang not in counts:
                 if len(counts) == LANGUAGES:
                     raise ValueError(f"labels name more than {LANGUAGES} languages")

@@ -21,6 +21,7 @@ verdict. Documents without words are never taken. An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -35,6 +36,9 @@ from fieldrank.materialise import Stored, materialise
 BLOCKS = 65_536
 BLOCK_DOCS = 256
 
+# Words in an output shard of documents.
+SHARD_WORDS = 4_000_000
+
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 CAP = 2.0
@@ -255,7 +259,7 @@ def mix_report(
 
 def mixed_documents(
     docs: DataFrame,
-    shards: int,
+    shard_words: int = SHARD_WORDS,
     doc_id: str = "doc_id",
     source: str = "source",
     text: str = "text",
@@ -264,16 +268,19 @@ def mixed_documents(
 ) -> DataFrame:
     """The documents of the mix, a row for each time one is taken, shard by shard.
 
-    Partition i holds output shard i in a random order. Columns are those of
-    ``docs``. A document without words is in no shard.
+    There are as many shards as the mix has times ``shard_words`` words. Partition
+    i holds output shard i in a random order. Columns are those of ``docs``. A
+    document without words is in no shard.
     """
     packed = whole(docs)
     get = F.col("doc").getField
     rows = _placed(packed, get(doc_id), get(source), get(text), seed)
     narrow = materialise(
-        rows.select("_key", get(source).alias("source"), "size", "_place")
-    ).df
-    mixed = with_shards(rows, plan_mix(narrow, shards, seed=seed, **terms)).where("size > 0")
+        rows.select("_key", get(source).alias("source"), "size", "_place"), words=F.sum("size")
+    )
+    mixed_words = terms.get("share", SHARE) * (narrow.observed["words"] or 0)
+    shards = max(1, math.ceil(mixed_words / shard_words))
+    mixed = with_shards(rows, plan_mix(narrow.df, shards, seed=seed, **terms)).where("size > 0")
     order = F.md5(F.concat_ws(":", F.lit(seed), F.lit("local"), "_place", "_spot"))
     out = (
         mixed.select("doc", "_place", F.posexplode("shards").alias("_spot", "_shard"))

@@ -30,7 +30,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldrank.llm.common import picked, texts_of
+from fieldrank.llm.common import picked, slices
 
 # The file of the vocabulary, and how it cuts text into pieces.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -41,7 +41,7 @@ PATTERN = (
 PAD = 50_256
 
 LENGTH = 2048
-SHARD_TOKENS = 1 << 21
+SHARD_TOKENS = 1 << 20
 
 # Largest vocabulary file that is broadcast.
 VOCABULARY_BYTES = 64 * 1024 * 1024
@@ -206,8 +206,9 @@ def pack(tokens: list[np.ndarray], length: int, pad: int = PAD) -> Sequences:
 def _shards(batches: Iterator[pa.RecordBatch], encode, most: int):
     """Ids and tokens of documents, cut into shards of about ``most`` tokens."""
     names, tokens, held = [], [], 0
-    for batch in batches:
-        for name, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch.column("text"))):
+    parts = (part for batch in batches for part in slices(batch, batch.column("text")))
+    for part, texts in parts:
+        for name, text in zip(part.column("doc_id").to_pylist(), texts):
             if not text:
                 continue
             found = encode(text.decode())

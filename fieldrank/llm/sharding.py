@@ -70,13 +70,13 @@ def sharded(
             best_shard(F.slice("scores", 1, n)).alias("shard"),
             best_shard(F.col("scores")).alias("grown_shard"),
         )
-        .withColumn("_place", F.monotonically_increasing_id())
+        .withColumn("_origin", F.monotonically_increasing_id())
     )
     rows = materialise(placed).df
     sizes = group_sizes(rows, ["shard"])
     order = [
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))),
-        F.col("doc_id"), F.col("text_crc32"), F.col("_place"),
+        F.col("doc_id"), F.col("text_crc32"), F.col("_origin"),
     ]
     numbered = number_rows(
         join_stored(rows, sizes, ["shard"]), ["shard"], {"slot": order}, "n_rows",

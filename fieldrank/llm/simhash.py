@@ -182,8 +182,14 @@ def links(fps: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -> Dat
         found = linked if found is None else found.union(linked)
         if not large.rows:
             return found
-        rows = join_measured(cut, large, ["path", "value"], "left_semi").select("path", "fp")
-        masks = [_split(mask, parts) for group in masks for mask in group]
+        # Only paths with a large bucket go on; there are at most as many as blocks.
+        paths = sorted(r.path for r in large.df.select("path").distinct().collect())
+        number = F.array_position(F.array(*[F.lit(path) for path in paths]), F.col("path")) - 1
+        rows = join_measured(cut, large, ["path", "value"], "left_semi").select(
+            number.cast("int").alias("path"), "fp"
+        )
+        every = [mask for group in masks for mask in group]
+        masks = [_split(every[path], parts) for path in paths]
 
 
 def _grouped(fps: DataFrame, first, distance: int, bucket: int) -> DataFrame:
