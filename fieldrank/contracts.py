@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import fields
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Column types a stored table may use.
+from fieldrank.names import named
+from fieldrank.roles import DEFAULT_ROLES, Roles
+
+# Column types a stored table may use.
 ALLOWED_TYPES = ("string", "double", "float", "int", "bigint", "date", "boolean", "timestamp")
 
 
@@ -22,8 +26,9 @@ def _struct(required: str, **columns: T.DataType) -> T.StructType:
     )
 
 
-_TEXT, _DATE, _NUMBER, _COUNT = T.StringType(), T.DateType(), T.DoubleType(), T.IntegerType()
+_TEXT, _DATE, _NUMBER, _COUNT = T.StringType(), T.DateType(), T.DoubleType(), T.LongType()
 
+# The columns of the stored tables.
 CLEANED = _struct(
     "entity_id entity_name snapshot_date",
     entity_id=_TEXT, entity_name=_TEXT, group_name=_TEXT, snapshot_date=_DATE,
@@ -50,10 +55,21 @@ TRENDS = _struct(
 CONTRACTS = {"cleaned": CLEANED, "leaderboard": LEADERBOARD, "trends": TRENDS}
 
 
-def contract_for(table: str) -> T.StructType:
+def contract_for(table: str, roles: Roles = DEFAULT_ROLES) -> T.StructType:
+    """The contract of a table, under the installation's column names."""
     if table not in CONTRACTS:
         raise ValueError(f"no contract for table {table!r}; known: {sorted(CONTRACTS)}")
-    return CONTRACTS[table]
+    names = {getattr(DEFAULT_ROLES, f.name): getattr(roles, f.name) for f in fields(Roles)}
+    return T.StructType([
+        T.StructField(names.get(f.name, f.name), f.dataType, f.nullable)
+        for f in CONTRACTS[table].fields
+    ])
+
+
+def completed(df: DataFrame, contract: T.StructType) -> DataFrame:
+    """``df`` with the optional columns it lacks as typed nulls."""
+    absent = [f for f in contract.fields if f.nullable and f.name not in df.columns]
+    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent})
 
 
 def contract_problems(
@@ -77,9 +93,11 @@ def contract_problems(
     return problems
 
 
-def check_contract(df: DataFrame, table: str, open_columns: bool = False) -> None:
+def check_contract(
+    df: DataFrame, table: str, open_columns: bool = False, roles: Roles = DEFAULT_ROLES
+) -> None:
     """Raise one error naming everything that does not fit ``table``."""
-    problems = contract_problems(df.schema, contract_for(table), open_columns)
+    problems = contract_problems(df.schema, contract_for(table, roles), open_columns)
     if problems:
         raise ContractError(f"{table}: " + "; ".join(problems))
 
@@ -99,9 +117,9 @@ def check_types(df: DataFrame, allowed: Iterable[str] = ALLOWED_TYPES) -> None:
 def null_violations(df: DataFrame, contract: T.StructType) -> DataFrame:
     """Per required column, the number of rows that lack it (one aggregation)."""
     required = [f.name for f in contract.fields if not f.nullable and f.name in df.columns]
-    counts = df.agg(*(F.count_if(F.col(name).isNull()).alias(name) for name in required))
+    counts = df.agg(*(F.count_if(named(name).isNull()).alias(name) for name in required))
     pairs = F.array(*(
-        F.struct(F.lit(name).alias("column_name"), F.col(name).alias("nulls"))
+        F.struct(F.lit(name).alias("column_name"), named(name).alias("nulls"))
         for name in required
     ))
     return counts.select(F.inline(pairs))

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 
 def as_double(column: Column) -> Column:
-    """The value as double; text that is no number and NaN become null."""
+    """The value as a finite double; other text, NaN and infinity become null."""
     value = column.try_cast("double")
-    return F.when(~F.isnan(value), value)
+    # NaN counts as larger than any number.
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def measured(column: Column) -> Column:

@@ -20,11 +20,14 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldrank.names import named
+
 # A side is broadcast only when both of its measured sizes stay below these.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
-# Beyond that, rows of one join key are spread over this many salts.
+# Beyond that, rows of one join key are spread over this many salts, or as many
+# as there are shuffle partitions if these are fewer.
 SALTS = 32
 
 
@@ -66,14 +69,31 @@ def observed_metrics(observation: Observation) -> dict[str, Any]:
 
 
 def row_bytes(schema: T.StructType) -> Column:
-    """Payload size of a row: fixed widths plus the length of each text."""
-    size = F.lit(0)
-    for item in schema.fields:
-        if isinstance(item.dataType, T.StringType):
-            size = size + F.coalesce(F.octet_length(item.name), F.lit(0)) + 16
-        else:
-            size = size + 16
-    return size.cast("long")
+    """Payload size of a row: fixed widths plus the length of each text, of nested
+    values that of their elements."""
+    sizes = (_value_bytes(named(item.name), item.dataType) for item in schema.fields)
+    return sum(sizes, F.lit(0)).cast("long")
+
+
+def _value_bytes(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+    if isinstance(kind, T.StructType):
+        parts = (_value_bytes(value.getField(f.name), f.dataType) for f in kind.fields)
+        return sum(parts, F.lit(16))
+    if isinstance(kind, T.ArrayType):
+        nested = (T.StringType, T.BinaryType, T.StructType, T.ArrayType, T.MapType)
+        if not isinstance(kind.elementType, nested):
+            return 16 * (1 + F.greatest(F.size(value), F.lit(0)))
+        add = F.aggregate(
+            value, F.lit(16).cast("long"),
+            lambda n, x: n + _value_bytes(x, kind.elementType).cast("long"),
+        )
+        return F.coalesce(add, F.lit(16).cast("long"))
+    if isinstance(kind, T.MapType):
+        keys = _value_bytes(F.map_keys(value), T.ArrayType(kind.keyType))
+        return keys + _value_bytes(F.map_values(value), T.ArrayType(kind.valueType))
+    return F.lit(16)
 
 
 def materialise(df: DataFrame, **observed: Column) -> Stored:
@@ -110,13 +130,14 @@ def join_stored(
 
     A side below the measured bound is broadcast, so ``rows`` does not move.
     A larger side is joined by shuffle on the key plus a salt: each key's rows
-    spread over ``SALTS`` tasks and the side is repeated once per salt. Each
+    spread over up to ``SALTS`` tasks and the side is repeated once per salt. Each
     row meets exactly one copy of its match, so inner, left, semi and anti
     joins keep their meaning.
     """
     if side.fits_broadcast:
         return rows.join(F.broadcast(side.df), on, how)
     salt_by = salt_by or [name for name in rows.columns if name not in on] or on
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(SALTS)).cast("int"))
-    copies = side.df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salts = min(SALTS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
+    copies = side.df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldrank.functions.measures import as_double, measured
+from fieldrank.names import named
 from fieldrank.operators.ranking import keep_first
 
 
@@ -35,7 +36,7 @@ def typed(df: DataFrame, rules: CleaningRules) -> DataFrame:
 
 
 def _typed_column(item: T.StructField, rules: CleaningRules) -> Column:
-    column = F.col(item.name)
+    column = named(item.name)
     if item.name in rules.zero_is_missing:
         column = measured(column)
     elif item.name in rules.numbers or isinstance(item.dataType, T.DoubleType):
@@ -53,9 +54,9 @@ def cast_losses(df: DataFrame, rules: CleaningRules) -> DataFrame:
     names = [n for n in (*rules.dates, *rules.numbers, *rules.zero_is_missing) if n in df.columns]
     reading = {n: _typed_column(df.schema[n], _without_zeros(rules)) for n in names}
     counts = df.agg(*(
-        F.count_if(F.col(n).isNotNull() & reading[n].isNull()).alias(n) for n in names
+        F.count_if(named(n).isNotNull() & reading[n].isNull()).alias(n) for n in names
     ))
-    pairs = [F.struct(F.lit(n).alias("column_name"), F.col(n).alias("unreadable")) for n in names]
+    pairs = [F.struct(F.lit(n).alias("column_name"), named(n).alias("unreadable")) for n in names]
     return counts.select(F.inline(F.array(*pairs)))
 
 
@@ -66,7 +67,7 @@ def _without_zeros(rules: CleaningRules) -> CleaningRules:
 def with_identity(df: DataFrame, columns: tuple[str, ...] | list[str]) -> DataFrame:
     """Drop rows that cannot be told apart: an identity column is null."""
     for name in columns:
-        df = df.where(F.col(name).isNotNull())
+        df = df.where(named(name).isNotNull())
     return df
 
 
@@ -77,9 +78,9 @@ def dedupe(df: DataFrame, keys: list[str], newest_first: list[str]) -> DataFrame
     result does not depend on the order in which rows arrive.
     """
     rest = sorted(set(df.columns) - set(keys) - set(newest_first))
-    filled = sum((F.col(name).isNotNull().cast("int") for name in rest), F.lit(0))
-    order = [F.col(name).desc_nulls_last() for name in newest_first]
-    order += [filled.desc(), *(F.col(name).asc_nulls_last() for name in rest)]
+    filled = sum((named(name).isNotNull().cast("int") for name in rest), F.lit(0))
+    order = [named(name).desc_nulls_last() for name in newest_first]
+    order += [filled.desc(), *(named(name).asc_nulls_last() for name in rest)]
     return keep_first(df, keys, order)
 
 

@@ -18,9 +18,6 @@ from fieldrank.materialise import Stored, join_stored, materialise
 # Largest group that is sorted inside one task.
 WINDOW_ROWS = 2_000_000
 
-# Numbers are int, as in a window, unless a group has more rows than that holds.
-_INT_ROWS = 2**31 - 1
-
 # monotonically_increasing_id() keeps the task above this bit, the row below it.
 _TASK_SHIFT = 33
 
@@ -49,7 +46,7 @@ def number_rows(
     largest: int | None,
     window_rows: int | None = None,
 ) -> DataFrame:
-    """Add one 1..n numbering of each group per entry of ``orders``.
+    """Add one 1..n numbering (bigint) of each group per entry of ``orders``.
 
     ``size`` is the column holding the row count of the row's group and
     ``largest`` its maximum. Each order must be total within the group.
@@ -60,19 +57,20 @@ def number_rows(
     small = _number_small(df.where(F.col(size) <= limit), group, orders)
     large = df.where(F.col(size) > limit)
     for out, order in orders.items():
-        large = _number_large(large, group, order, out, largest)
+        large = _number_large(large, group, order, out)
     return small.unionByName(large)
 
 
 def _number_small(df: DataFrame, group: list[str], orders: dict[str, list[Column]]) -> DataFrame:
     # All windows share the group key: one exchange, one sort per order.
     for out, order in orders.items():
-        df = df.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+        number = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+        df = df.withColumn(out, number.cast("bigint"))
     return df
 
 
 def _number_large(
-    df: DataFrame, group: list[str], order: list[Column], out: str, largest: int
+    df: DataFrame, group: list[str], order: list[Column], out: str
 ) -> DataFrame:
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(name) for name in group] + order
@@ -86,7 +84,7 @@ def _number_large(
     number = F.col("_place") - F.col("_first") + F.col("_before") + 1
     return (
         join_stored(placed, materialise(runs), [*group, "_task"], salt_by=["_place"])
-        .withColumn(out, number.cast("int" if largest <= _INT_ROWS else "bigint"))
+        .withColumn(out, number.cast("bigint"))
         .drop("_task", "_place", "_first", "_before")
     )
 

@@ -53,7 +53,7 @@ class Scaling:
 def scorable(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     """Rows with every metric present and a mean price above zero."""
     for name in roles.metrics:
-        df = df.where(F.col(name).isNotNull())
+        df = df.where(F.abs(F.col(name)) < F.lit(float("inf")))  # null, NaN and infinity fail
     return df.where(mean_price(F.col(roles.price_in), F.col(roles.price_out)) > 0)
 
 

@@ -23,7 +23,8 @@ def latest_date(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
 
 
 def latest_snapshot(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
-    """The newest snapshot; the scalar subquery prunes partitions when it runs."""
+    """The newest snapshot of any frame; the scalar subquery prunes partitions when
+    it runs. Of a stored table ``store.read_latest`` reads one folder."""
     return df.where(F.col(roles.snapshot_date) == latest_date(df, roles).scalar())
 
 

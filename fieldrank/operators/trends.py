@@ -64,32 +64,31 @@ def trends_after(
     is the trends table from before. Returned are all rows of the changed dates
     and of each affected entity's next date, complete per date and written, so
     they can replace those partitions of ``current``. Dates in between stay
-    untouched: a daily append rewrites one partition.
+    untouched: a daily append rewrites one partition, and a correction reads the
+    changed dates and ``lookback_days`` around each of them. Only entities that
+    pause for longer are looked for in the dates beyond.
     """
     day, entity = roles.snapshot_date, roles.entity_id
     if not changed:
         return current.limit(0)
-    first = min(changed)
     cleaned = cleaned.select(*roles.columns)
 
     # Entities on the changed dates now, or before the reload removed them.
-    now = cleaned.where(F.col(day).isin(changed)).select(entity)
-    before = current.where(F.col(day).isin(changed)).select(entity)
-    affected = now.union(before).distinct()
-
-    # Their rows from the first change on, plus the one row before it.
-    earlier = _last_rows_before(cleaned, first, affected, roles, lookback_days)
-    window = cleaned.where(F.col(day) >= F.lit(first)).join(affected, entity, "left_semi")
-    redone = trends(window.unionByName(earlier), roles)
-    follows = F.col(day).isin(changed) | F.col("prev_snapshot_date").isin(changed)
-    # A row also follows a change when the reload took its old predecessor away.
-    later = current.where(F.col(day) >= F.lit(first))
-    lost = later.where(F.col("prev_snapshot_date").isin(changed)).select(entity, day)
+    rows = cleaned.where(F.col(day).isin(changed))
+    gone = current.where(F.col(day).isin(changed)).select(entity, day)
+    pairs = rows.select(entity, day).union(gone).distinct()
+    affected = materialise(pairs.withColumnRenamed(day, "_changed")).df
+
+    before = _neighbours(cleaned, affected, changed, roles, lookback_days, -1)
+    after = _neighbours(cleaned, affected, changed, roles, lookback_days, 1)
+    # Of these rows each that is returned has its predecessor among them.
+    known = rows.unionByName(before).unionByName(after).dropDuplicates([entity, day])
+    follows = after.select(entity, day).distinct().withColumn("_follows", F.lit(True))
     marked = (
-        redone.where(F.col(day) >= F.lit(first))
-        .join(lost.withColumn("_lost", F.lit(True)), [entity, day], "left")
-        .where(follows | F.col("_lost"))
-        .drop("_lost")
+        trends(known, roles)
+        .join(follows, [entity, day], "left")
+        .where(F.col(day).isin(changed) | F.col("_follows"))
+        .drop("_follows")
     )
     fresh = materialise(marked, days=F.collect_set(day))
 
@@ -97,37 +96,46 @@ def trends_after(
     following = sorted(set(fresh.observed["days"] or []) - set(changed))
     if not following:
         return fresh.df
-    kept = later.where(F.col(day).isin(following)).join(
+    kept = current.where(F.col(day).isin(following)).join(
         fresh.df.select(entity, day), [entity, day], "left_anti"
     )
     return fresh.df.unionByName(materialise(kept.select(*fresh.df.columns)).df)
 
 
-def _last_rows_before(
+def _neighbours(
     cleaned: DataFrame,
-    first: dt.date,
     affected: DataFrame,
+    changed: list[dt.date],
     roles: Roles,
-    lookback_days: int,
+    days: int,
+    side: int,
 ) -> DataFrame:
-    """Each affected entity's newest row before ``first``.
+    """The row next to each pair of entity and changed date, before (``side`` -1)
+    or after it (1), written.
 
-    Most entities were there in the last few days, so those partitions are read
-    first; the long history is read only for the entities not found in them.
+    Most entities are there again within some days, so those dates are read
+    first; beyond them only entities not found are looked for.
     """
     day, entity = roles.snapshot_date, roles.entity_id
-    start = first - dt.timedelta(days=lookback_days)
-    newest = [F.col(day).desc()]
-    past = cleaned.where(F.col(day) < F.lit(first))
-    recent = materialise(
-        keep_first(past.where(F.col(day) >= F.lit(start)), [entity], newest).join(
-            affected, entity, "left_semi"
-        )
-    )
-    unseen = materialise(affected.join(recent.df, entity, "left_anti"))
-    if not unseen.rows:
-        return recent.df
-    older = join_stored(
-        past.where(F.col(day) < F.lit(start)), unseen, [entity], "left_semi", salt_by=[day]
-    )
-    return recent.df.unionByName(keep_first(older, [entity], newest))
+    date, start = F.col(day), F.col("_changed")
+    nearest = [date.desc() if side < 0 else date.asc()]
+    dates = sorted({c + dt.timedelta(days=side * n) for c in changed for n in range(1, days + 1)})
+
+    def beside(rows, pairs, beyond):
+        distance = F.date_diff(date, start) * side
+        reach = distance > (days if beyond else 0)
+        found = rows.join(pairs, entity).where(reach if beyond else reach & (distance <= days))
+        return keep_first(found, [entity, "_changed"], nearest)
+
+    close = materialise(beside(cleaned.where(date.isin(dates)), affected, False))
+    unseen = materialise(affected.join(close.df, [entity, "_changed"], "left_anti"))
+    found = close.df
+    if unseen.rows:
+        # Outward from the innermost changed date, to the end of the table.
+        edge = max(changed) if side < 0 else min(changed)
+        edge = F.lit(edge + dt.timedelta(days=side * days))
+        rest = cleaned.where(date < edge if side < 0 else date > edge)
+        wanted = materialise(unseen.df.select(entity).distinct())
+        rest = join_stored(rest, wanted, [entity], "left_semi", salt_by=[day])
+        found = found.unionByName(materialise(beside(rest, unseen.df, True)).df)
+    return found.drop("_changed")

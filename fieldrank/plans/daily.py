@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldrank.contracts import completed, contract_for, null_violations
 from fieldrank.materialise import join_stored, materialise
-from fieldrank.operators.cleaning import CleaningRules, clean
-from fieldrank.operators.scoring import leaderboard
+from fieldrank.operators.cleaning import CleaningRules, cast_losses, clean
+from fieldrank.operators.scoring import Scaling, Weights, leaderboard
+from fieldrank.operators.statistics import TIER_CUTS
 from fieldrank.operators.trends import trends, trends_after
 from fieldrank.roles import DEFAULT_ROLES, Roles
 from fieldrank.sources import landing
@@ -21,6 +24,7 @@ from fieldrank.sources.store import (
     merged,
     read_dates,
     read_snapshots,
+    table_summary,
     write_snapshots,
 )
 
@@ -47,84 +51,158 @@ class Tables:
     def trends(self) -> str:
         return f"{self.root}/trends"
 
+    @property
+    def rejects(self) -> str:
+        return f"{self.root}/rejects"
+
+
+class RejectedInput(ValueError):
+    """Landing input that cannot be loaded, with ``on_reject="fail"``."""
+
 
 @dataclass(frozen=True)
 class Chain:
-    """How landing records become cleaned rows.
+    """How landing records become cleaned rows and scores.
 
     ``keys`` names the measurements to keep; without it they are looked up in
-    each batch. ``whole_files``: a file is a complete snapshot, so the newest
-    file of a date replaces older ones; otherwise the files of a date complete
-    each other and the newest record of each entity wins.
+    each batch, up to ``most_keys``. The files of a date complete each other and
+    the newest record of each entity wins; with ``whole_files`` a file is a
+    complete snapshot, so the newest file of a date replaces older ones.
+
+    Envelopes that cannot be loaded, files that a newer one replaces and values
+    that could not be read are written to the ``rejects`` table (``on_reject=
+    "record"``); with ``"fail"`` unusable envelopes stop the load before anything
+    is written.
     """
 
     rules: CleaningRules
     layout: landing.RecordLayout = landing.RECORD
     keys: list[str] | None = None
     on_missing: str = "fail"
-    whole_files: bool = True
+    whole_files: bool = False
+    on_reject: str = "record"
+    most_keys: int = landing.MOST_KEYS
     roles: Roles = field(default=DEFAULT_ROLES)
+    weights: Weights = field(default_factory=Weights)
+    scaling: Scaling = field(default_factory=Scaling)
+    cuts: tuple[float, float] = TIER_CUTS
+    exact_cuts: bool = False
 
 
 def flat_rows(envelopes: DataFrame, chain: Chain) -> DataFrame:
-    """Landing envelopes to flat rows with one column per measurement."""
+    """Landing envelopes to flat rows with one column per measurement.
+
+    The envelopes should be stored: without ``keys`` they are read twice.
+    """
     if chain.whole_files:
         envelopes = landing.newest_files(envelopes)
     rows = landing.flatten(landing.records(envelopes), chain.layout, chain.on_missing)
     if chain.layout.measurements is None:
         return rows
-    if chain.keys is None:
-        rows = materialise(rows).df  # looking the keys up is a pass of its own
-    return landing.spread_map(rows, chain.layout.measurements, chain.keys, chain.layout.prefix)
+    return landing.spread_map(
+        rows, chain.layout.measurements, chain.keys, chain.layout.prefix, chain.most_keys
+    )
 
 
 def load_envelopes(envelopes: DataFrame, tables: Tables, chain: Chain) -> Load:
     """Write the flat and cleaned partitions of the envelopes' dates, then
     bring leaderboard and trends up to date."""
-    spark = envelopes.sparkSession
+    spark, roles = envelopes.sparkSession, chain.roles
+    if chain.on_reject not in ("record", "fail"):
+        raise ValueError(f"on_reject must be 'record' or 'fail', not {chain.on_reject!r}")
+    envelopes = materialise(envelopes).df  # the files are parsed once
+    unusable = materialise(landing.rejected(envelopes))
+    if unusable.rows and chain.on_reject == "fail":
+        raise RejectedInput("; ".join(
+            f"{row.file_path}: {row.envelopes} {row.reason}" for row in unusable.df.head(20)
+        ))
+    rejects = unusable.df
+    if chain.whole_files:
+        rejects = rejects.unionByName(landing.superseded(envelopes))
     rows = flat_rows(envelopes, chain)
     if not chain.whole_files:
         rows = _with_earlier_files(rows, tables, chain)
     flat = write_snapshots(rows, tables.flat)
     if not flat.rows:
-        return flat
+        return Load(0, [], _record_rejects(rejects, tables))
     arrived = read_dates(spark, tables.flat, flat.dates, merge_schema=True)
+    lost = cast_losses(arrived, chain.rules).where("unreadable > 0").select(
+        F.lit(None).cast("string").alias("file_path"),
+        F.concat(F.lit("unreadable "), F.col("column_name")).alias("reason"),
+        F.col("unreadable").alias("envelopes"),
+    )
     cleaned = write_snapshots(
-        clean(arrived, chain.rules), tables.cleaned, contract="cleaned", open_columns=True
+        completed(clean(arrived, chain.rules), contract_for("cleaned", roles)),
+        tables.cleaned, contract="cleaned", open_columns=True, roles=roles,
     )
-    refresh(spark, tables, cleaned.dates, chain.roles)
-    return cleaned
+    refresh(spark, tables, cleaned.dates, chain=chain)
+    left_out = _record_rejects(rejects.unionByName(lost), tables)
+    return Load(cleaned.rows, cleaned.dates, left_out)
+
+
+def _record_rejects(rejects: DataFrame, tables: Tables) -> int:
+    """Append what a load left out to the rejects table; the number of its lines."""
+    found = materialise(rejects)
+    if found.rows:
+        stamped = found.df.withColumns({
+            "load_id": F.lit(uuid.uuid4().hex),
+            "loaded_at": F.lit(dt.datetime.now(dt.timezone.utc)),
+        })
+        stamped.write.mode("append").parquet(tables.rejects)
+    return found.rows
 
 
 def _with_earlier_files(rows: DataFrame, tables: Tables, chain: Chain) -> DataFrame:
     """Add what earlier files brought for the same dates. Rows of a file that
     comes again are replaced, so a repeated batch changes nothing."""
     spark = rows.sparkSession
-    batch = materialise(rows, dates=F.collect_set("snapshot_date"))
-    earlier = find_dates(spark, tables.flat, batch.observed["dates"] or [], merge_schema=True)
+    dates = rows.agg(F.collect_set("snapshot_date")).first()[0]
+    earlier = find_dates(spark, tables.flat, dates, merge_schema=True)
     if earlier is None:
-        return batch.df
-    files = materialise(batch.df.select("file_path").distinct())
+        return rows
+    files = materialise(rows.select("file_path").distinct())
     kept = join_stored(earlier, files, ["file_path"], "left_anti", salt_by=list(chain.rules.key))
-    return materialise(merged(kept, batch.df)).df
+    # The result replaces the dates that it is read from.
+    return materialise(merged(kept, rows)).df
 
 
 def refresh(
-    spark: SparkSession, tables: Tables, dates: list[dt.date], roles: Roles = DEFAULT_ROLES
+    spark: SparkSession,
+    tables: Tables,
+    dates: list[dt.date],
+    roles: Roles = DEFAULT_ROLES,
+    chain: Chain | None = None,
 ) -> None:
     """Recompute what a change of ``dates`` in the cleaned table affects."""
     if not dates:
         return
+    options: dict = {}
+    if chain is not None:
+        roles = chain.roles
+        options = {"weights": chain.weights, "scaling": chain.scaling, "cuts": chain.cuts,
+                   "exact_cuts": chain.exact_cuts}
     cleaned = read_snapshots(spark, tables.cleaned).select(*roles.columns)
-    board = leaderboard(read_dates(spark, tables.cleaned, dates), roles=roles)
+    board = leaderboard(read_dates(spark, tables.cleaned, dates), roles=roles, **options)
     # Ranking leaves the rows of a snapshot together.
-    write_snapshots(board, tables.leaderboard, contract="leaderboard", arranged=True)
+    write_snapshots(board, tables.leaderboard, contract="leaderboard", arranged=True, roles=roles)
     current = find_table(spark, tables.trends)
     if current is None:
         changed = trends(cleaned, roles)
     else:
         changed = trends_after(cleaned, current, dates, roles)
-    write_snapshots(changed, tables.trends, contract="trends")
+    write_snapshots(changed, tables.trends, contract="trends", roles=roles)
+
+
+def verification(spark: SparkSession, tables: Tables, dates: list[dt.date],
+                 roles: Roles = DEFAULT_ROLES) -> dict[str, int]:
+    """What a load left behind: rows and snapshots of its dates, and nulls where none may be."""
+    rows = read_dates(spark, tables.cleaned, dates, merge_schema=True)
+    summary = table_summary(rows).first()
+    nulls = null_violations(rows, contract_for("cleaned", roles)).where("nulls > 0")
+    return {
+        "n_rows": summary.n_rows, "n_snapshots": summary.n_snapshots,
+        **{f"{row.column_name} null": row.nulls for row in nulls.collect()},
+    }
 
 
 def run_daily(
@@ -138,5 +216,7 @@ def run_daily(
     """Load the landing files, of one date or all, into the tables."""
     envelopes = landing.read_landing(spark, landing_path, multi_line)
     if date is not None:
-        envelopes = envelopes.where(F.col("snapshot_date") == F.lit(date))
+        # Undated files belong to no date; they are told with every load.
+        day = F.col("snapshot_date")
+        envelopes = envelopes.where(day.isNull() | (day == F.lit(date)))
     return load_envelopes(envelopes, tables, chain)

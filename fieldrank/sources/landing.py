@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldrank.materialise import join_stored, materialise
+from fieldrank.materialise import Stored, join_stored, materialise
 from fieldrank.operators.cleaning import CleaningRules
+from fieldrank.roles import DEFAULT_ROLES, Roles
 
 _ENVELOPE = "data ARRAY<STRING>, _malformed STRING"
 _DATE_IN_PATH = r".*(?<![0-9])([0-9]{4}-[0-9]{2}-[0-9]{2})(?![0-9])"
@@ -68,9 +69,12 @@ RECORD = RecordLayout(
 )
 
 
-def record_rules(quality_key: str, layout: RecordLayout = RECORD) -> CleaningRules:
+def record_rules(
+    quality_key: str, layout: RecordLayout = RECORD, roles: Roles = DEFAULT_ROLES
+) -> CleaningRules:
     """Cleaning of flat :data:`RECORD` rows; ``quality_key`` names the
     measurement that serves as quality."""
+    # Which columns are dates, prices and measured with zero for none.
     return CleaningRules(
         key=("id", "snapshot_date"),
         identity=("id", "slug"),
@@ -83,15 +87,15 @@ def record_rules(quality_key: str, layout: RecordLayout = RECORD) -> CleaningRul
         ),
         newest_first=("file_time", "file_path"),
         renames={
-            "id": "entity_id",
-            "slug": "entity_name",
-            "model_creator_slug": "group_name",
-            "pricing_price_1m_input_tokens": "price_in",
-            "pricing_price_1m_output_tokens": "price_out",
-            "median_output_tokens_per_second": "speed",
+            "id": roles.entity_id,
+            "slug": roles.entity_name,
+            "model_creator_slug": roles.group_name,
+            "pricing_price_1m_input_tokens": roles.price_in,
+            "pricing_price_1m_output_tokens": roles.price_out,
+            "median_output_tokens_per_second": roles.speed,
             "median_time_to_first_token_seconds": "first_token_seconds",
             "median_time_to_first_answer_token": "first_answer_seconds",
-            f"{layout.prefix}{quality_key}": "quality",
+            f"{layout.prefix}{quality_key}": roles.quality,
         },
     )
 
@@ -159,18 +163,34 @@ def rejected(envelopes: DataFrame) -> DataFrame:
     )
 
 
-def newest_files(envelopes: DataFrame) -> DataFrame:
-    """Keep each date's newest file only: a file is a whole snapshot, and a
-    later one for the same date replaces it."""
+def _newest_of_dates(envelopes: DataFrame) -> Stored:
     usable = envelopes.where(_reason().isNull())
     stamp = F.struct("file_time", "file_path")
-    newest = materialise(
+    return materialise(
         usable.groupBy("snapshot_date").agg(F.max(stamp).alias("_newest")).select(
             "snapshot_date", F.col("_newest.file_path").alias("file_path")
         )
     )
-    return join_stored(
-        envelopes, newest, ["snapshot_date", "file_path"], "left_semi", salt_by=["file_time"]
+
+
+def _of_files(envelopes: DataFrame, files: Stored, how: str) -> DataFrame:
+    on = ["snapshot_date", "file_path"]
+    return join_stored(envelopes, files, on, how, salt_by=["file_time"])
+
+
+def newest_files(envelopes: DataFrame) -> DataFrame:
+    """Keep each date's newest file only: a file is a whole snapshot, and a
+    later one for the same date replaces it."""
+    return _of_files(envelopes, _newest_of_dates(envelopes), "left_semi")
+
+
+def superseded(envelopes: DataFrame) -> DataFrame:
+    """What :func:`newest_files` leaves out, as :func:`rejected` tells it."""
+    usable = envelopes.where(_reason().isNull())
+    older = _of_files(usable, _newest_of_dates(envelopes), "left_anti")
+    return (
+        older.groupBy("file_path").agg(F.count(F.lit(1)).alias("envelopes"))
+        .select("file_path", F.lit("superseded").alias("reason"), "envelopes")
     )
 
 
@@ -253,7 +273,11 @@ def flatten(
     return opened.select(*values, *origin)
 
 
-def map_keys(df: DataFrame, column: str, at_most: int = 2_000) -> list[str]:
+# Keys that are looked up become columns; more of them are an error.
+MOST_KEYS = 2_000
+
+
+def map_keys(df: DataFrame, column: str, at_most: int = MOST_KEYS) -> list[str]:
     """The distinct keys of a map column, sorted. They become column names, so
     a set too large for a schema is an error."""
     keys = df.select(F.explode(F.map_keys(column)).alias("key")).distinct()
@@ -264,12 +288,31 @@ def map_keys(df: DataFrame, column: str, at_most: int = 2_000) -> list[str]:
 
 
 def spread_map(
-    df: DataFrame, column: str, keys: list[str] | None = None, prefix: str = RECORD.prefix
+    df: DataFrame, column: str, keys: list[str] | None = None, prefix: str = RECORD.prefix,
+    at_most: int = MOST_KEYS,
 ) -> DataFrame:
     """One double column per map key; absent keys and non-numbers are null.
 
-    Without ``keys`` they are looked up first (one pass over the column).
+    Without ``keys`` they are looked up first (one pass over the column), up to
+    ``at_most``; :func:`long_form` has no such limit. Column names do not tell
+    case, so keys that differ in case only share a column, named by the first.
     """
-    keys = map_keys(df, column) if keys is None else keys
-    spread = {f"{prefix}{key}": F.col(column)[F.lit(key)].try_cast("double") for key in keys}
+    keys = map_keys(df, column, at_most) if keys is None else keys
+    spellings: dict[str, list[str]] = {}
+    for key in keys:
+        spellings.setdefault(key.lower(), []).append(key)
+    spread = {
+        f"{prefix}{same[0]}": F.coalesce(*(
+            F.col(column)[F.lit(key)].try_cast("double") for key in same
+        ))
+        for same in spellings.values()
+    }
     return df.withColumns(spread).drop(column) if spread else df.drop(column)
+
+
+def long_form(df: DataFrame, column: str) -> DataFrame:
+    """One row per map entry (``key``, ``value``) instead of a column per key."""
+    others = [name for name in df.columns if name != column]
+    return df.select(*others, F.explode(column).alias("key", "_text")).select(
+        *others, "key", F.col("_text").try_cast("double").alias("value")
+    )

@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fieldrank.contracts import check_contract, check_types
 from fieldrank.materialise import observed_metrics
-from fieldrank.roles import DEFAULT_ROLES
+from fieldrank.names import named
+from fieldrank.roles import DEFAULT_ROLES, Roles
 
 DAY = DEFAULT_ROLES.snapshot_date
 
@@ -25,10 +25,11 @@ _AUDIT = (
 
 @dataclass(frozen=True)
 class Load:
-    """What one write did."""
+    """What one write did; ``rejected`` counts what a landing load left out."""
 
     rows: int
     dates: list[dt.date] = field(default_factory=list)
+    rejected: int = 0
 
 
 def write_snapshots(
@@ -39,6 +40,7 @@ def write_snapshots(
     open_columns: bool = False,
     operation: str = "replace dates",
     arranged: bool = False,
+    roles: Roles = DEFAULT_ROLES,
 ) -> Load:
     """Replace exactly the dates found in ``df``; create the table if needed.
 
@@ -53,7 +55,7 @@ def write_snapshots(
     """
     check_types(df)
     if contract:
-        check_contract(df, contract, open_columns)
+        check_contract(df, contract, open_columns, roles)
     seen = Observation()
     undated = F.raise_error(F.lit(f"row without {day}"))
     dated = df.withColumn(day, F.coalesce(F.col(day), undated.cast("date")))
@@ -105,16 +107,29 @@ def load_history(spark: SparkSession, root: str) -> DataFrame:
 
 def find_table(spark: SparkSession, root: str) -> DataFrame | None:
     """The table, or None while nothing has been written."""
-    return _if_there(lambda: read_snapshots(spark, root))
+    return read_snapshots(spark, root) if stored_dates(spark, root) else None
 
 
-def _if_there(read: Callable[[], DataFrame]) -> DataFrame | None:
-    try:
-        return read()
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+def stored_dates(spark: SparkSession, root: str, day: str = DAY) -> list[dt.date]:
+    """The dates of the table in order, from one listing of its folder; no file
+    is opened."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(root)
+    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    names = (str(status.getPath().getName()) for status in files.listStatus(folder))
+    found = (re.fullmatch(rf"{re.escape(day)}=(\d{{4}}-\d\d-\d\d)", name) for name in names)
+    return sorted(dt.date.fromisoformat(match[1]) for match in found if match)
+
+
+def read_latest(spark: SparkSession, root: str, day: str = DAY) -> DataFrame:
+    """The newest snapshot of the table; only its folder is read.
+
+    A missing table raises Spark's own path error.
+    """
+    dates = stored_dates(spark, root, day)
+    return read_dates(spark, root, dates[-1:], day) if dates else read_snapshots(spark, root)
 
 
 def read_snapshots(
@@ -148,20 +163,27 @@ def read_dates(
     """Those of the named dates that the table has.
 
     Only their folders are listed and only their files asked for columns,
-    however many dates there are. None of them there is a path error.
+    however many dates there are. None of them there is an error.
     """
-    wanted = ",".join(str(date) for date in dates)
+    there = sorted(set(stored_dates(spark, root, day)) & set(dates))
+    if not there:
+        raise FileNotFoundError(f"{root} has none of the wanted dates")
     reader = spark.read.option("basePath", root).option("mergeSchema", merge_schema)
-    return reader.parquet(f"{root.rstrip('/')}/{day}={{{wanted}}}")
+    return reader.parquet(*(f"{_literal(root.rstrip('/'))}/{day}={date}" for date in there))
+
+
+def _literal(path: str) -> str:
+    """A path in which no character stands for others."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
 
 
 def find_dates(
     spark: SparkSession, root: str, dates: list[dt.date], merge_schema: bool = False
 ) -> DataFrame | None:
     """As :func:`read_dates`, or None if the table has none of the dates."""
-    if not dates:
+    if not set(stored_dates(spark, root)) & set(dates):
         return None
-    return _if_there(lambda: read_dates(spark, root, dates, merge_schema=merge_schema))
+    return read_dates(spark, root, dates, merge_schema=merge_schema)
 
 
 def merged(older: DataFrame, newer: DataFrame) -> DataFrame:
@@ -181,8 +203,8 @@ def table_health(df: DataFrame, columns: list[str], day: str = DAY) -> DataFrame
     parts = [F.count(F.lit(1)).alias("n_rows")]
     for name in columns:
         parts += [
-            F.count_if(F.col(name).isNull()).alias(f"{name}_nulls"),
-            F.min(name).alias(f"{name}_lo"),
-            F.max(name).alias(f"{name}_hi"),
+            F.count_if(named(name).isNull()).alias(f"{name}_nulls"),
+            F.min(named(name)).alias(f"{name}_lo"),
+            F.max(named(name)).alias(f"{name}_hi"),
         ]
     return df.groupBy(day).agg(*parts)

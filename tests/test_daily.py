@@ -5,7 +5,7 @@ from test_landing import land, record
 from fieldrank.__main__ import main
 from fieldrank.operators.scoring import leaderboard
 from fieldrank.operators.trends import trends
-from fieldrank.plans.daily import Chain, Tables, run_daily
+from fieldrank.plans.daily import Chain, RejectedInput, Tables, run_daily, verification
 from fieldrank.sources import landing, store
 from fieldrank.streaming.ingest import ingest_available
 
@@ -94,12 +94,12 @@ def test_stream_loads_only_new_files(spark, tmp_path):
 
 
 def test_stream_corrects_a_date(spark, tmp_path):
-    files = tmp_path / "in"
+    files, whole = tmp_path / "in", Chain(landing.record_rules("index"), whole_files=True)
     land(files, 1, day(1), minute=1)
     land(files, 2, day(2), minute=2)
-    tables = stream(spark, tmp_path)
+    tables = stream(spark, tmp_path, whole)
     land(files, 1, day(5, "bcd"), minute=3, name="raw_2024-01-01_again.json")
-    stream(spark, tmp_path)
+    stream(spark, tmp_path, whole)
     cleaned = consistent(spark, tables)
     assert [row["entity_id"] for row in cleaned.where("snapshot_date = '2024-01-01'")
             .orderBy("entity_id").collect()] == ["b", "c", "d"]
@@ -110,8 +110,7 @@ def test_files_of_a_date_can_complete_each_other(spark, tmp_path, per_batch):
     files = tmp_path / "in"
     land(files, 1, day(1, "ab"), minute=1, name="2024-01-01/part-0.json")
     land(files, 1, day(2, "bc"), minute=2, name="2024-01-01/part-1.json")
-    chain = Chain(landing.record_rules("index"), whole_files=False)
-    tables = stream(spark, tmp_path, chain, files_per_batch=per_batch)
+    tables = stream(spark, tmp_path, files_per_batch=per_batch)
     cleaned = as_dicts(consistent(spark, tables), "entity_id")
     assert [(row["entity_id"], row["speed"]) for row in cleaned] == [
         ("a", 10.0), ("b", 20.0), ("c", 21.0)
@@ -123,6 +122,76 @@ def test_command_line(spark, tmp_path, capsys):
     land(tmp_path / "in", 2, day(2))
     common = [str(tmp_path / "in"), str(tmp_path / "out"), "--quality-key", "index"]
     main([*common, "--date", "2024-01-02"])
-    assert capsys.readouterr().out == "3 rows on 1 dates\n"
+    told = capsys.readouterr().out.splitlines()
+    assert told == ["3 rows on 1 dates, 0 rejects", "{'n_rows': 3, 'n_snapshots': 1}"]
     main([*common, "--stream", str(tmp_path / "checkpoint")])
     assert consistent(spark, Tables(str(tmp_path / "out"))).count() == 6
+
+
+def rejects(spark, tables):
+    found = spark.read.parquet(tables.rejects).collect()
+    return sorted((row.file_path and row.file_path.rsplit("/", 1)[1], row.reason, row.envelopes)
+                  for row in found)
+
+
+def bad_landing(files):
+    land(files, 1, day(1), minute=1)
+    land(files, 1, day(2, "ab"), minute=2, name="raw_2024-01-01_b.json")
+    land(files, 2, "{not json")
+    land(files, 3, '{"status": 1}')
+    land(files, 4, day(4), name="undated.json")
+
+
+def test_what_a_load_leaves_out_is_recorded(spark, tmp_path):
+    bad_landing(tmp_path / "in")
+    unusable = [("raw_2024-01-02.json", "malformed", 1), ("raw_2024-01-03.json", "no data list", 1),
+                ("undated.json", "no date in path", 1)]
+    tables = Tables(str(tmp_path / "a"))
+    load = run_daily(spark, str(tmp_path / "in"), tables, CHAIN)
+    assert (load.rows, load.rejected) == (3, 3)
+    assert rejects(spark, tables) == unusable
+    tables = Tables(str(tmp_path / "b"))
+    load = run_daily(spark, str(tmp_path / "in"), tables, Chain(CHAIN.rules, whole_files=True))
+    assert (load.rows, load.rejected) == (2, 4)
+    assert rejects(spark, tables) == [("raw_2024-01-01.json", "superseded", 1), *unusable]
+
+
+def test_a_strict_load_writes_nothing(spark, tmp_path):
+    bad_landing(tmp_path / "in")
+    tables = Tables(str(tmp_path / "out"))
+    with pytest.raises(RejectedInput, match="raw_2024-01-02.json: 1 malformed"):
+        run_daily(spark, str(tmp_path / "in"), tables, Chain(CHAIN.rules, on_reject="fail"))
+    assert store.find_table(spark, tables.flat) is None
+    with pytest.raises(ValueError, match="on_reject"):
+        run_daily(spark, str(tmp_path / "in"), tables, Chain(CHAIN.rules, on_reject="hide"))
+
+
+def test_unreadable_values_are_counted(spark, tmp_path):
+    land(tmp_path / "in", 1, [record("a", price="free"), record("b", price="Infinity"), record("c")])
+    tables = Tables(str(tmp_path / "out"))
+    run_daily(spark, str(tmp_path / "in"), tables, CHAIN)
+    assert rejects(spark, tables) == [(None, "unreadable pricing_price_1m_input_tokens", 2)]
+    consistent(spark, tables)
+
+
+def test_a_bad_file_in_a_stream_is_recorded(spark, tmp_path):
+    land(tmp_path / "in", 1, day(1), minute=1)
+    land(tmp_path / "in", 2, "{", minute=2)
+    tables = stream(spark, tmp_path, files_per_batch=1)
+    assert rejects(spark, tables) == [("raw_2024-01-02.json", "malformed", 1)]
+    assert consistent(spark, tables).count() == 3
+
+
+def test_odd_keys_and_a_day_without_quality(spark, tmp_path):
+    land(tmp_path / "in", 1, day(1, evaluations={"v2.1": 3, "a b": 4, "`": 5, "Up": 6}))
+    tables = Tables(str(tmp_path / "out"))
+    run_daily(spark, str(tmp_path / "in"), tables, CHAIN)
+    land(tmp_path / "in", 2, day(2))
+    run_daily(spark, str(tmp_path / "in"), tables, CHAIN, day_of(2))
+    cleaned = store.read_snapshots(spark, tables.cleaned, merge_schema=True)
+    first = as_dicts(cleaned, "snapshot_date", "entity_id")[0]
+    assert (first["eval_v2.1"], first["eval_a b"], first["eval_`"], first["quality"]) == (3, 4, 5, None)
+    board = store.read_snapshots(spark, tables.leaderboard)
+    assert {row.snapshot_date for row in board.collect()} == {day_of(2)}
+    found = verification(spark, tables, [day_of(1), day_of(2)])
+    assert found == {"n_rows": 6, "n_snapshots": 2}

@@ -1,5 +1,7 @@
 """The physical plans that the operators are meant to have."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 from test_scoring import random_field
@@ -86,3 +88,23 @@ def test_reports_read_ranks_instead_of_computing_them(spark, table, tmp_path):
         plan = plan_of(report)
         assert exchanges(plan) == [] and "PushedFilters: [IsNotNull(rank)" in plan
     assert "TakeOrderedAndProject" in plan_of(top_n(board, "2024-01-01", 3))
+
+
+def test_a_correction_reads_bounded_dates(spark, snapshot_rows, tmp_path, monkeypatch):
+    rows = snapshot_rows(*((key, n, n, 1, 1, 1) for key in "abc" for n in range(1, 6)))
+    cleaned, table = str(tmp_path / "c"), str(tmp_path / "t")
+    store.write_snapshots(rows, cleaned)
+    store.write_snapshots(trends.trends(rows), table)
+    days = store.stored_dates(spark, cleaned)
+    written, keep = [], trends.materialise
+    monkeypatch.setattr(
+        trends, "materialise", lambda df, **o: written.append(plan_of(df)) or keep(df, **o)
+    )
+    trends.trends_after(
+        store.read_snapshots(spark, cleaned), store.read_snapshots(spark, table), days[2:3],
+        lookback_days=1,
+    )
+    filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", " ".join(written))
+    of_tables = [found for found in filters if "snapshot_date" in found]
+    assert len(of_tables) > 4
+    assert not any(re.search(r"snapshot_date#\d+ [<>]", found) for found in of_tables)

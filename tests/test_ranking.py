@@ -148,13 +148,13 @@ def test_scratch_folder_is_the_sessions_own():
         written.scratch_folder(Session("yarn"))
 
 
-def test_numbers_widen_only_for_groups_beyond_int(skewed):
+def test_numbers_have_one_type_at_every_size(skewed):
     sizes = ranking.group_sizes(skewed, ["grp"])
     rows = written.join_stored(skewed, sizes, ["grp"])
     orders = {"number": [F.col("score"), F.col("key")]}
-    for largest, kind in ((3_000, "int"), (2**31, "bigint")):
-        found = ranking.number_rows(rows, ["grp"], orders, "n_rows", largest, window_rows=500)
-        assert found.schema["number"].dataType.simpleString() == kind
+    for limit in (500, 5_000):
+        found = ranking.number_rows(rows, ["grp"], orders, "n_rows", 3_000, window_rows=limit)
+        assert found.schema["number"].dataType.simpleString() == "bigint"
 
 
 def test_nothing_depends_on_broadcasts(snapshot_rows, monkeypatch):

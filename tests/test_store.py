@@ -111,4 +111,15 @@ def test_only_a_missing_table_counts_as_none(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     assert store.find_table(spark, str(tmp_path / "empty")) is None
     with pytest.raises(AnalysisException):
-        store._if_there(lambda: spark.range(1).select("absent"))
+        store.read_latest(spark, str(tmp_path / "absent"))
+
+
+def test_dates_come_from_the_listing(snapshot_rows, spark, tmp_path):
+    root = str(tmp_path / "odd {a,b}[1]*?" / "table")
+    rows = snapshot_rows(("a", 1, 1, 1, 1, 1), ("a", 3, 2, 1, 1, 1), ("b", 3, 4, 1, 1, 1))
+    store.write_snapshots(rows, root)
+    assert store.stored_dates(spark, root) == [day_of(1), day_of(3)]
+    assert store.read_latest(spark, root).count() == 2
+    assert store.read_dates(spark, root, [day_of(1), day_of(2)]).count() == 1
+    assert store.find_dates(spark, root, [day_of(2)]) is None
+    assert "snapshot_date=2024-01-01" not in " ".join(store.read_latest(spark, root).inputFiles())

@@ -61,6 +61,11 @@ def _stored_table(
     return read_snapshots(spark, _stored[key])
 
 
+def snapshots_root(spark: SparkSession, sf_dir: str) -> str:
+    snapshots(spark, sf_dir)
+    return _stored[spark.sparkContext.applicationId, sf_dir, "snapshots"]
+
+
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_table(
         spark, sf_dir, "snapshots", lambda: build_snapshots(spark, sf_dir), "cleaned"
@@ -178,8 +183,15 @@ def land_snapshots(spark: SparkSession, sf_dir: str) -> str:
     """The snapshot table as landing files, one envelope per line in a folder
     per date; returns the folder."""
     path = scratch_folder(spark)
-    rows = snapshots(spark, sf_dir).select(
-        "snapshot_date",
+    rows = snapshot_lines(spark, sf_dir)
+    rows.hint("rebalance", "snapshot_date").write.partitionBy("snapshot_date").text(path)
+    return path
+
+
+def snapshot_lines(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """An envelope (``value``) per row of the snapshot table."""
+    return snapshots(spark, sf_dir).select(
+        "snapshot_date", *more,
         F.concat(
             F.lit('{"data": ['),
             _record(
@@ -191,5 +203,3 @@ def land_snapshots(spark: SparkSession, sf_dir: str) -> str:
             F.lit("]}"),
         ).alias("value"),
     )
-    rows.hint("rebalance", "snapshot_date").write.partitionBy("snapshot_date").text(path)
-    return path

@@ -97,7 +97,7 @@ normed AS (
 def _place(column: str) -> str:
     return (
         "CAST(ROW_NUMBER() OVER (PARTITION BY snapshot_date "
-        f"ORDER BY {column} DESC, entity_id) AS INTEGER)"
+        f"ORDER BY {column} DESC, entity_id) AS BIGINT)"
     )
 
 
@@ -393,3 +393,93 @@ ORACLE |= {
     "percent_rank_two_pass": ORACLE["percent_rank_norm"],
     "stream_trends": ORACLE["trends_full"],
 }
+
+_ODD = "CASE WHEN p_partkey % 5 = {0} THEN CAST(p_size AS DOUBLE) END"
+_FINITE = """
+finite AS (SELECT * REPLACE (CASE WHEN speed % 3 = 2 THEN speed END AS speed) FROM snap)"""
+_RELOADED_TWICE = f"""
+twice AS (
+  SELECT * FROM snap WHERE snapshot_date <> {DAY}
+  UNION ALL
+  SELECT entity_id, entity_name, group_name, snapshot_date, quality + 1e2, speed, price_in, price_out
+  FROM snap WHERE snapshot_date = {DAY} AND CAST(entity_id AS INTEGER) % 3 <> 0
+)"""
+_CORRECTED = f"""
+given AS (
+  SELECT * REPLACE (CASE WHEN snapshot_date = {RELOADED} AND CAST(entity_id AS INTEGER) % 2 = 0
+                         THEN 1e0 ELSE quality END AS quality) FROM snap
+)"""
+
+
+def _of(parts, source: str):
+    """The steps after ``snap``, from another table."""
+    return [part.replace("FROM snap", f"FROM {source}") for part in parts]
+
+
+ORACLE |= {
+    "latest_of_frame": ORACLE["latest_snapshot"],
+    "landing_rows": _with([SNAP], """
+SELECT entity_id AS id, entity_name AS slug, CAST(snapshot_date AS VARCHAR) AS release_date,
+       group_name AS model_creator_slug,
+       CAST(price_in AS VARCHAR) AS pricing_price_1m_input_tokens,
+       CAST(price_out AS VARCHAR) AS pricing_price_1m_output_tokens,
+       CAST(COALESCE(speed, 0e0) AS VARCHAR) AS median_output_tokens_per_second,
+       '0.0' AS median_time_to_first_token_seconds,
+       CAST(NULL AS VARCHAR) AS median_time_to_first_answer_token,
+       snapshot_date, quality AS eval_index
+FROM snap"""),
+    "measurements_by_row": "SELECT CAST(p_partkey AS VARCHAR) AS id, " + ", ".join(
+        f"CASE WHEN p_type = {kind.upper()!r} THEN CAST(p_size AS DOUBLE) END AS eval_{kind}"
+        for kind in ("economy", "large", "medium", "promo", "small", "standard")
+    ) + " FROM part",
+    "measurements_long": """
+SELECT CAST(p_partkey AS VARCHAR) AS id, LOWER(p_type) AS key, CAST(p_size AS DOUBLE) AS value
+FROM part""",
+    "incomplete_by_record": """
+SELECT CAST(p_partkey AS VARCHAR) AS id,
+       'release_date,pricing.price_1m_input_tokens,pricing.price_1m_output_tokens,'
+       || 'median_output_tokens_per_second,median_time_to_first_token_seconds,'
+       || 'median_time_to_first_answer_token' AS missing
+FROM part""",
+    "spread_odd_keys": f"""
+SELECT CAST(p_partkey AS VARCHAR) AS id, DATE '2024-01-01' AS snapshot_date,
+       CASE WHEN p_partkey % 5 IN (3, 4) THEN CAST(p_size AS DOUBLE) END AS m0,
+       {_ODD.format(2)} AS m1, {_ODD.format(0)} AS m2, {_ODD.format(1)} AS m3
+FROM part""",
+    "clean_infinite": _with(
+        [SNAP, _FINITE, *_of(LEADERBOARD[1:], "finite")],
+        "SELECT snapshot_date, entity_id, rank, speed_norm, composite_score FROM board",
+    ),
+    "identity_rows": _with([SNAP, RAW], """
+SELECT * FROM raw WHERE id IS NOT NULL AND slug IS NOT NULL"""),
+    "sentinel_rows": _with([SNAP, RAW], """
+SELECT id, snapshot_date, delivery, NULLIF(rate, 0e0) AS rate FROM raw"""),
+    "written_two_pass_board": ORACLE["leaderboard"],
+    "trends_two_reloads": _with([SNAP, _RELOADED_TWICE], _trends("twice")),
+    "ever_top_five": _with(LEADERBOARD, """
+SELECT * FROM board WHERE entity_name IN (SELECT entity_name FROM board WHERE rank <= 5)"""),
+    "ever_top_five_ids": _with(LEADERBOARD, """
+SELECT * FROM board WHERE entity_id IN (SELECT entity_id FROM board WHERE rank <= 5)"""),
+    "chain_parts": _with([SNAP], "SELECT * FROM snap"),
+    "chain_rejects": _with([SNAP], """
+SELECT snapshot_date,
+       CASE WHEN CAST(entity_id AS INTEGER) % 4 = 0 THEN 'malformed' ELSE 'no data list' END AS reason,
+       CAST(COUNT(*) AS BIGINT) AS envelopes
+FROM snap WHERE CAST(entity_id AS INTEGER) % 4 < 2 GROUP BY 1, 2"""),
+    "chain_without_quality": _with(LEADERBOARD, f"""
+SELECT s.* REPLACE (CASE WHEN s.snapshot_date = {RELOADED} THEN quality END AS quality), rank
+FROM snap s LEFT JOIN (SELECT entity_id, snapshot_date, rank FROM board
+                       WHERE snapshot_date = {RELOADED}) b USING (entity_id, snapshot_date)
+WHERE s.snapshot_date IN ({RELOADED}, {DAY})"""),
+    "chain_other_names": _with(
+        [part.replace("5e-1 + speed_norm * 3e-1 + price_norm * 2e-1",
+                      "25e-2 + speed_norm * 5e-1 + price_norm * 25e-2") for part in LEADERBOARD],
+        "SELECT entity_id AS key, entity_name AS label, snapshot_date, rank, composite_score, "
+        "cost_tier FROM board",
+    ),
+    "stream_correction": _with([SNAP, _CORRECTED], _trends("given")),
+    "stream_correction_board": _with(
+        [SNAP, _CORRECTED, *_of(LEADERBOARD[1:], "given")], "SELECT * FROM board"
+    ),
+}
+ORACLE["flat_table"] = ORACLE["landing_rows"]

@@ -15,8 +15,9 @@ from fieldrank.operators import snapshots as slices
 from fieldrank.operators.ranking import number_rows
 from fieldrank.operators.scoring import Scaling, Weights
 from fieldrank.operators.trends import trends, trends_after, with_previous
-from fieldrank.plans.daily import Chain, Tables
+from fieldrank.plans.daily import Chain, Tables, run_daily
 from fieldrank.roles import DEFAULT_ROLES as R
+from fieldrank.roles import Roles
 from fieldrank.sources import landing, store
 from fieldrank.streaming.ingest import ingest_available
 from workload import fixtures as fx
@@ -93,18 +94,86 @@ def landing_rejects(spark, sf_dir):
     return rejects.groupBy("reason").agg(F.sum("envelopes").alias("envelopes"))
 
 
-def incomplete_records(spark, sf_dir):
-    short = fx.table(spark, sf_dir, "part").select(
+def _short_records(spark, sf_dir):
+    return fx.table(spark, sf_dir, "part").select(
         F.to_json(F.struct(
             F.col("p_partkey").cast("string").alias("id"),
             F.col("p_name").alias("slug"),
             F.struct(F.col("p_brand").alias("slug")).alias("model_creator"),
         )).alias("record")
     )
+
+
+def incomplete_records(spark, sf_dir):
+    short = _short_records(spark, sf_dir)
     absent = landing.incomplete_records(short).select(F.explode("missing").alias("key"))
     return absent.groupBy("key").agg(F.count(F.lit(1)).alias("n_records"))
 
 
+def landing_rows(spark, sf_dir):
+    """All columns of all records, with the file's date."""
+    envelopes = landing.read_landing(spark, fx.land_snapshots(spark, sf_dir), multi_line=False)
+    rows = landing.flatten(landing.records(envelopes), keep_origin=False)
+    return landing.spread_map(rows, "evaluations", ["index"])
+
+
+def measurements_by_row(spark, sf_dir):
+    flat = landing.flatten(fx.part_records(spark, sf_dir), keep_origin=False)
+    return landing.spread_map(flat.select("id", "evaluations"), "evaluations")
+
+
+def measurements_long(spark, sf_dir):
+    flat = landing.flatten(fx.part_records(spark, sf_dir), keep_origin=False)
+    return landing.long_form(flat.select("id", "evaluations"), "evaluations")
+
+
+def incomplete_by_record(spark, sf_dir):
+    found = landing.incomplete_records(_short_records(spark, sf_dir))
+    return found.select(
+        F.get_json_object("record", "$.id").alias("id"), F.array_join("missing", ",").alias("missing")
+    )
+
+
+ODD_KEYS = ("v2.1", "with space", "tick`s", "Case", "case")
+
+
+def spread_odd_keys(spark, sf_dir):
+    """Measurement keys that are no plain names, through spreading and cleaning."""
+    parts = fx.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("id"), F.lit("2024-01-01").alias("snapshot_date"),
+        F.create_map(
+            F.element_at(F.array(*map(F.lit, ODD_KEYS)), (F.col("p_partkey") % 5 + 1).cast("int")),
+            F.col("p_size").cast("string"),
+        ).alias("m"),
+    )
+    rules = cleaning.CleaningRules(("id", "snapshot_date"), ("id",), dates=("snapshot_date",))
+    rows = cleaning.clean(landing.spread_map(parts, "m"), rules)
+    return rows.toDF("id", "snapshot_date", *(f"m{i}" for i in range(len(rows.columns) - 2)))
+
+
+def clean_infinite(spark, sf_dir):
+    """Ranks where some speeds are not finite: those rows are not scored."""
+    speed = F.when(F.col("speed") % 3 == 0, F.lit("Infinity")).when(
+        F.col("speed") % 3 == 1, F.lit("NaN")).otherwise(F.col("speed").cast("string"))
+    rows = fx.snapshots(spark, sf_dir).withColumn("speed", speed)
+    rules = cleaning.CleaningRules(
+        ("entity_id", "snapshot_date"), ("entity_id",), zero_is_missing=("speed",)
+    )
+    board = scoring.leaderboard(cleaning.clean(rows, rules), exact_cuts=True)
+    return board.select("snapshot_date", "entity_id", "rank", "speed_norm", "composite_score")
+
+
+def identity_rows(spark, sf_dir):
+    return cleaning.with_identity(fx.raw_rows(spark, sf_dir), ["id", "slug"])
+
+
+def sentinel_rows(spark, sf_dir):
+    rules = cleaning.CleaningRules((), (), zero_is_missing=("rate", "absent"))
+    return cleaning.typed(fx.raw_rows(spark, sf_dir), rules).select(
+        "id", "snapshot_date", "delivery", "rate"
+    )
+
+
 def clean_snapshots(spark, sf_dir):
     return cleaning.clean(fx.raw_rows(spark, sf_dir), fx.RAW_RULES)
 
@@ -303,6 +372,14 @@ def leaderboard_approx(spark, sf_dir):
     return scoring.leaderboard(fx.snapshots(spark, sf_dir)).drop("cost_tier")
 
 
+def written_two_pass_board(spark, sf_dir):
+    """The two-pass board through the contract of its table."""
+    root = scratch_folder(spark)
+    board = scoring.leaderboard(fx.snapshots(spark, sf_dir), exact_cuts=True, window_rows=SMALL)
+    store.write_snapshots(board, root, contract="leaderboard")
+    return store.read_snapshots(spark, root)
+
+
 # Trends
 
 def previous_values(spark, sf_dir):
@@ -332,9 +409,33 @@ def trends_incremental(spark, sf_dir):
     return store.read_snapshots(spark, root)
 
 
+def trends_two_reloads(spark, sf_dir):
+    """An early and a late date are reloaded with fewer entities, then the early
+    one with all of them again."""
+    rows = fx.snapshots(spark, sf_dir)
+    root, table = scratch_folder(spark), scratch_folder(spark)
+    store.write_snapshots(rows, root)
+    store.write_snapshots(trends(rows), table, contract="trends")
+    both = rows.where(F.col(R.snapshot_date).isin(RELOADED, DAY))
+    fewer = both.where(F.col("entity_id").cast("int") % 3 != 0)
+    steps = (
+        (fewer.withColumn("quality", F.col("quality") + 100.0), [RELOADED, DAY]),
+        (both.where(F.col(R.snapshot_date) == F.lit(RELOADED)), [RELOADED]),
+    )
+    for change, dates in steps:
+        store.write_snapshots(change, root)
+        after, current = store.read_snapshots(spark, root), store.read_snapshots(spark, table)
+        store.write_snapshots(trends_after(after, current, dates), table, contract="trends")
+    return store.read_snapshots(spark, table)
+
+
 # Reports
 
 def latest_snapshot(spark, sf_dir):
+    return store.read_latest(spark, fx.snapshots_root(spark, sf_dir))
+
+
+def latest_of_frame(spark, sf_dir):
     return slices.latest_snapshot(fx.snapshots(spark, sf_dir))
 
 
@@ -367,6 +468,14 @@ def ever_top_n(spark, sf_dir):
     return reports.series(reports.ever_top_n(board, 1, "entity_name"))
 
 
+def ever_top_five(spark, sf_dir):
+    return reports.series(reports.ever_top_n(fx.board(spark, sf_dir), 5, "entity_name"))
+
+
+def ever_top_five_ids(spark, sf_dir):
+    return reports.series(reports.ever_top_n(fx.board(spark, sf_dir), 5, "entity_id"))
+
+
 def tier_summary(spark, sf_dir):
     summary = reports.tier_summary(fx.board(spark, sf_dir))
     return summary.withColumns({
@@ -418,7 +527,7 @@ def entered_dropped(spark, sf_dir):
 
 def _ingested(spark, sf_dir) -> Tables:
     tables = Tables(scratch_folder(spark))
-    chain = Chain(landing.record_rules("index"), keys=["index"], whole_files=False)
+    chain = Chain(landing.record_rules("index"), keys=["index"])
     ingest_available(
         spark, fx.land_snapshots(spark, sf_dir), tables, chain,
         checkpoint=f"{tables.root}/_stream", multi_line=False,
@@ -426,6 +535,89 @@ def _ingested(spark, sf_dir) -> Tables:
     return tables
 
 
+def flat_table(spark, sf_dir):
+    """The flat table that a load leaves, without the origin of its rows."""
+    return store.read_snapshots(spark, _ingested(spark, sf_dir).flat).drop("file_path", "file_time")
+
+
+def _loaded(spark, sf_dir, lines: DataFrame, chain: Chain, days=None) -> Tables:
+    """Loads ``lines`` (``value`` per ``snapshot_date``), all at once or day by day."""
+    path, tables = scratch_folder(spark), Tables(scratch_folder(spark))
+    lines.write.partitionBy("snapshot_date").text(path)
+    for day in days or [None]:
+        run_daily(spark, path, tables, chain, day, multi_line=False)
+    return tables
+
+
+INDEX = Chain(landing.record_rules("index"), exact_cuts=True)
+
+
+def chain_parts(spark, sf_dir):
+    """Several files of a date complete each other without being asked to."""
+    lines = fx.snapshot_lines(spark, sf_dir).repartition(3)
+    tables = _loaded(spark, sf_dir, lines, INDEX)
+    return store.read_snapshots(spark, tables.cleaned).select(*R.columns)
+
+
+def chain_rejects(spark, sf_dir):
+    """What a load could not use, by its date and reason."""
+    bad = F.pmod(F.col("entity_id").cast("int"), F.lit(4))
+    lines = fx.snapshot_lines(spark, sf_dir, "entity_id").withColumn(
+        "value", F.when(bad == 0, F.lit("{")).when(bad == 1, F.lit('{"status": 1}'))
+        .otherwise(F.col("value")))
+    tables = _loaded(spark, sf_dir, lines.drop("entity_id"), INDEX)
+    day = F.regexp_extract("file_path", r"(\d{4}-\d\d-\d\d)", 1).cast("date")
+    return spark.read.parquet(tables.rejects).groupBy(
+        day.alias("snapshot_date"), "reason"
+    ).agg(F.sum("envelopes").alias("envelopes"))
+
+
+def chain_without_quality(spark, sf_dir):
+    """One day, loaded alone, has no quality: it is stored and has no ranks."""
+    lines = fx.snapshot_lines(spark, sf_dir).where(F.col(R.snapshot_date).isin(RELOADED, DAY))
+    renamed = F.replace(F.col("value"), F.lit('"index"'), F.lit('"other"'))
+    lines = lines.withColumn(
+        "value", F.when(F.col(R.snapshot_date) == F.lit(DAY), renamed).otherwise(F.col("value")))
+    tables = _loaded(spark, sf_dir, lines, INDEX, [DAY, RELOADED])
+    cleaned = store.read_snapshots(spark, tables.cleaned, merge_schema=True)
+    board = store.read_snapshots(spark, tables.leaderboard)
+    ranks = board.select("entity_id", "snapshot_date", "rank")
+    return cleaned.select(*R.columns).join(ranks, ["entity_id", "snapshot_date"], "left")
+
+
+def chain_other_names(spark, sf_dir):
+    """An installation with column names, weights and scaling of its own."""
+    roles = Roles(entity_id="key", entity_name="label", quality="merit", price_in="cost in")
+    chain = Chain(
+        landing.record_rules("index", roles=roles), roles=roles, weights=WEIGHTINGS["fast"],
+        exact_cuts=True,
+    )
+    tables = _loaded(spark, sf_dir, fx.snapshot_lines(spark, sf_dir), chain)
+    board = store.read_snapshots(spark, tables.leaderboard)
+    return board.select("key", "label", "snapshot_date", "rank", "composite_score", "cost_tier")
+
+
+def _corrected(spark, sf_dir) -> Tables:
+    """The stream after a second batch that corrects one date."""
+    path, tables = scratch_folder(spark), Tables(scratch_folder(spark))
+    lines = fx.snapshot_lines(spark, sf_dir, "entity_id")
+    changed = (F.col(R.snapshot_date) == F.lit(RELOADED)) & (F.col("entity_id").cast("int") % 2 == 0)
+    fix = F.regexp_replace("value", r'"index":[0-9.]+', '"index":1.0')
+    chain = Chain(landing.record_rules("index"), keys=["index"], exact_cuts=True)
+    for batch in (lines, lines.where(changed).withColumn("value", fix)):
+        batch.drop("entity_id").write.mode("append").partitionBy("snapshot_date").text(path)
+        ingest_available(spark, path, tables, chain, f"{tables.root}/_stream", multi_line=False)
+    return tables
+
+
+def stream_correction(spark, sf_dir):
+    return store.read_snapshots(spark, _corrected(spark, sf_dir).trends)
+
+
+def stream_correction_board(spark, sf_dir):
+    return store.read_snapshots(spark, _corrected(spark, sf_dir).leaderboard)
+
+
 def stream_ingest(spark, sf_dir):
     tables = _ingested(spark, sf_dir)
     return store.read_snapshots(spark, tables.cleaned).select(*R.columns)
@@ -449,6 +641,10 @@ QUERIES: dict[str, Query] = {
         latest_snapshot, asof_snapshot, asof_events, best_overall, best_value, top_n,
         top_n_per_snapshot, ever_top_n, tier_summary, percent_rank_norm, percent_rank_two_pass,
         zscore_clip_norm, log_price_norm, reweighted_winner, rank_movement, entered_dropped,
-        stream_ingest, stream_trends,
+        stream_ingest, stream_trends, latest_of_frame, landing_rows, measurements_by_row,
+        measurements_long, incomplete_by_record, spread_odd_keys, clean_infinite, identity_rows,
+        sentinel_rows, written_two_pass_board, trends_two_reloads, ever_top_five,
+        ever_top_five_ids, flat_table, chain_parts, chain_rejects, chain_without_quality,
+        chain_other_names, stream_correction, stream_correction_board,
     )
 }
