@@ -4,11 +4,13 @@ A fingerprint has 64 bits, the majority bits of the XXH64 hashes of all word
 shingles. Two fingerprints that differ in at most ``distance`` bits agree in one
 of ``distance + 1`` blocks of bits, so fingerprints meet by block value and are
 then compared. Equal fingerprints are one row from the start, whatever their
-number of documents. A block value with more fingerprints than ``BUCKET`` is cut
-again by blocks of the remaining bits (the same argument holds inside it), so no
-task ever holds a large group and no link is lost. Within a bucket each
-fingerprint found leaves the search, so a close group of n costs n steps and
-gives n - 1 links, never all pairs.
+number of documents. A block value with more fingerprints than ``BUCKET`` is first
+linked to the one with the most documents; if most of it is not close to that, it
+is cut again by blocks of the remaining bits (the same argument holds inside it),
+and what is left to compare is compared in groups of bounded size. So no task ever
+holds a large group and no link is lost. Within a group each fingerprint found
+leaves the search, so n close ones cost n steps and give n - 1 links, never all
+pairs.
 
 Nulls and empty texts have no words and fingerprint zero, which is linked like
 any other. A null id is never a component's id unless all its ids are null.
@@ -38,7 +40,7 @@ DISTANCE = 4
 SEED = 42
 
 # Most fingerprints that are compared within one bucket.
-BUCKET = 4096
+BUCKET = 8192
 
 # Shingle hashes whose bits are counted at once.
 _CHUNK = 1 << 16
@@ -90,16 +92,16 @@ def _split(mask: int, parts: int) -> list[int]:
 
 
 def _bucketed(rows: DataFrame, masks: list[list[int]]) -> DataFrame:
-    """Each row once per block of its path: ``path``, ``value`` and ``fp``."""
+    """Each row once per block of its path: ``path``, ``value``, ``fp`` and ``n``."""
     parts = len(masks[0])
     listed = F.array(*[
         F.array(*[F.lit(_signed(mask)).cast("long") for mask in group]) for group in masks
     ])
     group = F.element_at(listed, F.col("path") + 1)
-    return rows.select("path", "fp", F.posexplode(group).alias("_part", "_mask")).select(
+    return rows.select("path", "fp", "n", F.posexplode(group).alias("_part", "_mask")).select(
         (F.col("path") * parts + F.col("_part")).alias("path"),
         F.col("fp").bitwiseAND(F.col("_mask")).alias("value"),
-        "fp",
+        "fp", "n",
     )
 
 
@@ -141,7 +143,7 @@ def _links(keys: np.ndarray, fps: np.ndarray, distance: int) -> list[np.ndarray]
 def _linker(distance: int):
     """Finds links in batches that arrive sorted by key; a run may span batches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = np.zeros(0, dtype=[("path", np.int64), ("value", np.int64)])
+        keys = np.zeros(0, dtype=[(name, np.int64) for name in (*_ON, "a", "b")])
         fps = np.zeros(0, dtype=np.uint64)
 
         def result(keys, fps):
@@ -150,8 +152,8 @@ def _linker(distance: int):
 
         for batch in batches:
             more = np.empty(batch.num_rows, dtype=keys.dtype)
-            more["path"] = batch.column("path").to_numpy()
-            more["value"] = batch.column("value").to_numpy()
+            for name in keys.dtype.names:
+                more[name] = batch.column(name).to_numpy()
             keys = np.concatenate((keys, more))
             fps = np.concatenate((fps, batch.column("fp").to_numpy().view(np.uint64)))
             ends = np.flatnonzero(keys[1:] != keys[:-1])
@@ -165,31 +167,72 @@ def _linker(distance: int):
     return run
 
 
+_ON = ["path", "value"]
+
+
 def links(fps: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -> DataFrame:
-    """Links ``u``, ``v`` that join all of the distinct fingerprints ``fp`` that reach each other."""
-    parts = distance + 1
-    rows, masks = fps.select(F.lit(0).alias("path"), "fp"), [_split(0, parts)]
-    found = None
-    while True:
-        cut = _bucketed(rows, masks)
-        counts = cut.groupBy("path", "value").agg(F.count(F.lit(1)).alias("n"))
-        large = materialise(counts.where(F.col("n") > bucket).select("path", "value"))
-        small = join_measured(cut, large, ["path", "value"], "left_anti") if large.rows else cut
-        linked = (
-            small.repartition("path", "value").sortWithinPartitions("path", "value")
-            .mapInArrow(_linker(distance), "u long, v long")
-        )
-        found = linked if found is None else found.union(linked)
-        if not large.rows:
-            return found
-        # Only paths with a large bucket go on; there are at most as many as blocks.
-        paths = sorted(r.path for r in large.df.select("path").distinct().collect())
-        number = F.array_position(F.array(*[F.lit(path) for path in paths]), F.col("path")) - 1
-        rows = join_measured(cut, large, ["path", "value"], "left_semi").select(
-            number.cast("int").alias("path"), "fp"
-        )
-        every = [mask for group in masks for mask in group]
-        masks = [_split(every[path], parts) for path in paths]
+    """Links ``u``, ``v`` that join all of the distinct fingerprints ``fp`` that reach
+    each other. ``n`` is how many documents a fingerprint has."""
+    blocks = _split(0, distance + 1)
+    cut = _bucketed(fps.select(F.lit(0).alias("path"), "fp", "n"), [blocks])
+    found, wide = _linked(cut, distance, bucket)
+    if wide is not None:
+        cut = _bucketed(wide, [_split(mask, distance + 1) for mask in blocks])
+        found = found.union(_linked(cut, distance, bucket, last=True)[0])
+    return found
+
+
+def _compared(rows: DataFrame, distance: int) -> DataFrame:
+    """Links inside each group of ``path``, ``value``, ``a`` and ``b``."""
+    on = [*_ON, "a", "b"]
+    placed = rows.select(*on, "fp").repartition(*on).sortWithinPartitions(*on)
+    return placed.mapInArrow(_linker(distance), "u long, v long")
+
+
+def _linked(
+    cut: DataFrame, distance: int, bucket: int, last: bool = False
+) -> tuple[DataFrame, DataFrame | None]:
+    """Links inside buckets, and the rows of buckets that are to be cut again.
+
+    A large bucket is linked to its fingerprint with the most documents first.
+    What is close to that needs no comparing among itself; only the rest is
+    compared, with all of the bucket, in a grid of groups of bounded size.
+    """
+    whole_bucket = {"a": F.lit(0).cast("long"), "b": F.lit(0).cast("long")}
+    large = materialise(
+        cut.groupBy(*_ON)
+        .agg(F.count(F.lit(1)).alias("rows"), F.max(F.struct("n", "fp")).alias("most"))
+        .where(F.col("rows") > bucket).select(*_ON, "rows", F.col("most.fp").alias("centre"))
+    )
+    if not large.rows:
+        return _compared(cut.withColumns(whole_bucket), distance), None
+    small = join_measured(cut, large, _ON, "left_anti").withColumns(whole_bucket)
+    apart = F.bit_count(F.col("fp").bitwiseXOR(F.col("centre")))
+    held = materialise(
+        join_measured(cut, large, _ON, "inner").withColumn("near", apart <= distance)
+    ).df
+    stars = held.where("near AND fp <> centre").select(
+        F.col("fp").alias("u"), F.col("centre").alias("v")
+    )
+    rests = materialise(held.groupBy(*_ON).agg(F.count_if(~F.col("near")).alias("rest")))
+    held = join_measured(held, rests, _ON, "inner")
+    grid = held.where("rest > 0" if last else f"rest > 0 AND rest <= {bucket}")
+    grid = grid.withColumns({
+        "wide": F.ceil(F.col("rows") / bucket), "high": F.ceil(F.col("rest") / bucket),
+    })
+
+    def part(n):
+        return F.pmod(F.xxhash64("fp"), F.col(n))
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+
+    all_rows = grid.select(*_ON, part("wide").alias("a"), every("high").alias("b"), "fp")
+    rest = grid.where("NOT near").select(*_ON, every("wide").alias("a"), part("high").alias("b"), "fp")
+    groups = small.select(*_ON, "a", "b", "fp").union(all_rows).union(rest)
+    found = _compared(groups, distance).union(stars)
+    wide = None if last else held.where(F.col("rest") > bucket).select("path", "fp", "n")
+    return found, wide
 
 
 def _grouped(fps: DataFrame, first, distance: int, bucket: int) -> DataFrame:

@@ -57,14 +57,15 @@ def test_equals_comparing_all_pairs(documents, bucket):
     assert [rows[i].component_id for i, _ in docs] == label
 
 
-@pytest.mark.parametrize("bucket", [20, 4096])
+@pytest.mark.parametrize("bucket", [2, 10, 40, 4096])
 def test_links_join_a_chain_and_a_ball(spark, bucket):
     rng = np.random.default_rng(3)
     chain = np.cumsum([1 << (2 * i) for i in range(20)]).tolist()
     ball = [0xABCDEF0123456789 ^ (1 << i) ^ (1 << j) for i in range(12) for j in range(i)]
     prints = sorted({*chain, *ball, *(int(x) for x in rng.integers(0, 1 << 63, 50))})
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
-    links = simhash.links(spark.createDataFrame([(p,) for p in signed], "fp long"), bucket=bucket)
+    rows = spark.createDataFrame([(p, 1) for p in signed], "fp long, n long")
+    links = simhash.links(rows, bucket=bucket)
     found = components(links).df.collect()
     centre = {r.u: r.v for r in found}
     ours = [centre.get(p, p) for p in signed]
