@@ -48,7 +48,12 @@ _SKIPPED_WORDS = frozenset(
     "promo promos promotion banner banners cookie cookies consent gdpr notice notices popup popups "
     "modal overlay newsletter subscribe subscription signup share sharing social related recommended "
     "recommendations comment comments commentlist disqus replies respond footer masthead pagination "
-    "pager toolbar skip login".split()
+    "pager toolbar skip login alert alerts disclaimer".split()
+)
+# Parts of names written in one word, such as "topnav" or "cookiebar".
+_SKIPPED_PARTS = re.compile(
+    r"sidebar|navbar|advert|newsletter|breadcrumb|cookie|comments|footer|sponsor|popup|masthead"
+    r"|nav$|^nav|^ad(?:box|slot|unit|banner)|^comment(?!ar)"
 )
 _HEADER_WORDS = frozenset(["header", "topbar", "head"])
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -179,7 +184,7 @@ def is_skipped(nodes: list[Node], number: int, in_article: bool) -> bool:
         words = set(_WORD.findall(node.names))
         return node.tag == "article" and bool(words & {"comment", "comments", "related", "ad", "promo"})
     words = set(_WORD.findall(node.names)) if node.names else ()
-    if words and words & _SKIPPED_WORDS:
+    if words and (words & _SKIPPED_WORDS or any(map(_SKIPPED_PARTS.search, words))):
         return True
     if node.tag == "header" or (words and words & _HEADER_WORDS and node.tag not in _HEADINGS):
         return not (in_article and _has_heading(nodes, number))
