@@ -8,6 +8,7 @@ entities apart: every row gets ``FLAT``.
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: the score of a metric that does not vary.
 FLAT = 50.0
 
 

@@ -120,6 +120,7 @@ def value_ratio(roles: Roles = DEFAULT_ROLES) -> Column:
 
 def cost_tier() -> Column:
     """Tier of the mean price against the cut points of its snapshot."""
+    # The names of the tiers.
     price = F.col("mean_price")
     return (
         F.when(price <= F.col("tier_low"), F.lit("budget"))

@@ -597,8 +597,18 @@ def chain_other_names(spark, sf_dir):
     return board.select("key", "label", "snapshot_date", "rank", "composite_score", "cost_tier")
 
 
+_streamed: dict[tuple[str, str], Tables] = {}
+
+
 def _corrected(spark, sf_dir) -> Tables:
-    """The stream after a second batch that corrects one date."""
+    """The stream after a second batch that corrects one date, once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _streamed:
+        _streamed[key] = _stream_with_correction(spark, sf_dir)
+    return _streamed[key]
+
+
+def _stream_with_correction(spark, sf_dir) -> Tables:
     path, tables = scratch_folder(spark), Tables(scratch_folder(spark))
     lines = fx.snapshot_lines(spark, sf_dir, "entity_id")
     changed = (F.col(R.snapshot_date) == F.lit(RELOADED)) & (F.col("entity_id").cast("int") % 2 == 0)
