@@ -2,7 +2,8 @@
 
 A line is lower-cased (A-Z), its white space turned into single spaces, and
 hashed. Per host (the ``source``) the distinct documents that hold a line are
-counted; copies of a whole text are one document. A line found in more than
+counted; copies and near copies (a SimHash component, as near-dedup groups them)
+are one document, so that a family of copies makes none of its lines common. A line found in more than
 ``LINE_DOCS`` documents and more than ``LINE_SHARE`` of the host's is removed. A
 document is rejected when the base rules fail, or when removal leaves less than
 ``LEFT_WORDS`` words or ``LEFT_SHARE`` of its words.
@@ -28,6 +29,7 @@ from pyspark.sql import types as T
 from fieldrank.llm.common import (
     LOWER_BYTES, join_measured, picked, quoted, unpacked, whole, with_columns_of_text,
 )
+from fieldrank.llm.simhash import _signed, families, fingerprint
 from fieldrank.materialise import materialise
 
 MIN_WORDS = 10
@@ -48,7 +50,7 @@ _SEED = 42
 _LINE = T.StructType([T.StructField("line", T.LongType()), T.StructField("words", T.LongType())])
 STATS = [
     *[T.StructField(name, T.LongType()) for name in (
-        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "text_hash",
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "fp",
     )],
     T.StructField("lines", T.ArrayType(_LINE)),
 ]
@@ -109,7 +111,8 @@ def _stats(texts: list[bytes | None]) -> list[pa.Array]:
         symbols = len(text) - len(text.translate(None, _SYMBOLS))
         repeated, lines = line_stats(text)
         rows.append((
-            len(words), chars, symbols, repeated, repeat_words(words), _hash(text),
+            len(words), chars, symbols, repeated, repeat_words(words),
+            _signed(fingerprint(text)),
             [{"line": _hash(line), "words": n} for line, n in lines.items()],
         ))
     columns = list(zip(*rows)) or [[]] * 7
@@ -133,12 +136,15 @@ def host_key(host: Column) -> Column:
 
 def frequent_lines(rows: DataFrame, line_docs: int, line_share: float) -> DataFrame:
     """``host`` and ``line`` of the lines above both limits."""
-    texts = rows.select("host", "text_hash").distinct().groupBy("host").agg(
+    grouped = join_measured(
+        rows.select("host", "fp", "lines"), families(rows.select("fp")), ["fp"], "left"
+    ).withColumn("family", F.coalesce("family", "fp"))
+    texts = grouped.select("host", "family").distinct().groupBy("host").agg(
         F.count(F.lit(1)).alias("host_docs")
     )
     counts = (
-        rows.select("host", "text_hash", F.explode("lines.line").alias("line"))
-        .groupBy("host", "line").agg(F.count_distinct("text_hash").alias("docs"))
+        grouped.select("host", "family", F.explode("lines.line").alias("line"))
+        .groupBy("host", "line").agg(F.count_distinct("family").alias("docs"))
         .where(F.col("docs") > line_docs)
     )
     return (
@@ -168,7 +174,7 @@ def judged(
     left = F.col("n_words") - F.coalesce(F.col("n_removed"), F.lit(0))
     depleted = (left < left_words) | (left < left_share * F.col("n_words"))
     return (
-        join_measured(rows.drop("lines", "text_hash", "host"), materialise(removed), ["_row"], "left")
+        join_measured(rows.drop("lines", "fp", "host"), materialise(removed), ["_row"], "left")
         .withColumn("base_failed", base_failed())
         .withColumn("n_left", left)
         .withColumn("kept", ~F.col("base_failed") & ~depleted)

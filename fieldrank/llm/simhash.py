@@ -21,6 +21,7 @@ are hashed whole. Only named columns are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -250,6 +251,16 @@ def _grouped(fps: DataFrame, first, distance: int, bucket: int) -> DataFrame:
     return linked.union(alone.select("fp", F.col("n") > 1, F.col("own").alias("least")))
 
 
+def families(fps: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -> Stored:
+    """``fp`` and ``family`` of each fingerprint that reaches a smaller one; the
+    family is the smallest. All others are families by themselves or their first."""
+    own = materialise(fps.groupBy("fp").agg(F.count(F.lit(1)).alias("n")))
+    reached = components(links(own.df, distance, bucket))
+    return replace(
+        reached, df=reached.df.select(F.col("u").alias("fp"), F.col("v").alias("family"))
+    )
+
+
 def clustered(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
               distance: int = DISTANCE, bucket: int = BUCKET) -> DataFrame:
     """One row per document: its fingerprint and the smallest id it reaches."""

@@ -110,3 +110,19 @@ def test_odd_documents(odd_documents, clashing):
     assert [r.doc_id for r in kept.collect()] == [5]
     assert quality.report(odd_documents.limit(0)).collect() == []
     assert quality.filtered(odd_documents.limit(0)).collect() == []
+
+
+def test_near_copies_of_a_text_are_one_document(documents):
+    rng = random.Random(5)
+
+    def line(n):
+        return " ".join(f"w{rng.randint(0, 4000)}" for _ in range(n))
+
+    shared = [line(40) for _ in range(30)]
+    family = [(i, "\n".join([*shared, f"copy {i}"])) for i in range(40)]
+    others = [(100 + i, f"{line(30)}\nRead more about this here") for i in range(40)]
+    rows = {r.doc_id: r for r in quality.report(documents(*family, *others)).collect()}
+    assert all(rows[i].kept and rows[i].n_left == rows[i].n_words for i, _ in family)
+    assert all(rows[i].n_left == rows[i].n_words - 5 for i, _ in others)
+    left = {r.doc_id: r.text for r in quality.filtered(documents(*family, *others)).collect()}
+    assert all(left[i] == text for i, text in family)
