@@ -262,3 +262,28 @@ def main_text(nodes: list[Node], dropped: set[int]) -> str:
     """The article's blocks, joined by spaces: of several candidates the longest."""
     found = [" ".join(blocks(nodes, root, dropped)) for root in articles(nodes)]
     return max(found, key=len, default="")
+
+
+def parts(nodes: list[Node]) -> list[int]:
+    """Where text of the article stands, in page order: each outermost ``main`` or
+    ``article`` and the headings beside them; the page where there is neither."""
+    found, headings, waiting = [], [], [(0, False)]
+    while waiting:
+        number, in_header = waiting.pop()
+        node = nodes[number]
+        if number and is_skipped(nodes, number, False):
+            if node.tag != "header":
+                continue
+            in_header = True
+        if {node.tag, node.role} & {"main", "article"}:
+            found.append(number)
+        elif node.tag in _HEADINGS and not in_header:
+            headings.append(number)
+        else:
+            waiting += [(child, in_header) for child in node.children]
+    return sorted(found + headings) if found else [0]
+
+
+def article_text(nodes: list[Node], dropped: set[int]) -> str:
+    """The blocks of all parts of the article, joined by spaces."""
+    return " ".join(block for root in parts(nodes) for block in blocks(nodes, root, dropped))
