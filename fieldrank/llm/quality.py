@@ -37,7 +37,7 @@ REPEAT_WINDOW = 5
 REPEAT_PERCENT = 20
 
 LINE_DOCS = 20
-LINE_SHARE = 0.1
+LINE_SHARE = 0.01
 LEFT_WORDS = 10
 LEFT_SHARE = 0.3
 

@@ -126,3 +126,16 @@ def test_near_copies_of_a_text_are_one_document(documents):
     assert all(rows[i].n_left == rows[i].n_words - 5 for i, _ in others)
     left = {r.doc_id: r.text for r in quality.filtered(documents(*family, *others)).collect()}
     assert all(left[i] == text for i, text in family)
+
+
+def test_a_shared_line_goes_from_a_large_source(documents):
+    rng = random.Random(6)
+    shared = "Read more about this here"
+
+    def text(i):
+        own = " ".join(f"w{rng.randint(0, 4000)}" for _ in range(30))
+        return f"{own}\n{shared}" if i % 11 == 0 else own
+
+    docs = [(i, text(i)) for i in range(500)]
+    left = {r.doc_id: r.text for r in quality.filtered(documents(*docs)).collect()}
+    assert len(left) == 500 and not any(shared in t for t in left.values())
