@@ -161,3 +161,45 @@ FROM chosen LEFT JOIN dealt USING (key, block)
 """
 
 ORACLE = {"op1_decontaminate": OP1, "op4_warc": OP4, "op7_shard": OP7, "op9_mix": OP9}
+
+# The splits and words of the contract, and a phrase per start and length.
+OP11 = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS r, lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM (SELECT coalesce(lang, 'und') AS lang, text FROM documents)
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), starts AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+), grams AS (
+  SELECT lang, list_slice(w, i, i + k - 1) AS g, k
+  FROM starts, range(1, 5) t(k) WHERE i + k - 1 <= len(w)
+), f AS (
+  SELECT lang, k, g, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 30
+), n AS (SELECT lang, count(*) AS n FROM starts GROUP BY lang),
+cuts AS (
+  SELECT c.lang, c.k, c.g, c.a, l.k AS cut, l.a AS l, r.a AS r,
+         ((2000000::HUGEINT * c.a) // (l.a + r.a))::BIGINT AS score
+  FROM f c JOIN f l ON l.lang = c.lang AND l.k < c.k AND l.g = list_slice(c.g, 1, l.k)
+           JOIN f r ON r.lang = c.lang AND r.k = c.k - l.k AND r.g = list_slice(c.g, l.k + 1, c.k)
+  WHERE c.k > 1
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1
+), inside AS (
+  SELECT lang, part, max(a) AS longest
+  FROM (SELECT lang, a, list_slice(g, s, s + p - 1) AS part
+        FROM f, range(2, 4) x(p), range(1, 4) y(s) WHERE p < k AND s + p - 1 <= k)
+  GROUP BY ALL
+), left_over AS (
+  SELECT best.*, array_to_string(g, ' ') AS phrase
+  FROM best LEFT JOIN inside ON inside.lang = best.lang AND part = g
+  WHERE longest IS NULL OR 100 * longest < 80 * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM left_over JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
+ORACLE["op11_collocations"] = OP11

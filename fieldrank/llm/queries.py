@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldrank.llm import decontamination, language, licenses, mixing, packing, quality, sharding, simhash, warc, wrappers
+from fieldrank.llm import collocations, decontamination, language, licenses, mixing, packing, quality, sharding, simhash, token_counts, warc, wrappers
 from fieldrank.llm.common import table
 
 N_SHARDS = 24
@@ -58,6 +58,14 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.counted(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_pack": op2_pack,
@@ -69,4 +77,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_mix": op9_mix,
     "op10_language": op10_language,
+    "op11_collocations": op11_collocations,
+    "op12_token_counts": op12_token_counts,
 }
