@@ -96,10 +96,11 @@ def _value_bytes(value: Column, kind: T.DataType) -> Column:
     return F.lit(16)
 
 
-def materialise(df: DataFrame, **observed: Column) -> Stored:
+def materialise(df: DataFrame, codec: str | None = None, **observed: Column) -> Stored:
     """Write ``df`` to the shared folder and read it back.
 
-    ``observed`` are extra aggregates taken in the same pass.
+    ``codec`` is the compression, if not the session's. ``observed`` are extra
+    aggregates taken in the same pass.
     """
     spark = df.sparkSession
     path = scratch_folder(spark)
@@ -109,7 +110,7 @@ def materialise(df: DataFrame, **observed: Column) -> Stored:
         F.sum(row_bytes(df.schema)).alias("nbytes"),
         *(column.alias(name) for name, column in observed.items()),
     ]
-    df.observe(seen, *metrics).write.parquet(path)
+    df.observe(seen, *metrics).write.parquet(path, compression=codec)
     found = observed_metrics(seen)
     return Stored(
         df=spark.read.schema(df.schema).parquet(path),
