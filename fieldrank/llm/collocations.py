@@ -46,9 +46,17 @@ WITHIN_PERCENT = 80
 FIRST = 2000
 NO_LANGUAGE = "und"
 
-BLOCK_WORDS = 1 << 20
+# Codec of the stored relations.
+_ZSTD = "zstd"
+
+BLOCK_WORDS = 1 << 19
 # Bytes of a text that are cut into words at once.
-_PART = 1 << 22
+_PART = 1 << 18
+
+# Up to so many phrases of a length, a pair of their numbers is one number.
+ONE_NUMBER = 3_000_000_000
+# monotonically_increasing_id() keeps the task above this bit, the row below it.
+_TASK_SHIFT = 33
 
 # A-Z lower-cased, the ends of pieces (".,;:!?" and line breaks) as dots.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -64,7 +72,7 @@ _BLOCK_ARROW = pa.schema([
 _RELATION_ARROW = pa.schema([
     ("block", pa.int64()), ("owned", pa.int64()), ("codes", pa.binary()), ("ids", pa.list_(pa.int64())),
 ])
-_PAIRS = "first long, last long, n long"
+_LOCAL_PAIRS = {True: "pair long, n long", False: "first long, last long, n long"}
 _LOCAL = "block long, code long, first long, last long"
 
 
@@ -188,8 +196,12 @@ def neighbours(codes: np.ndarray, n_local: int) -> tuple[np.ndarray, np.ndarray]
     return places, here[places].astype(np.int64) * n_local + after[places]
 
 
-def pair_counts(relation: DataFrame) -> DataFrame:
-    """Per block, each different pair of neighbouring phrases with its count."""
+def pair_counts(relation: DataFrame, n_phrases: int, one_number: int = ONE_NUMBER) -> DataFrame:
+    """Each pair of neighbouring phrases with its count.
+
+    A block sends one row per different pair, sorted, so that they compress well.
+    """
+    packed = n_phrases <= one_number
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,14 +210,21 @@ def pair_counts(relation: DataFrame) -> DataFrame:
                 codes = _array(batch.column("codes")[i], np.int32)
                 places, pairs = neighbours(codes, len(ids))
                 pairs = pairs[places < batch.column("owned")[i].as_py()]
-                if len(pairs):
-                    known, n = np.unique(pairs, return_counts=True)
-                    first, last = ids[known // len(ids)], ids[known % len(ids)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(first), pa.array(last), pa.array(n)], ["first", "last", "n"]
-                    )
-
-    return relation.mapInArrow(run, _PAIRS)
+                if not len(pairs):
+                    continue
+                if packed:
+                    pairs = ids[pairs // len(ids)] * n_phrases + ids[pairs % len(ids)]
+                known, n = np.unique(pairs, return_counts=True)
+                columns = [known] if packed else [ids[known // len(ids)], ids[known % len(ids)]]
+                names = ["pair", "n"] if packed else ["first", "last", "n"]
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, [*columns, n])), names)
+
+    rows = relation.mapInArrow(run, _LOCAL_PAIRS[packed])
+    if not packed:
+        return rows.groupBy("first", "last").agg(F.sum("n").alias("a"))
+    first = F.expr(f"pair div {max(n_phrases, 1)}L").alias("first")
+    last = F.expr(f"pair % {max(n_phrases, 1)}L").alias("last")
+    return rows.groupBy("pair").agg(F.sum("n").alias("a")).select(first, last, "a")
 
 
 def local_pairs(relation: DataFrame) -> DataFrame:
@@ -367,8 +386,23 @@ def _resolved(blocks: DataFrame, found: DataFrame, extend) -> DataFrame:
 
 
 def _numbered(rows: DataFrame) -> Stored:
-    """Rows written with a number each; the files fix it."""
-    return materialise(rows.withColumn("id", F.monotonically_increasing_id()))
+    """Rows written, with numbers from 0 on without gaps.
+
+    The files fix the order; what lies before a file is added to the numbers in it.
+    """
+    stored = materialise(rows.withColumn("id", F.monotonically_increasing_id()), _ZSTD)
+    task = F.shiftright("id", _TASK_SHIFT)
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        stored.df.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("_n"))
+        .select("_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    )
+    inside = F.col("id") - F.shiftleft("_task", _TASK_SHIFT)
+    dense = (
+        stored.df.withColumn("_task", task).join(F.broadcast(starts), "_task")
+        .withColumn("id", inside + F.col("_before")).drop("_task", "_before")
+    )
+    return Stored(dense, stored.rows, stored.nbytes)
 
 
 def _described(counts: Stored, shorter: Stored) -> Stored:
@@ -449,10 +483,11 @@ def phrases(
     longest: int = LONGEST,
     broadcast: bool = True,
     block_words: int = BLOCK_WORDS,
+    one_number: int = ONE_NUMBER,
 ) -> tuple[list[Stored], DataFrame]:
     """Frequent phrases of ``text`` by length, from single words on, and the words of
     each language (``lang``, ``n``). ``broadcast=False`` joins by shuffle always."""
-    blocks = materialise(word_blocks(docs, block_words, longest - 1)).df
+    blocks = materialise(word_blocks(docs, block_words, longest - 1), _ZSTD).df
     words = blocks.select(F.inline(F.arrays_zip("langs", "words", "counts"))).select(
         F.col("langs").alias("lang"), F.col("words").alias("word"), F.col("counts").alias("n")
     )
@@ -468,15 +503,15 @@ def phrases(
         frequent.rows, frequent.nbytes,
     )
     levels = [level]
-    relation = materialise(word_relation(blocks, frequent, broadcast and frequent.fits_broadcast)).df
+    relation = materialise(word_relation(blocks, frequent, broadcast and frequent.fits_broadcast), _ZSTD).df
     for length in range(2, longest + 1):
-        counts = pair_counts(relation).groupBy("first", "last").agg(F.sum("n").alias("a"))
+        counts = pair_counts(relation, frequent.rows, one_number)
         frequent = _numbered(counts.where(F.col("a") >= least))
         level = _described(frequent, level)
         levels.append(level)
         if length < longest:
             fits = broadcast and frequent.fits_broadcast
-            relation = materialise(phrase_relation(relation, frequent, fits)).df
+            relation = materialise(phrase_relation(relation, frequent, fits), _ZSTD).df
     return levels, totals
 
 
@@ -490,10 +525,11 @@ def collocations(
     first: int = FIRST,
     broadcast: bool = True,
     block_words: int = BLOCK_WORDS,
+    one_number: int = ONE_NUMBER,
 ) -> DataFrame:
     """The phrases of each language whose weakest cut has the highest score."""
     rows = picked(docs, text=text, lang=lang)
-    levels, totals = phrases(rows, least, longest, broadcast, block_words)
+    levels, totals = phrases(rows, least, longest, broadcast, block_words, one_number)
     out = None
     for length in range(2, longest + 1):
         found = levels[length - 1].df
