@@ -60,15 +60,17 @@ _SCORE = (
 )
 
 # CRC-32 (polynomial 0xEDB88320, reflected) of the UTF-8 bytes, by a table of 256 entries.
-OP7 = f"""
-WITH crc AS (
+_CRC = """crc AS (
   SELECT list(c ORDER BY i) AS crcs FROM (
     SELECT i, list_reduce(
       [0, 1, 2, 3, 4, 5, 6, 7],
       lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END,
       i::BIGINT
     ) AS c FROM range(256) t(i))
-), d AS (
+)"""
+
+OP7 = f"""
+WITH {_CRC}, d AS (
   SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS bytes, hex(encode(coalesce(text, ''))) AS digits
   FROM documents
 ), sums AS (
@@ -203,3 +205,55 @@ FROM left_over JOIN n USING (lang) QUALIFY rank <= 2000
 """
 
 ORACLE["op11_collocations"] = OP11
+
+# Nodes are the hashed lists of the turns that lead to them.
+OP13 = f"""
+WITH {_CRC}, t AS (
+  SELECT conv_id, turn, length(coalesce(text, '')) AS chars,
+         sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || ':' || coalesce(text, '')) AS said
+  FROM conversations WHERE conv_id IS NOT NULL
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, said) - 1 AS place FROM t
+), sizes AS (
+  SELECT conv_id, count(*) AS n_own, conv_id - conv_id % 100 AS base, hex(encode(conv_id::VARCHAR)) AS digits
+  FROM t GROUP BY conv_id
+), asked AS (
+  SELECT conv_id, n_own, base, xor(4294967295::BIGINT, list_reduce(
+    list_transform(range(len(digits) // 2), lambda i: ('0x' || substr(digits, (2 * i + 1)::BIGINT, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1]), 4294967295::BIGINT
+  )) % 6 AS h FROM sizes, crc
+), turns AS (
+  SELECT a.conv_id, place + 1 AS depth, said, chars
+  FROM asked a JOIN placed p ON p.conv_id = a.base AND place < h
+  UNION ALL
+  SELECT a.conv_id, place - h + 1 + least(h, coalesce(b.n_own, 0)), said, chars
+  FROM asked a JOIN placed p ON p.conv_id = a.conv_id AND place >= h LEFT JOIN sizes b ON b.conv_id = a.base
+), begun AS (
+  SELECT conv_id, depth, chars, md5(array_to_string(list(said) OVER w, ',')) AS node,
+         coalesce(md5(array_to_string(list(said) OVER p, ',')), 'root') AS parent
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY depth),
+    p AS (PARTITION BY conv_id ORDER BY depth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), members AS (
+  SELECT conv_id, 0 AS depth, 0 AS chars, 'root' AS node, NULL AS parent FROM sizes
+  UNION ALL SELECT conv_id, depth, chars, node, CASE WHEN depth = 1 THEN 'root' ELSE parent END FROM begun
+), nodes AS (
+  SELECT node, any_value(parent) AS parent, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(chars) AS chars
+  FROM members GROUP BY node, depth
+), children AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+sums AS (
+  SELECT m.node, count(*) FILTER (n_children IS NULL) AS n_leaves, sum((n_convs - 1) * n.chars) AS saved_tokens
+  FROM nodes n LEFT JOIN children c ON c.node = n.node
+    JOIN members m ON m.conv_id = n.conv_id AND m.depth <= n.depth
+  GROUP BY m.node
+), ends AS (
+  SELECT node, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256
+  FROM (SELECT * FROM members QUALIFY depth = max(depth) OVER (PARTITION BY conv_id)) GROUP BY node
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+       coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens,
+       coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM nodes n JOIN sums USING (node) LEFT JOIN nodes p ON p.node = n.parent
+  LEFT JOIN children c ON c.node = n.node LEFT JOIN ends e ON e.node = n.node
+"""
+
+ORACLE["op13_prefix_trie"] = OP13

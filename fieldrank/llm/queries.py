@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldrank.llm import collocations, decontamination, language, licenses, mixing, packing, quality, sharding, simhash, token_counts, warc, wrappers
+from fieldrank.llm import collocations, decontamination, language, licenses, mixing, packing, prefix_trie, quality, sharding, simhash, token_counts, warc, wrappers
 from fieldrank.llm.common import table
 
 N_SHARDS = 24
@@ -66,6 +66,10 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counted(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_pack": op2_pack,
@@ -79,4 +83,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language": op10_language,
     "op11_collocations": op11_collocations,
     "op12_token_counts": op12_token_counts,
+    "op13_prefix_trie": op13_prefix_trie,
 }
