@@ -23,4 +23,4 @@ def test_query_without_sql_gives_rows(spark, name):
 
 def test_one_query_per_operator():
     numbers = [int(name[2:].split("_")[0]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
