@@ -102,4 +102,5 @@ def test_the_rest_works_without_the_corpus_operators(tmp_path):
     copy = tmp_path / "repo"
     shutil.copytree(REPO, copy, ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))
     code = "import __spark_entry__ as e; q = e.queries(); assert q and not any(n.startswith('op1') for n in q)"
-    subprocess.run([sys.executable, "-c", code], cwd=copy, check=True, timeout=60)
+    env = {name: value for name, value in os.environ.items() if name != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], cwd=copy, check=True, timeout=60, env=env)
