@@ -483,3 +483,98 @@ WHERE s.snapshot_date IN ({RELOADED}, {DAY})"""),
     ),
 }
 ORACLE["flat_table"] = ORACLE["landing_rows"]
+
+_STATE_SPANS = """
+SELECT b.snapshot_date, d.days, a.quality
+FROM (SELECT DISTINCT snapshot_date FROM snap) b, (VALUES (7), (30)) d(days), snap a
+WHERE a.snapshot_date <= b.snapshot_date AND a.snapshot_date > b.snapshot_date - d.days
+UNION ALL
+SELECT (SELECT max(snapshot_date) FROM snap), NULL, quality FROM snap"""
+
+_VERSIONS = """
+given AS (
+  SELECT 1 AS load, entity_id, snapshot_date, quality, price_in FROM snap
+  UNION ALL
+  SELECT 2, entity_id, snapshot_date,
+         CASE WHEN CAST(entity_id AS INTEGER) % 2 = 0 THEN quality + 1 ELSE quality END, price_in
+  FROM snap WHERE year(snapshot_date) = 1997 AND CAST(entity_id AS INTEGER) % 7 <> 0
+  UNION ALL
+  SELECT 3, entity_id, snapshot_date, quality, price_in
+  FROM snap WHERE year(snapshot_date) = 1997 AND month(snapshot_date) <= 6
+), whole AS (
+  SELECT l.load, s.entity_id, s.snapshot_date, g.quality, g.price_in, g.load IS NOT NULL AS there
+  FROM (SELECT DISTINCT load, snapshot_date FROM given) l JOIN snap s USING (snapshot_date)
+    LEFT JOIN given g ON g.load = l.load AND g.entity_id = s.entity_id AND g.snapshot_date = s.snapshot_date
+), marked AS (
+  SELECT *, lag(there) OVER w AS had, lag(quality) OVER w AS q, lag(price_in) OVER w AS p
+  FROM whole WINDOW w AS (PARTITION BY entity_id, snapshot_date ORDER BY load)
+), changes AS (
+  SELECT *, lead(load) OVER (PARTITION BY entity_id, snapshot_date ORDER BY load) AS known_until
+  FROM marked
+  WHERE there <> coalesce(had, false) OR quality IS DISTINCT FROM q OR price_in IS DISTINCT FROM p
+), versions AS (
+  SELECT entity_id, snapshot_date, quality, price_in, CAST(load AS BIGINT) AS known_from,
+         CAST(known_until AS BIGINT) AS known_until
+  FROM changes WHERE there
+)"""
+
+ORACLE |= {
+    "asof_purchases": """
+WITH bought AS (
+  SELECT user_id, ts AS bought_at, max({'purchase_id': event_id, 'amount': value}) AS best
+  FROM events WHERE event_type = 'purchase' GROUP BY user_id, ts
+), joined AS (
+  SELECT e.event_id, e.user_id, e.ts, e.event_type,
+         CASE WHEN e.ts <= b.bought_at + INTERVAL 6 HOURS THEN b.bought_at END AS bought_at, best
+  FROM events e ASOF LEFT JOIN bought b ON e.user_id = b.user_id AND e.ts >= b.bought_at
+)
+SELECT event_id, user_id, ts, event_type, bought_at,
+       CASE WHEN bought_at IS NOT NULL THEN best.purchase_id END AS purchase_id,
+       CASE WHEN bought_at IS NOT NULL THEN best.amount END AS amount
+FROM joined""",
+    "asof_orders": """
+WITH urgent AS (
+  SELECT o_custkey, o_orderdate AS urgent_date, max(o_orderkey) AS urgent_key
+  FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY ALL
+)
+SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, urgent_date, urgent_key
+FROM orders o ASOF LEFT JOIN urgent u ON o.o_custkey = u.o_custkey AND o.o_orderdate >= u.urgent_date""",
+    "span_quantiles": _with([EVENTS, f"spans AS ({_STATE_SPANS})"], """
+SELECT snapshot_date, CAST(days AS INTEGER) AS days, CAST(count(quality) AS BIGINT) AS n_values,
+       CAST(cut AS DOUBLE) AS cut, true AS near
+FROM spans, (VALUES (0.1e0), (0.5e0), (0.9e0)) c(cut) GROUP BY snapshot_date, days, cut"""),
+    "set_changes": _with([EVENTS], """
+, dates AS (
+  SELECT snapshot_date AS newer, unnest([lag(snapshot_date) OVER w, lag(snapshot_date, 5) OVER w]) AS older
+  FROM (SELECT DISTINCT snapshot_date FROM snap) WINDOW w AS (ORDER BY snapshot_date)
+), pairs AS (
+  SELECT older, newer, entity_id, bool_or(s.snapshot_date = older) AS was, bool_or(s.snapshot_date = newer) AS is_now
+  FROM dates JOIN snap s ON s.snapshot_date IN (older, newer) WHERE older IS NOT NULL
+  GROUP BY older, newer, entity_id
+)
+SELECT older, newer, count(*) FILTER (was AND is_now) AS kept, count(*) FILTER (NOT was) AS entered,
+       count(*) FILTER (NOT is_now) AS dropped
+FROM pairs GROUP BY older, newer"""),
+    "month_entities": _with([EVENTS], """
+SELECT CAST(date_trunc('month', snapshot_date) AS DATE) AS month, count(DISTINCT entity_id) AS entities
+FROM snap GROUP BY 1"""),
+    "correction_history": _with([SNAP, _VERSIONS], "SELECT * FROM versions"),
+    "known_at_load": _with([SNAP, _VERSIONS], """
+SELECT entity_id, snapshot_date, quality, price_in FROM versions
+WHERE known_from <= 2 AND (known_until IS NULL OR known_until > 2)"""),
+    "price_skyline": _with([SNAP], """
+, priced AS (
+  SELECT entity_id, snapshot_date, (price_in + price_out) / 2e0 AS mean_price, quality FROM snap
+  WHERE price_in IS NOT NULL AND price_out IS NOT NULL AND quality IS NOT NULL
+)
+SELECT * FROM priced a WHERE NOT EXISTS (
+  SELECT 1 FROM priced b WHERE b.snapshot_date = a.snapshot_date
+    AND b.mean_price <= a.mean_price AND b.quality >= a.quality
+    AND (b.mean_price < a.mean_price OR b.quality > a.quality))"""),
+    "order_skyline": """
+SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice, l_quantity FROM lineitem a
+WHERE l_extendedprice IS NOT NULL AND l_quantity IS NOT NULL AND NOT EXISTS (
+  SELECT 1 FROM lineitem b WHERE b.l_returnflag = a.l_returnflag
+    AND b.l_extendedprice <= a.l_extendedprice AND b.l_quantity >= a.l_quantity
+    AND (b.l_extendedprice < a.l_extendedprice OR b.l_quantity > a.l_quantity))""",
+}

@@ -21,6 +21,7 @@ from fieldrank.roles import Roles
 from fieldrank.sources import landing, store
 from fieldrank.streaming.ingest import ingest_available
 from workload import fixtures as fx
+from workload import timelines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -658,3 +659,5 @@ QUERIES: dict[str, Query] = {
         chain_other_names, stream_correction, stream_correction_board,
     )
 }
+
+QUERIES |= timelines.QUERIES
