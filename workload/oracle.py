@@ -578,3 +578,4 @@ WHERE l_extendedprice IS NOT NULL AND l_quantity IS NOT NULL AND NOT EXISTS (
     AND b.l_extendedprice <= a.l_extendedprice AND b.l_quantity >= a.l_quantity
     AND (b.l_extendedprice < a.l_extendedprice OR b.l_quantity > a.l_quantity))""",
 }
+ORACLE["state_trends"] = ORACLE["trends_gaps"]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from fieldrank.materialise import scratch_folder
@@ -12,6 +10,7 @@ from fieldrank.operators.skyline import skyline
 from fieldrank.operators.statistics import with_mean_price
 from fieldrank.roles import DEFAULT_ROLES as R
 from fieldrank.sources import history, states, store
+from fieldrank.streaming import changes
 from workload import fixtures as fx
 
 # Largest rank error that the sketches may show in the queries.
@@ -143,10 +142,30 @@ def order_skyline(spark, sf_dir):
     return skyline(items, "l_extendedprice", "l_quantity", "l_returnflag")
 
 
+_streams: dict[tuple[str, str], str] = {}
+
+
+def state_trends(spark, sf_dir):
+    """Trends of the daily events from keyed state: three runs from one checkpoint, days
+    out of order, so that the state has late rows, rows left out and forgotten users."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    rows = fx.daily_events(spark, sf_dir)
+    if key not in _streams:
+        source, out, checkpoint = (scratch_folder(spark) for _ in range(3))
+        number = F.dayofmonth(R.snapshot_date)
+        arrivals = (number <= 6, number.between(12, 18), (number > 6) & ~number.between(12, 18))
+        for days in arrivals:
+            rows.where(days).write.mode("append").parquet(source)
+            stream = spark.readStream.schema(rows.schema).parquet(source)
+            changes.stream_changes(stream, out, checkpoint, idle_days=2, late_days=2)
+        _streams[key] = out
+    return changes.settled(changes.read_changes(spark, _streams[key]), rows)
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         asof_purchases, asof_orders, span_quantiles, set_changes, month_entities,
-        correction_history, known_at_load, price_skyline, order_skyline,
+        correction_history, known_at_load, price_skyline, order_skyline, state_trends,
     )
 }
