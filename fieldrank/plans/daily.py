@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
+import hashlib
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +22,7 @@ from fieldrank.sources.store import (
     find_dates,
     find_table,
     merged,
+    overwrite_load,
     read_dates,
     read_snapshots,
     table_summary,
@@ -106,11 +107,19 @@ def flat_rows(envelopes: DataFrame, chain: Chain) -> DataFrame:
 
 def load_envelopes(envelopes: DataFrame, tables: Tables, chain: Chain) -> Load:
     """Write the flat and cleaned partitions of the envelopes' dates, then
-    bring leaderboard and trends up to date."""
+    bring leaderboard and trends up to date.
+
+    The files and their times name the load, so a load that runs again replaces
+    its lines in the rejects and in the load histories.
+    """
     spark, roles = envelopes.sparkSession, chain.roles
     if chain.on_reject not in ("record", "fail"):
         raise ValueError(f"on_reject must be 'record' or 'fail', not {chain.on_reject!r}")
-    envelopes = materialise(envelopes).df  # the files are parsed once
+    stamp = F.xxhash64("file_path", "file_time").cast("decimal(38,0)")
+    stored = materialise(envelopes, digest=F.sum(stamp))
+    envelopes = stored.df  # the files are parsed once
+    name = f"{stored.rows} {stored.observed['digest']}".encode()
+    load_id = f"load-{hashlib.sha256(name).hexdigest()[:32]}"
     unusable = materialise(landing.rejected(envelopes))
     if unusable.rows and chain.on_reject == "fail":
         raise RejectedInput("; ".join(
@@ -122,9 +131,9 @@ def load_envelopes(envelopes: DataFrame, tables: Tables, chain: Chain) -> Load:
     rows = flat_rows(envelopes, chain)
     if not chain.whole_files:
         rows = _with_earlier_files(rows, tables, chain)
-    flat = write_snapshots(rows, tables.flat)
+    flat = write_snapshots(rows, tables.flat, load_id=load_id)
     if not flat.rows:
-        return Load(0, [], _record_rejects(rejects, tables))
+        return Load(0, [], _record_rejects(rejects, tables, load_id))
     arrived = read_dates(spark, tables.flat, flat.dates, merge_schema=True)
     lost = cast_losses(arrived, chain.rules).where("unreadable > 0").select(
         F.lit(None).cast("string").alias("file_path"),
@@ -133,22 +142,20 @@ def load_envelopes(envelopes: DataFrame, tables: Tables, chain: Chain) -> Load:
     )
     cleaned = write_snapshots(
         completed(clean(arrived, chain.rules), contract_for("cleaned", roles)),
-        tables.cleaned, contract="cleaned", open_columns=True, roles=roles,
+        tables.cleaned, roles.snapshot_date, contract="cleaned", open_columns=True, roles=roles,
+        load_id=load_id,
     )
-    refresh(spark, tables, cleaned.dates, chain=chain)
-    left_out = _record_rejects(rejects.unionByName(lost), tables)
+    refresh(spark, tables, cleaned.dates, chain=chain, load_id=load_id)
+    left_out = _record_rejects(rejects.unionByName(lost), tables, load_id)
     return Load(cleaned.rows, cleaned.dates, left_out)
 
 
-def _record_rejects(rejects: DataFrame, tables: Tables) -> int:
-    """Append what a load left out to the rejects table; the number of its lines."""
+def _record_rejects(rejects: DataFrame, tables: Tables, load_id: str) -> int:
+    """Write what a load left out to the rejects table; the number of its lines."""
     found = materialise(rejects)
     if found.rows:
-        stamped = found.df.withColumns({
-            "load_id": F.lit(uuid.uuid4().hex),
-            "loaded_at": F.lit(dt.datetime.now(dt.timezone.utc)),
-        })
-        stamped.write.mode("append").parquet(tables.rejects)
+        now = F.lit(dt.datetime.now(dt.timezone.utc))
+        overwrite_load(found.df.withColumn("loaded_at", now), tables.rejects, load_id)
     return found.rows
 
 
@@ -172,6 +179,7 @@ def refresh(
     dates: list[dt.date],
     roles: Roles = DEFAULT_ROLES,
     chain: Chain | None = None,
+    load_id: str | None = None,
 ) -> None:
     """Recompute what a change of ``dates`` in the cleaned table affects."""
     if not dates:
@@ -181,23 +189,25 @@ def refresh(
         roles = chain.roles
         options = {"weights": chain.weights, "scaling": chain.scaling, "cuts": chain.cuts,
                    "exact_cuts": chain.exact_cuts}
+    day = roles.snapshot_date
+    written: dict = {"roles": roles, "load_id": load_id}
     cleaned = read_snapshots(spark, tables.cleaned).select(*roles.columns)
-    board = leaderboard(read_dates(spark, tables.cleaned, dates), roles=roles, **options)
+    board = leaderboard(read_dates(spark, tables.cleaned, dates, day), roles=roles, **options)
     # Ranking leaves the rows of a snapshot together.
-    write_snapshots(board, tables.leaderboard, contract="leaderboard", arranged=True, roles=roles)
-    current = find_table(spark, tables.trends)
+    write_snapshots(board, tables.leaderboard, day, contract="leaderboard", arranged=True, **written)
+    current = find_table(spark, tables.trends, day)
     if current is None:
         changed = trends(cleaned, roles)
     else:
         changed = trends_after(cleaned, current, dates, roles)
-    write_snapshots(changed, tables.trends, contract="trends", roles=roles)
+    write_snapshots(changed, tables.trends, day, contract="trends", **written)
 
 
 def verification(spark: SparkSession, tables: Tables, dates: list[dt.date],
                  roles: Roles = DEFAULT_ROLES) -> dict[str, int]:
     """What a load left behind: rows and snapshots of its dates, and nulls where none may be."""
-    rows = read_dates(spark, tables.cleaned, dates, merge_schema=True)
-    summary = table_summary(rows).first()
+    rows = read_dates(spark, tables.cleaned, dates, roles.snapshot_date, merge_schema=True)
+    summary = table_summary(rows, roles.snapshot_date).first()
     nulls = null_violations(rows, contract_for("cleaned", roles)).where("nulls > 0")
     return {
         "n_rows": summary.n_rows, "n_snapshots": summary.n_snapshots,

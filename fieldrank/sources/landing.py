@@ -96,6 +96,7 @@ def record_rules(
             "median_time_to_first_token_seconds": "first_token_seconds",
             "median_time_to_first_answer_token": "first_answer_seconds",
             f"{layout.prefix}{quality_key}": roles.quality,
+            "snapshot_date": roles.snapshot_date,
         },
     )
 

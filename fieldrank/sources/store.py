@@ -41,12 +41,14 @@ def write_snapshots(
     operation: str = "replace dates",
     arranged: bool = False,
     roles: Roles = DEFAULT_ROLES,
+    load_id: str | None = None,
 ) -> Load:
     """Replace exactly the dates found in ``df``; create the table if needed.
 
     Executors write. Rows are brought together by date first, where AQE splits
     a large date over several tasks and packs small ones; ``arranged`` says
-    they already lie by date and skips that shuffle.
+    they already lie by date and skips that shuffle. ``load_id`` names the load in
+    the history: a load that comes again under its name is told once.
 
     No rows means nothing is touched; a row without a date is an error. A failed
     write may leave some dates replaced and others not; running it again settles
@@ -71,7 +73,7 @@ def write_snapshots(
     found = observed_metrics(seen)
     load = Load(found.get("rows") or 0, sorted(found.get("dates") or []))
     if load.rows:
-        _append_audit(df.sparkSession, root, load, operation, day)
+        _record_audit(df.sparkSession, root, load, operation, day, load_id or new_load_id())
     return load
 
 
@@ -79,20 +81,33 @@ def _audit_root(root: str) -> str:
     return root.rstrip("/") + "_loads"
 
 
-def _append_audit(spark: SparkSession, root: str, load: Load, operation: str, day: str) -> None:
-    # Counting a partition reads file footers only.
+def new_load_id() -> str:
+    # The prefix keeps Spark from reading a folder's name as a number.
+    return f"load-{uuid.uuid4().hex}"
+
+
+def overwrite_load(df: DataFrame, root: str, load_id: str) -> None:
+    """Write the lines of one load, in place of those it wrote before."""
     (
+        df.withColumn("load_id", F.lit(load_id)).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(root)
+    )
+
+
+def _record_audit(
+    spark: SparkSession, root: str, load: Load, operation: str, day: str, load_id: str
+) -> None:
+    # Counting a partition reads file footers only.
+    lines = (
         read_dates(spark, root, load.dates, day)
         .groupBy(F.col(day).alias("snapshot_date"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .withColumns({
-            "load_id": F.lit(uuid.uuid4().hex),
             "loaded_at": F.lit(dt.datetime.now(dt.timezone.utc)),
             "operation": F.lit(operation),
         })
-        .write.mode("append")
-        .parquet(_audit_root(root))
     )
+    overwrite_load(lines, _audit_root(root), load_id)
 
 
 def load_history(spark: SparkSession, root: str) -> DataFrame:
@@ -105,9 +120,9 @@ def load_history(spark: SparkSession, root: str) -> DataFrame:
     return lines.join(versions, "load_id")
 
 
-def find_table(spark: SparkSession, root: str) -> DataFrame | None:
+def find_table(spark: SparkSession, root: str, day: str = DAY) -> DataFrame | None:
     """The table, or None while nothing has been written."""
-    return read_snapshots(spark, root) if stored_dates(spark, root) else None
+    return read_snapshots(spark, root) if stored_dates(spark, root, day) else None
 
 
 def stored_dates(spark: SparkSession, root: str, day: str = DAY) -> list[dt.date]:

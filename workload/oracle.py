@@ -579,3 +579,11 @@ WHERE l_extendedprice IS NOT NULL AND l_quantity IS NOT NULL AND NOT EXISTS (
     AND (b.l_extendedprice < a.l_extendedprice OR b.l_quantity > a.l_quantity))""",
 }
 ORACLE["state_trends"] = ORACLE["trends_gaps"]
+ORACLE["chain_other_date"] = f"SELECT * RENAME (snapshot_date AS day) FROM ({ORACLE['trends_full']})"
+ORACLE["repeated_load"] = _with([SNAP], """
+, usable AS (SELECT * FROM snap WHERE CAST(entity_id AS INTEGER) % 4 <> 0)
+SELECT table_name, CAST(count(DISTINCT snapshot_date) AS BIGINT) AS n_lines,
+       CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS last_version,
+       CAST((SELECT count(*) FROM snap) - (SELECT count(*) FROM usable) AS BIGINT) AS envelopes,
+       CAST(1 AS BIGINT) AS reject_loads
+FROM usable, (VALUES ('flat'), ('cleaned')) t(table_name) GROUP BY table_name""")

@@ -598,6 +598,36 @@ def chain_other_names(spark, sf_dir):
     return board.select("key", "label", "snapshot_date", "rank", "composite_score", "cost_tier")
 
 
+def chain_other_date(spark, sf_dir):
+    """An installation whose date column has another name, loaded twice: trends."""
+    roles = Roles(snapshot_date="day")
+    chain = Chain(landing.record_rules("index", roles=roles), roles=roles, exact_cuts=True)
+    tables = _loaded(spark, sf_dir, fx.snapshot_lines(spark, sf_dir), chain)
+    return store.read_snapshots(spark, tables.trends, day="day")
+
+
+def repeated_load(spark, sf_dir):
+    """The same landing files loaded twice: the lines of rejects and load histories."""
+    bad = F.col("entity_id").cast("int") % 4 == 0
+    lines = fx.snapshot_lines(spark, sf_dir, "entity_id").withColumn(
+        "value", F.when(bad, F.lit("{")).otherwise(F.col("value")))
+    path, tables = scratch_folder(spark), Tables(scratch_folder(spark))
+    lines.drop("entity_id").write.partitionBy("snapshot_date").text(path)
+    for _ in range(2):
+        run_daily(spark, path, tables, INDEX, multi_line=False)
+    rejects = spark.read.parquet(tables.rejects).agg(
+        F.sum("envelopes").alias("envelopes"), F.count_distinct("load_id").alias("reject_loads")
+    )
+    loads = [
+        store.load_history(spark, root).agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_lines"),
+            F.sum("n_rows").alias("n_rows"), F.max("version").cast("bigint").alias("last_version"),
+        )
+        for name, root in (("flat", tables.flat), ("cleaned", tables.cleaned))
+    ]
+    return loads[0].union(loads[1]).crossJoin(F.broadcast(rejects))  # one row
+
+
 _streamed: dict[tuple[str, str], Tables] = {}
 
 
@@ -656,7 +686,8 @@ QUERIES: dict[str, Query] = {
         measurements_long, incomplete_by_record, spread_odd_keys, clean_infinite, identity_rows,
         sentinel_rows, written_two_pass_board, trends_two_reloads, ever_top_five,
         ever_top_five_ids, flat_table, chain_parts, chain_rejects, chain_without_quality,
-        chain_other_names, stream_correction, stream_correction_board,
+        chain_other_names, chain_other_date, repeated_load, stream_correction,
+        stream_correction_board,
     )
 }
 
