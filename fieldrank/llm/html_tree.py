@@ -201,24 +201,6 @@ def _has_heading(nodes: list[Node], number: int) -> bool:
     return False
 
 
-def articles(nodes: list[Node]) -> list[int]:
-    """Where the article may stand: ``article`` elements, else ``main``, else the page."""
-    for tag, role in (("article", "article"), ("main", "main")):
-        found, waiting = [], [0]
-        while waiting:
-            number = waiting.pop()
-            node = nodes[number]
-            if number and is_skipped(nodes, number, False) and node.tag != "header":
-                continue
-            if node.tag == tag or node.role == role:
-                found.append(number)
-            else:
-                waiting += node.children
-        if found:
-            return sorted(found)
-    return [0]
-
-
 def blocks(nodes: list[Node], root: int, dropped: set[int]) -> list[str]:
     """The text blocks below ``root`` in page order.
 
@@ -258,12 +240,6 @@ def blocks(nodes: list[Node], root: int, dropped: set[int]) -> list[str]:
     return out
 
 
-def main_text(nodes: list[Node], dropped: set[int]) -> str:
-    """The article's blocks, joined by spaces: of several candidates the longest."""
-    found = [" ".join(blocks(nodes, root, dropped)) for root in articles(nodes)]
-    return max(found, key=len, default="")
-
-
 def parts(nodes: list[Node]) -> list[int]:
     """Where text of the article stands, in page order: each outermost ``main`` or
     ``article`` and the headings beside them; the page where there is neither."""
@@ -287,3 +263,15 @@ def parts(nodes: list[Node]) -> list[int]:
 def article_text(nodes: list[Node], dropped: set[int]) -> str:
     """The blocks of all parts of the article, joined by spaces."""
     return " ".join(block for root in parts(nodes) for block in blocks(nodes, root, dropped))
+
+
+def article_elements(nodes: list[Node]) -> set[int]:
+    """The elements whose own text is part of the article."""
+    found: set[int] = set()
+    for root in parts(nodes):
+        waiting = [root]
+        while waiting:
+            number = waiting.pop()
+            found.add(number)
+            waiting += [c for c in nodes[number].children if not is_skipped(nodes, c, root != 0)]
+    return found

@@ -1,8 +1,9 @@
 """Language of pages by fusing four kinds of evidence.
 
-1. Text: byte trigrams of the main text under a naive Bayes model, whose counts
+1. Text: byte trigrams of the article's text under a naive Bayes model, whose counts
    are summed per language over all labelled documents. Trigrams share
-   ``BUCKETS`` buckets, so the model has a proven size.
+   ``BUCKETS`` buckets, and pages meet ``LANGUAGES`` languages of the model at a time,
+   so what is broadcast has a proven size; any number of languages is learnt.
 2. Declared language (``lang`` of the page): how often pages of each language,
    judged by text, declare it.
 3. Address suffix (last label of the host), in the same way.
@@ -16,7 +17,7 @@ group leaves a map task as one row. The scores are added and normalised.
 Nulls and empty pages have no text evidence and are judged by the rest; a missing
 declaration is a declaration of its own; pages without an address are one host.
 Repeated rows vote for each other. Documents without a label or text teach
-nothing. Without pages there are no rows, without labelled documents no
+nothing. Labels count by their primary part (``en-US`` is ``en``). Without pages there are no rows, without labelled documents no
 languages: ``lang`` is null. Only the named columns are read.
 """
 
@@ -27,12 +28,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldrank.llm.common import LOWER_BYTES, join_measured, picked, slices
-from fieldrank.llm.html_tree import main_text, parse
+from fieldrank.llm.html_tree import article_text, parse
 from fieldrank.llm.wrappers import host_of
 from fieldrank.materialise import materialise
 
@@ -68,13 +70,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, text in pairs:
             if lang not in counts:
                 if len(counts) == LANGUAGES:
-                    raise ValueError(f"labels name more than {LANGUAGES} languages")
+                    yield from _counted(counts)
+                    counts.clear()
                 counts[lang] = np.zeros(BUCKETS, dtype=np.int64)
             found = trigrams(text)
             if len(found) > BUCKETS:
                 counts[lang] += np.bincount(found, minlength=BUCKETS)
             else:
                 np.add.at(counts[lang], found, 1)
+    yield from _counted(counts)
+
+
+def _counted(counts: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
     for lang, count in counts.items():
         buckets = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays(
@@ -83,22 +90,30 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def learnt(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list[str], np.ndarray]:
-    """The languages, sorted, and the log likelihood of each bucket under each."""
-    rows = picked(docs, text=text, lang=lang).where("text IS NOT NULL AND lang IS NOT NULL")
-    summed = (
+def primary(label: Column) -> Column:
+    """The primary part of a language label, lower-case; null for a label without one."""
+    part = F.lower(F.regexp_extract(label, r"^\s*([^\s_-]+)", 1))
+    return F.when(part != "", part)
+
+
+def counted_trigrams(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """Per language and bucket, how often it occurs in the labelled documents."""
+    rows = picked(docs, text=text, lang=lang).withColumn("lang", primary(F.col("lang")))
+    rows = rows.where("text IS NOT NULL AND lang IS NOT NULL")
+    return (
         rows.mapInArrow(_count, "lang string, bucket int, n long")
         .groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     )
-    table: dict[str, np.ndarray] = {}
-    # At most LANGUAGES * BUCKETS rows of three numbers.
-    for row in summed.toLocalIterator():
-        table.setdefault(row.lang, np.zeros(BUCKETS))[row.bucket] = row.n
-    if len(table) > LANGUAGES:
-        raise ValueError(f"labels name more than {LANGUAGES} languages")
-    names = sorted(table)
-    model = np.array([table[name] for name in names]).reshape(len(names), BUCKETS) + SMOOTHING
-    return names, np.log(model / model.sum(axis=1, keepdims=True))
+
+
+def learnt(counts: DataFrame, names: list[str]) -> np.ndarray:
+    """The log likelihood of each bucket under each of the named languages."""
+    place = {name: i for i, name in enumerate(names)}
+    model = np.full((len(names), BUCKETS), SMOOTHING)
+    # At most as many rows as languages named times BUCKETS.
+    for row in counts.where(F.col("lang").isin(names)).toLocalIterator():
+        model[place[row.lang], row.bucket] += row.n
+    return np.log(model / model.sum(axis=1, keepdims=True))
 
 
 def declared_language(page: str | None) -> str | None:
@@ -111,29 +126,37 @@ def text_likelihood(text: str, model: np.ndarray) -> np.ndarray:
     return model[:, trigrams(text.encode())].sum(axis=1) / OVERLAP
 
 
-def _scored(rows: DataFrame, model: np.ndarray) -> DataFrame:
+def _scored(rows: DataFrame, model: np.ndarray, last: bool) -> tuple[DataFrame, Broadcast]:
+    """Rows with the text's likelihood under the languages of ``model`` appended.
+
+    The ``last`` pass leaves the page out. The broadcast may go once the rows are written.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(model)
+    names = ["page_id", "url", "host", *([] if last else ["html"])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
         for batch in batches:
             likelihood, declared = [], []
-            for page in batch.column("html").to_pylist():
-                text = main_text(parse(page), set()) if page else ""
-                likelihood.append(text_likelihood(text, held))
+            before = batch.column("likelihood").to_pylist()
+            for page, earlier in zip(batch.column("html").to_pylist(), before):
+                text = article_text(parse(page), set()) if page else ""
+                likelihood.append([*earlier, *text_likelihood(text, held)])
                 declared.append(declared_language(page))
-            kept = [batch.column(name) for name in ("page_id", "url", "host")]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(declared, pa.string()), pa.array(likelihood, pa.list_(pa.float64()))],
-                names=["page_id", "url", "host", "declared", "likelihood"],
+                [
+                    *[batch.column(name) for name in names],
+                    pa.array(declared, pa.string()), pa.array(likelihood, pa.list_(pa.float64())),
+                ],
+                names=[*names, "declared", "likelihood"],
             )
 
     schema = T.StructType([
-        *[rows.schema[name] for name in ("page_id", "url", "host")],
+        *[rows.schema[name] for name in names],
         T.StructField("declared", T.StringType()),
         T.StructField("likelihood", T.ArrayType(T.DoubleType())),
     ])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema), shared
 
 
 def normalised(scores: Column) -> Column:
@@ -171,7 +194,8 @@ def _smoothed(sums: Column, own: Column, wider: Column, trust: float) -> Column:
 def identified(pages: DataFrame, labelled: DataFrame, page_id: str = "page_id", url: str = "url",
                html: str = "html", text: str = "text", lang: str = "lang") -> DataFrame:
     """Each page's language, how sure that is, and what each evidence says."""
-    names, model = learnt(labelled, text, lang)
+    counts = materialise(counted_trigrams(labelled, text, lang)).df
+    names = sorted(row.lang for row in counts.select("lang").distinct().toLocalIterator())
     n = len(names)
     rows = picked(pages, page_id=page_id, url=url, html=html).withColumn("host", host_of(F.col("url")))
     if not n:
@@ -183,8 +207,15 @@ def identified(pages: DataFrame, labelled: DataFrame, page_id: str = "page_id",
     known = F.when(F.col("declared").isNull(), "none").when(
         F.array_contains(listed, F.col("declared")), F.col("declared")
     ).otherwise("other")
+    scored = rows.withColumn("likelihood", F.array().cast("array<double>"))
+    for start in range(0, n, LANGUAGES):
+        last = start + LANGUAGES >= n
+        found, shared = _scored(scored, learnt(counts, names[start:start + LANGUAGES]), last)
+        if not last:
+            scored = materialise(found.drop("declared")).df
+            shared.unpersist()
     scored = materialise(
-        _scored(rows, model).withColumns({
+        found.withColumns({
             "posterior": normalised(F.col("likelihood")),
             "suffix": F.element_at(labels, -1),
             "site": F.concat_ws(".", F.slice(labels, -F.least(F.size(labels), F.lit(2)), 2)),

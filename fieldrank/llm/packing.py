@@ -20,15 +20,16 @@ Only the named columns are read; others may have any name.
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from fieldrank.llm.common import picked, slices
 
@@ -69,23 +70,35 @@ def encoding(path: str, data: bytes):
     return _encodings[path]
 
 
-# Longer texts are encoded in parts of at most so many characters.
+# Longer texts are encoded in parts of at least so many characters.
 _PART = 1 << 16
-_BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
+# Unicode white space, as the tokenizer's pattern means it.
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_PIECE = regex.compile(
+    PATTERN.replace(r"[^\s", f"[^{_SPACE}").replace(r"\s", f"[{_SPACE}]").replace(r"\S", f"[^{_SPACE}]")
+)
 
 
 def parts_of(text: str, most: int = _PART) -> Iterator[str]:
-    """A text in parts, cut where the pattern cuts anyway: before a lone space.
+    """A text in parts, cut only where the pattern ends a piece that is no white space.
 
-    Where no such place is near, the cut is made at ``most`` characters.
+    Pieces are encoded each for itself, and only white space looks at what follows it,
+    so the parts have the ids of the whole text. A single piece of more than ``most``
+    characters is cut inside.
     """
-    start = 0
-    while len(text) - start > most:
-        end = start + most
-        places = [m.start() for m in _BOUNDARY.finditer(text, max(start + 1, end - 4096), end)]
-        cut = places[-1] if places else end
-        yield text[start:cut]
-        start = cut
+    if len(text) <= most:
+        yield text
+        return
+    start = end = 0
+    for piece in _PIECE.finditer(text):
+        if piece.end() - start > most and end > start:
+            yield text[start:end]
+            start = end
+        while piece.end() - piece.start() > most and piece.end() - start > most:
+            yield text[start:start + most]
+            start += most
+        if not text[piece.end() - 1].isspace():
+            end = piece.end()
     yield text[start:]
 
 
@@ -225,23 +238,25 @@ def _shards(batches: Iterator[pa.RecordBatch], encode, most: int):
 def _packed_by_task(docs: DataFrame, doc_id: str, text: str, vocabulary: str, length: int,
                     shard_tokens: int, schema: str, rows_of) -> DataFrame:
     shared = broadcast_vocabulary(docs.sparkSession, vocabulary)
+    rows = picked(docs, doc_id=doc_id, text=text)
+    ids = pa.list_(to_arrow_type(rows.schema["doc_id"].dataType))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         shards = _shards(batches, encoder(*shared.value), shard_tokens)
         for i, (names, tokens) in enumerate(shards):
-            yield from rows_of(f"{task:06d}-{i:04d}", names, pack(tokens, length))
+            yield from rows_of(f"{task:06d}-{i:04d}", names, pack(tokens, length), ids)
 
-    return picked(docs, doc_id=doc_id, text=text).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema.format(id=rows.schema["doc_id"].dataType.simpleString()))
 
 
 _SEQUENCES = (
-    "shard string, sequence int, n_tokens int, doc_ids array<long>, first_tokens array<int>, "
+    "shard string, sequence int, n_tokens int, doc_ids array<{id}>, first_tokens array<int>, "
     "cu_seqlens array<int>, position_resets array<int>, ids binary"
 )
 
 
-def _sequence_rows(shard: str, names: list, packed: Sequences, step: int = 1024):
+def _sequence_rows(shard: str, names: list, packed: Sequences, kind: pa.DataType, step: int = 1024):
     for low in range(0, len(packed.ids), step):
         part = range(low, min(low + step, len(packed.ids)))
         held = [packed.segments[i] for i in part]
@@ -250,7 +265,7 @@ def _sequence_rows(shard: str, names: list, packed: Sequences, step: int = 1024)
                 pa.array([shard] * len(part)),
                 pa.array(part, pa.int32()),
                 pa.array([int(packed.ends[i][-1]) for i in part], pa.int32()),
-                pa.array([[names[d] for d, _, _ in s] for s in held], pa.list_(pa.int64())),
+                pa.array([[names[d] for d, _, _ in s] for s in held], kind),
                 pa.array([[first for _, first, _ in s] for s in held], pa.list_(pa.int32())),
                 pa.array([packed.ends[i].tolist() for i in part], pa.list_(pa.int32())),
                 pa.array([packed.ends[i][:-1].tolist() for i in part], pa.list_(pa.int32())),
@@ -276,11 +291,11 @@ def packed_sequences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
 _MATRICES = (
     "shard string, n_sequences int, length int, ids binary, positions binary, cu_seqlens binary, "
-    "segments binary, doc_ids array<long>"
+    "segments binary, doc_ids array<{id}>"
 )
 
 
-def _matrix_rows(shard: str, names: list, packed: Sequences):
+def _matrix_rows(shard: str, names: list, packed: Sequences, kind: pa.DataType):
     segments = [(names[d], first) for held in packed.segments for d, first, _ in held]
     counts = np.array([len(e) for e in packed.ends], dtype="<i4")
     binary = [
@@ -291,7 +306,7 @@ def _matrix_rows(shard: str, names: list, packed: Sequences):
         [
             pa.array([shard]), pa.array([len(packed.ids)], pa.int32()),
             pa.array([packed.ids.shape[1]], pa.int32()), *[pa.array([b], pa.binary()) for b in binary],
-            pa.array([[name for name, _ in segments]], pa.list_(pa.int64())),
+            pa.array([[name for name, _ in segments]], kind),
         ],
         names=[c.split()[0] for c in _MATRICES.split(", ")],
     )

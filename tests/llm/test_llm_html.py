@@ -3,7 +3,8 @@ from functools import cache
 
 import pytest
 
-from fieldrank.llm.html_tree import article_text, main_text, parse
+from fieldrank.llm import wrappers
+from fieldrank.llm.html_tree import article_text, parse
 from fieldrank.llm.wrappers import Matcher, extracted
 
 PAGE = "page_id long, url string, html string"
@@ -26,11 +27,10 @@ PAGE = "page_id long, url string, html string"
     ('<p title="a > b">x</p><img alt="<p>">y', "x y"),
     ("<script>never ends <p>x", ""),
     ("<p>cut <b", "cut"),
-    ("<article>short</article><article>the longer one</article>", "the longer one"),
     ("", ""),
 ])
-def test_main_text(page, text):
-    assert main_text(parse(page), set()) == text
+def test_text_by_rule(page, text):
+    assert article_text(parse(page), set()) == text
 
 
 @pytest.mark.parametrize("page, text", [
@@ -53,10 +53,10 @@ def test_pages_of_several_articles_stay_whole(spark):
 
 
 def test_deep_and_odd_pages_end():
-    assert main_text(parse("<div>" * 30_000 + "deep"), set()) == "deep"
-    assert main_text(parse("<b>x" * 20_000), set()) == "x" * 20_000
-    assert main_text(parse("<p a=\"" * 20_000), set()) == ""
-    assert len(main_text(parse("<li>x" * 20_000), set())) == 39_999
+    assert article_text(parse("<div>" * 30_000 + "deep"), set()) == "deep"
+    assert article_text(parse("<b>x" * 20_000), set()) == "x" * 20_000
+    assert article_text(parse("<p a=\"" * 20_000), set()) == ""
+    assert len(article_text(parse("<li>x" * 20_000), set())) == 39_999
 
 
 def tree_page(rng, depth=0):
@@ -131,3 +131,58 @@ def test_odd_pages(spark, clashing):
         (0, "x"), (1, ""), (2, ""), (4, "y"), (5, "x"), (5, "x"), (6, " ".join(["z"] * 100_000)),
     ]
     assert extracted(pages.limit(0)).collect() == []
+
+
+def wide(k, rows, extra=0):
+    """Flat pages whose constant footer and frame stand beside ``rows`` own paragraphs."""
+    body = "".join(f"<p>Own {k} {i}</p>" for i in range(rows + extra))
+    return f"<div><b>Frame</b>{'<i>n</i>' * extra}{body}<u>All rights reserved</u></div>"
+
+
+@pytest.mark.parametrize("rows", [30, 300, 600, 5000])
+def test_one_rule_for_any_number_of_siblings(spark, rows):
+    pages = [(k, f"http://w/{k}", wide(k, rows, k % 3)) for k in range(8)]
+    found = extracted(spark.createDataFrame(pages, PAGE)).collect()
+    assert len(found) == 8
+    for row in found:
+        assert "All rights reserved" not in row.text and "Frame" not in row.text
+        assert row.text.count("Own") == rows + row.page_id % 3
+
+
+def test_halved_tables_match_as_much(monkeypatch):
+    rng = random.Random(5)
+    tags = ["div", "p", "ul", "b"]
+    def page():
+        return parse("".join(f"<{t}></{t}>" for t in rng.choices(tags, k=rng.randint(40, 70))))
+    for _ in range(10):
+        a, b = page(), page()
+        sizes = []
+        for cells in (10_000, 40, 1):
+            monkeypatch.setattr(wrappers, "_CELLS", cells)
+            matcher = Matcher()
+            ids_a, ids_b = matcher.structure(a), matcher.structure(b)
+            sizes.append(matcher.size(ids_a[0], ids_b[0]))
+            pairs = list(matcher.align(a, ids_a, b, ids_b))
+            assert len(pairs) == sizes[-1]
+            assert [i for i, _ in sorted(pairs)] == sorted(i for i, _ in pairs)
+        assert len(set(sizes)) == 1
+
+
+def test_constant_text_is_found_at_any_depth(spark):
+    def page(k):
+        return "<div>" * 500 + f"<p>Own {k}</p>" * (1 + k % 2) + "<u>Signed, the editors</u>" + "</div>" * 500
+
+    pages = [(k, f"http://d/{k}", page(k)) for k in range(8)]
+    assert all("Signed" not in r.text and "Own" in r.text
+               for r in extracted(spark.createDataFrame(pages, PAGE)).collect())
+
+
+def test_a_repeated_article_stays_on_all_its_pages(spark):
+    article = "<article>" + "".join(f"<p>Sentence {i} of the story.</p>" for i in range(17)) + "</article>"
+    def page(k):
+        menu = "".join(f"<li>Menu {k} entry {i} with quite some text" for i in range(20))
+        return f"<body><ul class=links>{menu}</ul>{article}<p class=sponsored>Advert {k}</p></body>"
+
+    pages = [(k, f"http://r/{k}", page(k)) for k in range(8)]
+    texts = {r.text for r in extracted(spark.createDataFrame(pages, PAGE)).collect()}
+    assert texts == {" ".join(f"Sentence {i} of the story." for i in range(17))}

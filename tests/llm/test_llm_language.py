@@ -10,9 +10,15 @@ TEXT = "doc_id long, text string, lang string"
 SF_DIR = "/root/testdata/sf0.01"
 
 
+def trained(docs):
+    counts = language.counted_trigrams(docs)
+    names = sorted({row.lang for row in counts.select("lang").collect()})
+    return names, language.learnt(counts, names)
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("length(text) > 50")
-    names, model = language.learnt(docs.where("doc_id % 2 = 0"))
+    names, model = trained(docs.where("doc_id % 2 = 0"))
     held_out = docs.where("doc_id % 2 = 1").collect()
     right = sum(
         names[int(np.argmax(language.text_likelihood(r.text, model)))] == r.lang for r in held_out
@@ -53,7 +59,7 @@ def test_other_evidence_decides_without_text(spark):
 def test_equals_a_plain_computation(spark):
     docs, pages = small(spark)
     found = {r.page_id: r for r in language.identified(spark.createDataFrame(pages, PAGE), docs).collect()}
-    names, model = language.learnt(docs)
+    names, model = trained(docs)
 
     def soft(scores):
         e = np.exp(scores - np.max(scores))
@@ -104,3 +110,29 @@ def test_odd_pages(spark, clashing):
     assert language.identified(odd.limit(0), docs).collect() == []
     untaught = language.identified(odd, spark.createDataFrame([(1, None, "en"), (2, "x", None)], TEXT))
     assert {r.lang for r in untaught.collect()} == {None}
+
+
+def test_any_number_of_languages(spark):
+    docs = [(i, f"w{i}a w{i}b w{i}c" * 3, f"l{i}-XX") for i in range(500)]
+    pages = [(i, f"http://h{i}.org/", f"<p>{text}</p>") for i, text, _ in docs[::50]]
+    rows = language.identified(
+        spark.createDataFrame(pages, PAGE), spark.createDataFrame(docs, TEXT)
+    ).collect()
+    assert {r.page_id: r.text_lang for r in rows} == {i: f"l{i}" for i in range(0, 500, 50)}
+
+
+def test_passes_over_the_languages_give_the_same(spark, monkeypatch):
+    docs, pages = small(spark)
+    docs = docs.union(spark.createDataFrame([(9, "le roi et la maison du jardin", "FR")], TEXT))
+    pages = spark.createDataFrame(pages, PAGE)
+    one = sorted(map(repr, language.identified(pages, docs).collect()))
+    monkeypatch.setattr(language, "LANGUAGES", 1)
+    assert sorted(map(repr, language.identified(pages, docs).collect())) == one
+
+
+def test_all_articles_of_a_page_count(spark):
+    docs, _ = small(spark)
+    english = "<article>the house and the garden</article>" * 5
+    page = f"{english}<article>das haus und der garten und der hof das haus</article>"
+    row = language.identified(spark.createDataFrame([(1, "http://x.org/", page)], PAGE), docs).first()
+    assert row.lang == "en"

@@ -84,3 +84,32 @@ def test_odd_documents(odd_documents, clashing):
     held = Counter(d for r in rows for d, first in zip(r.doc_ids, r.first_tokens) if first == 0)
     assert held == {3: 1, 4: 1, 5: 1, 6: 2, None: 1, 7: 1, 8: 1, 9: 1}
     assert packing.packed_sequences(odd_documents.limit(0)).collect() == []
+
+
+LONG = {
+    "lines": "a word\nand more\n",
+    "tabs": "a\tword\t\tand ",
+    "mixed": "It's 12 o'clock —  ünïcödé\r\n\n 中文字 x\u2003y\u00a0z\x1c1 ",
+    "unspaced": "漢字かな",
+    "spaces": "   ",
+}
+
+
+@pytest.mark.parametrize("kind", sorted(LONG))
+@pytest.mark.parametrize("more", [-1, 0, 1, 1000])
+def test_ids_do_not_depend_on_the_parts(kind, more):
+    text = (LONG[kind] * (packing._PART // len(LONG[kind]) + 2000))[:packing._PART + more]
+    encode = packing.encoder(packing.VOCABULARY, open(packing.VOCABULARY, "rb").read())
+    assert "".join(packing.parts_of(text)) == text
+    whole = TOKENIZER.encode_ordinary(text)
+    if kind not in ("unspaced", "spaces"):
+        assert encode(text).tolist() == whole
+        assert len(list(packing.parts_of(text, 100))) > 500
+        small = [i for part in packing.parts_of(text, 100) for i in TOKENIZER.encode_ordinary(part)]
+        assert small == whole
+
+
+def test_ids_of_any_type(spark):
+    rows = spark.createDataFrame([("a-1", "some text"), (None, "more")], "doc_id string, text string")
+    held = packing.packed_sequences(rows).collect()
+    assert sorted(d or "" for r in held for d in r.doc_ids) == ["", "a-1"]
