@@ -587,3 +587,15 @@ SELECT table_name, CAST(count(DISTINCT snapshot_date) AS BIGINT) AS n_lines,
        CAST((SELECT count(*) FROM snap) - (SELECT count(*) FROM usable) AS BIGINT) AS envelopes,
        CAST(1 AS BIGINT) AS reject_loads
 FROM usable, (VALUES ('flat'), ('cleaned')) t(table_name) GROUP BY table_name""")
+ORACLE["presence_spells"] = ORACLE["spells_incremental"] = _with([EVENTS], """
+, calendar AS (
+  SELECT snapshot_date, row_number() OVER (ORDER BY snapshot_date) AS n
+  FROM (SELECT DISTINCT snapshot_date FROM snap)
+), placed AS (
+  SELECT entity_id, snapshot_date,
+         n - row_number() OVER (PARTITION BY entity_id ORDER BY snapshot_date) AS island
+  FROM snap JOIN calendar USING (snapshot_date)
+)
+SELECT entity_id, min(snapshot_date) AS first_date, max(snapshot_date) AS last_date,
+       count(*) AS n_snapshots
+FROM placed GROUP BY entity_id, island""")

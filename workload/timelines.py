@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
-from fieldrank.materialise import scratch_folder
+from fieldrank.materialise import materialise, scratch_folder
 from fieldrank.operators.asof import asof_join
 from fieldrank.operators.skyline import skyline
+from fieldrank.operators.spells import spells, spells_after
 from fieldrank.operators.statistics import with_mean_price
 from fieldrank.roles import DEFAULT_ROLES as R
 from fieldrank.sources import history, states, store
@@ -142,6 +145,21 @@ def order_skyline(spark, sf_dir):
     return skyline(items, "l_extendedprice", "l_quantity", "l_returnflag")
 
 
+def presence_spells(spark, sf_dir):
+    return spells(fx.daily_events(spark, sf_dir))
+
+
+def spells_incremental(spark, sf_dir):
+    """Spells before three days came or were corrected, brought up to date."""
+    rows = fx.daily_events(spark, sf_dir)
+    changed = [dt.date(2024, 1, day) for day in (1, 9, 10, 20)]
+    number = F.dayofmonth(R.snapshot_date)
+    # Before, day 9 was not there, days 1 and 10 had fewer users, day 20 others.
+    user = F.col("entity_id").cast("int")
+    before = rows.where((number != 9) & ~(number.isin(1, 10) & (user % 3 == 0)) & ~((number == 20) & (user % 2 == 0)))
+    return spells_after(rows, materialise(spells(before)).df, changed)
+
+
 _streams: dict[tuple[str, str], str] = {}
 
 
@@ -167,5 +185,6 @@ QUERIES = {
     for query in (
         asof_purchases, asof_orders, span_quantiles, set_changes, month_entities,
         correction_history, known_at_load, price_skyline, order_skyline, state_trends,
+        presence_spells, spells_incremental,
     )
 }
