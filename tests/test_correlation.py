@@ -1,0 +1,87 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from conftest import day_of
+
+from fieldrank.operators.correlation import inversions, rank_correlation
+
+SCHEMA = "entity_id string, snapshot_date date, quality double"
+
+
+def plain(rows, steps=1):
+    days = sorted({day for _, day, _ in rows})
+    known = {
+        (key, day): v for key, day, v in rows if v is not None and not math.isnan(v)
+    }
+    out = {}
+    for before, now in zip(days, days[steps:]):
+        pairs = [(v, known[k, now]) for (k, day), v in known.items() if day == before and (k, now) in known]
+        counts = dict.fromkeys(("concordant", "discordant", "tied_before", "tied_now", "tied_both"), 0)
+        for i, (a, b) in enumerate(pairs):
+            for c, d in pairs[:i]:
+                if a == c:
+                    counts["tied_before"] += 1
+                if b == d:
+                    counts["tied_now"] += 1
+                if (a, b) == (c, d):
+                    counts["tied_both"] += 1
+                if a != c and b != d:
+                    counts["concordant" if (a < c) == (b < d) else "discordant"] += 1
+        total = len(pairs) * (len(pairs) - 1) // 2
+        spread = (total - counts["tied_before"]) * (total - counts["tied_now"])
+        tau = (counts["concordant"] - counts["discordant"]) / math.sqrt(spread) if spread else None
+        out[now] = {"prev_snapshot_date": before, "n_entities": len(pairs), **counts, "tau_b": tau}
+    return out
+
+
+def check(spark, rows, **options):
+    found = rank_correlation(spark.createDataFrame(rows, SCHEMA), "quality", **options).collect()
+    expected = plain(rows, options.get("steps", 1))
+    assert {r.snapshot_date for r in found} == set(expected)
+    for row in found:
+        want = expected[row.snapshot_date]
+        got = row.asDict()
+        tau = got.pop("tau_b")
+        assert tau == pytest.approx(want.pop("tau_b"))
+        assert {name: got[name] for name in want} == want
+
+
+def test_inversions_with_weights():
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 2, 60):
+        values, weights = rng.integers(0, 9, size), rng.integers(1, 5, size)
+        slow = sum(
+            int(weights[i] * weights[j])
+            for i in range(size) for j in range(i + 1, size) if values[i] > values[j]
+        )
+        assert inversions(values, weights) == slow
+    assert inversions(np.array([3, 1]), np.array([2_000_000_000, 2_000_000_000])) == 4 * 10**18
+
+
+@pytest.mark.parametrize("per_range", [1_000_000, 7, 1])
+def test_one_snapshot_pair_over_many_ranges(spark, per_range):
+    """Two dates hold most rows; ties on both sides, one value before on a third of them."""
+    rng = random.Random(per_range)
+    rows = [(f"e{i}", day_of(n), float(rng.randrange(12))) for n in (1, 2) for i in range(60)]
+    rows += [(f"e{i}", day_of(3), 1.0 if i % 3 else float(i)) for i in range(60)]
+    rows += [("e1", day_of(9), 2.0), ("new", day_of(9), 3.0), ("e2", day_of(11), None)]
+    rows += [("e3", day_of(11), float("nan")), ("e1", day_of(11), -0.0), ("e4", day_of(12), 0.0)]
+    check(spark, rows, rows_per_range=per_range)
+
+
+@pytest.mark.parametrize("steps", [2, 3])
+def test_more_steps_and_pauses(spark, steps):
+    rng = random.Random(steps)
+    rows = [
+        (key, day_of(n), rng.choice([None, 1.5, 2.5, -0.0, 0.0, 7.0]))
+        for n in (1, 2, 5, 6, 8, 20) for key in "abcdefghij" if rng.random() < 0.8
+    ]
+    check(spark, rows, steps=steps, rows_per_range=5)
+
+
+def test_no_rows_and_one_date(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert rank_correlation(empty, "quality").count() == 0
+    check(spark, [("a", day_of(1), 1.0), ("b", day_of(1), 2.0)])

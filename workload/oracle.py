@@ -599,3 +599,67 @@ ORACLE["presence_spells"] = ORACLE["spells_incremental"] = _with([EVENTS], """
 SELECT entity_id, min(snapshot_date) AS first_date, max(snapshot_date) AS last_date,
        count(*) AS n_snapshots
 FROM placed GROUP BY entity_id, island""")
+
+
+def _agreement(rows: str, steps: int) -> str:
+    """Kendall's tau-b by comparing all pairs of entities; ``rows`` has entity, date, value."""
+    return f"""
+, calendar AS (
+  SELECT snapshot_date, lag(snapshot_date, {steps}) OVER (ORDER BY snapshot_date) AS prev_snapshot_date
+  FROM (SELECT DISTINCT snapshot_date FROM snap)
+), valued AS ({rows}), both_days AS (
+  SELECT c.snapshot_date, n.entity_id, b.v AS x, n.v AS y
+  FROM calendar c JOIN valued n ON n.snapshot_date = c.snapshot_date
+  JOIN valued b ON b.snapshot_date = c.prev_snapshot_date AND b.entity_id = n.entity_id
+  WHERE b.v IS NOT NULL AND n.v IS NOT NULL
+), compared AS (
+  SELECT a.snapshot_date, count(*) AS total,
+         count(*) FILTER ((a.x < b.x AND a.y < b.y) OR (a.x > b.x AND a.y > b.y)) AS concordant,
+         count(*) FILTER ((a.x < b.x AND a.y > b.y) OR (a.x > b.x AND a.y < b.y)) AS discordant,
+         count(*) FILTER (a.x = b.x) AS tied_before, count(*) FILTER (a.y = b.y) AS tied_now,
+         count(*) FILTER (a.x = b.x AND a.y = b.y) AS tied_both
+  FROM both_days a JOIN both_days b
+    ON a.snapshot_date = b.snapshot_date AND a.entity_id < b.entity_id
+  GROUP BY 1
+), sizes AS (SELECT snapshot_date, count(*) AS n_entities FROM both_days GROUP BY 1)
+SELECT snapshot_date, prev_snapshot_date, coalesce(n_entities, 0) AS n_entities,
+       coalesce(concordant, 0) AS concordant, coalesce(discordant, 0) AS discordant,
+       coalesce(tied_before, 0) AS tied_before, coalesce(tied_now, 0) AS tied_now,
+       coalesce(tied_both, 0) AS tied_both,
+       round(CASE WHEN (total - tied_before) * (total - tied_now) > 0
+             THEN (concordant - discordant)
+                  / sqrt(CAST(total - tied_before AS DOUBLE) * (total - tied_now)) END + 3e-10, 6) + 0e0 AS tau_b
+FROM calendar LEFT JOIN sizes USING (snapshot_date) LEFT JOIN compared USING (snapshot_date)
+WHERE prev_snapshot_date IS NOT NULL"""
+
+
+ORACLE["rank_agreement"] = _with(LEADERBOARD, _agreement(
+    "SELECT entity_id, snapshot_date, rank AS v FROM board", 1
+).replace("FROM snap)", "FROM board)"))
+ORACLE["tied_agreement"] = _with([EVENTS], _agreement(
+    "SELECT entity_id, snapshot_date, floor(quality / 2) AS v FROM snap", 5
+))
+
+
+def _frames(values: list[str], days: tuple[int, ...]) -> str:
+    columns, windows = [], []
+    for length in days:
+        windows.append(
+            f"w{length} AS (PARTITION BY entity_id ORDER BY snapshot_date RANGE BETWEEN "
+            f"INTERVAL {length - 1} DAY PRECEDING AND CURRENT ROW)"
+        )
+        for name in values:
+            day = "date_diff('day', DATE '1970-01-01', snapshot_date)"
+            several = f"min({day}) OVER w{length} < max({day}) OVER w{length}"
+            columns.append(
+                f"count({name}) OVER w{length} AS {name}_{length}d_n, "
+                f"round(avg({name}) OVER w{length} + 3e-10, 6) + 0e0 AS {name}_{length}d_mean, "
+                f"round(stddev_samp({name}) OVER w{length} + 3e-10, 6) + 0e0 AS {name}_{length}d_volatility, "
+                f"round(CASE WHEN {several} THEN regr_slope({name}, {day}) OVER w{length} END + 3e-10, 6) + 0e0 "
+                f"AS {name}_{length}d_slope"
+            )
+    return f"SELECT entity_id, snapshot_date, {', '.join(columns)} FROM snap WINDOW {', '.join(windows)}"
+
+
+ORACLE["event_windows"] = _with([EVENTS], _frames(["quality", "speed"], (7, 30)))
+ORACLE["windows_incremental"] = _with([SNAP], _frames(["quality"], (31, 100)))

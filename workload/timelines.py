@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from fieldrank.materialise import materialise, scratch_folder
 from fieldrank.operators.asof import asof_join
+from fieldrank.operators.calendar import calendar_windows, windows_after
+from fieldrank.operators.correlation import rank_correlation
 from fieldrank.operators.skyline import skyline
 from fieldrank.operators.spells import spells, spells_after
 from fieldrank.operators.statistics import with_mean_price
@@ -160,6 +162,43 @@ def spells_incremental(spark, sf_dir):
     return spells_after(rows, materialise(spells(before)).df, changed)
 
 
+def rank_agreement(spark, sf_dir):
+    """How far the ranks of each month agree with those of the month before."""
+    return _rounded(rank_correlation(fx.board(spark, sf_dir), "rank"))
+
+
+def tied_agreement(spark, sf_dir):
+    """The same of counts with many ties, five days apart, in ranges of 50 values."""
+    return _rounded(rank_correlation(
+        fx.daily_events(spark, sf_dir).withColumn("quality", F.floor(F.col("quality") / 2)),
+        "quality", steps=5, rows_per_range=50,
+    ))
+
+
+def _rounded(df):
+    # A little beside the ties, which each engine rounds by its own last bit.
+    doubles = [name for name, kind in df.dtypes if kind == "double"]
+    return df.withColumns({name: F.round(F.col(name) + 3e-10, 6) + F.lit(0.0) for name in doubles})
+
+
+def event_windows(spark, sf_dir):
+    """Means, volatility and slopes of users over 7 and 30 days."""
+    return _rounded(calendar_windows(fx.daily_events(spark, sf_dir), ["quality", "speed"]))
+
+
+def windows_incremental(spark, sf_dir):
+    """The window table of suppliers by month, after three months came or were corrected."""
+    rows, days = fx.snapshots(spark, sf_dir), (31, 100)
+    changed = [dt.date(1995, 3, 1), dt.date(1997, 11, 1), dt.date(1998, 1, 1)]
+    month, supplier = F.col(R.snapshot_date), F.col("entity_id").cast("int")
+    # Before, the first month was not there and the others had other rows.
+    before = rows.where((month != changed[0]) & ~(month.isin(changed[1:]) & (supplier % 3 == 0)))
+    root = scratch_folder(spark)
+    store.write_snapshots(calendar_windows(before, ["quality"], days), root)
+    store.write_snapshots(windows_after(rows, changed, ["quality"], days), root)
+    return _rounded(store.read_snapshots(spark, root))
+
+
 _streams: dict[tuple[str, str], str] = {}
 
 
@@ -185,6 +224,7 @@ QUERIES = {
     for query in (
         asof_purchases, asof_orders, span_quantiles, set_changes, month_entities,
         correction_history, known_at_load, price_skyline, order_skyline, state_trends,
-        presence_spells, spells_incremental,
+        presence_spells, spells_incremental, rank_agreement, tied_agreement, event_windows,
+        windows_incremental,
     )
 }
