@@ -78,6 +78,8 @@ def row_bytes(schema: T.StructType) -> Column:
 def _value_bytes(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, (T.StringType, T.BinaryType)):
         return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+    if isinstance(kind, T.VariantType):
+        return F.coalesce(F.octet_length(F.to_json(value)), F.lit(0)) + 16
     if isinstance(kind, T.StructType):
         parts = (_value_bytes(value.getField(f.name), f.dataType) for f in kind.fields)
         return sum(parts, F.lit(16))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fieldrank.contracts import check_contract, check_types
+from fieldrank.contracts import ALLOWED_TYPES, check_contract, check_types
 from fieldrank.materialise import observed_metrics
 from fieldrank.names import named
 from fieldrank.roles import DEFAULT_ROLES, Roles
@@ -42,20 +42,22 @@ def write_snapshots(
     arranged: bool = False,
     roles: Roles = DEFAULT_ROLES,
     load_id: str | None = None,
+    more_types: tuple[str, ...] = (),
 ) -> Load:
     """Replace exactly the dates found in ``df``; create the table if needed.
 
     Executors write. Rows are brought together by date first, where AQE splits
     a large date over several tasks and packs small ones; ``arranged`` says
     they already lie by date and skips that shuffle. ``load_id`` names the load in
-    the history: a load that comes again under its name is told once.
+    the history: a load that comes again under its name is told once. ``more_types``
+    are allowed besides the usual ones.
 
     No rows means nothing is touched; a row without a date is an error. A failed
     write may leave some dates replaced and others not; running it again settles
     that. ``df`` must not read ``root`` itself: write such a result somewhere
     first.
     """
-    check_types(df)
+    check_types(df, (*ALLOWED_TYPES, *more_types))
     if contract:
         check_contract(df, contract, open_columns, roles)
     seen = Observation()

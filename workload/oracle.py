@@ -663,3 +663,49 @@ def _frames(values: list[str], days: tuple[int, ...]) -> str:
 
 ORACLE["event_windows"] = _with([EVENTS], _frames(["quality", "speed"], (7, 30)))
 ORACLE["windows_incremental"] = _with([SNAP], _frames(["quality"], (31, 100)))
+
+MEASURED = """
+texts AS (
+  SELECT snapshot_date, '{"supplier ' || entity_id || '": '
+         || CASE WHEN speed IS NULL THEN '"none"' WHEN price_in = 0 THEN '[1, 2]'
+            ELSE CAST(CAST(quality AS BIGINT) AS VARCHAR) END || '}' AS j
+  FROM snap
+), keyed AS (SELECT snapshot_date, j, unnest(json_keys(j)) AS key FROM texts),
+kinds AS (
+  SELECT snapshot_date, key,
+         CASE json_type(j, '$."' || key || '"') WHEN 'VARCHAR' THEN 'string' WHEN 'ARRAY' THEN 'array'
+         WHEN 'NULL' THEN 'null' ELSE 'number' END AS kind
+  FROM keyed
+), keys AS (
+  SELECT snapshot_date, key, count(*) AS n_rows, count(*) FILTER (kind = 'null') AS n_null,
+         coalesce(string_agg(DISTINCT kind, ',' ORDER BY kind) FILTER (kind <> 'null'), '') AS kinds
+  FROM kinds GROUP BY 1, 2
+)"""
+
+ORACLE["measured_keys"] = _with([SNAP, MEASURED], "SELECT * FROM keys")
+# In these rows each key has one value a month, and it is never null.
+ORACLE["measured_drift"] = _with([SNAP, MEASURED], """
+, months AS (
+  SELECT snapshot_date, lag(snapshot_date) OVER (ORDER BY snapshot_date) AS earlier
+  FROM (SELECT DISTINCT snapshot_date FROM keys)
+), steps AS (
+  SELECT k.*, m.earlier, p.kinds AS previous,
+         (SELECT max_by(o.kinds, o.snapshot_date) FROM keys o
+          WHERE o.key = k.key AND o.snapshot_date < k.snapshot_date) AS last_kinds
+  FROM keys k JOIN months m USING (snapshot_date)
+  LEFT JOIN keys p ON p.key = k.key AND p.snapshot_date = m.earlier
+)
+SELECT snapshot_date, key, 'new' AS change, last_kinds AS kinds_before, kinds AS kinds_now
+FROM steps WHERE earlier IS NOT NULL AND last_kinds IS NULL
+UNION ALL
+SELECT snapshot_date, key, 'back', last_kinds, kinds
+FROM steps WHERE last_kinds IS NOT NULL AND previous IS NULL
+UNION ALL
+SELECT snapshot_date, key, 'kinds', last_kinds, kinds FROM steps WHERE last_kinds <> kinds
+UNION ALL
+SELECT m.snapshot_date, k.key, 'gone', k.kinds, NULL
+FROM keys k JOIN months m ON m.earlier = k.snapshot_date
+WHERE NOT EXISTS (SELECT 1 FROM keys n WHERE n.key = k.key AND n.snapshot_date = m.snapshot_date)""")
+ORACLE["measured_landing"] = _with([SNAP], """
+SELECT snapshot_date, count(quality) AS n_index, sum(quality) AS index_total, CAST(0 AS BIGINT) AS n_absent
+FROM snap GROUP BY 1""")

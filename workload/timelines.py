@@ -14,7 +14,7 @@ from fieldrank.operators.skyline import skyline
 from fieldrank.operators.spells import spells, spells_after
 from fieldrank.operators.statistics import with_mean_price
 from fieldrank.roles import DEFAULT_ROLES as R
-from fieldrank.sources import history, states, store
+from fieldrank.sources import history, landing, states, store, variants
 from fieldrank.streaming import changes
 from workload import fixtures as fx
 
@@ -199,6 +199,58 @@ def windows_incremental(spark, sf_dir):
     return _rounded(store.read_snapshots(spark, root))
 
 
+_measured: dict[tuple[str, str], str] = {}
+
+
+def _measured_months(spark, sf_dir):
+    """Suppliers by month with an open measurement each, named by the supplier: a number,
+    a text where the speed was not measured, a list where the price is zero."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _measured:
+        value = (
+            F.when(F.col("speed").isNull(), '"none"').when(F.col("price_in") == 0, "[1, 2]")
+            .otherwise(F.col("quality").cast("bigint").cast("string"))
+        )
+        text = F.concat(F.lit('{"supplier '), "entity_id", F.lit('": '), value, F.lit("}"))
+        root = scratch_folder(spark)
+        variants.write_measured(
+            fx.snapshots(spark, sf_dir).select(
+                R.snapshot_date, "entity_id", F.parse_json(text).alias(variants.MEASURED)
+            ), root,
+        )
+        _measured[key] = root
+    return store.read_snapshots(spark, _measured[key])
+
+
+def measured_keys(spark, sf_dir):
+    """Per month and key of the stored measurements: rows and the kinds of their values."""
+    found = variants.key_states(_measured_months(spark, sf_dir).drop("entity_id"))
+    return found.withColumn("kinds", F.array_join("kinds", ","))
+
+
+def measured_drift(spark, sf_dir):
+    """Keys that come, go, return or change their kind from month to month."""
+    found = variants.drift(variants.key_states(_measured_months(spark, sf_dir)))
+    return found.withColumns({
+        name: F.array_join(name, ",") for name in ("kinds_before", "kinds_now")
+    })
+
+
+def measured_landing(spark, sf_dir):
+    """Measurements of landing files, parsed once into VARIANT and read back by key."""
+    envelopes = landing.read_landing(spark, fx.land_snapshots(spark, sf_dir), multi_line=False)
+    root = scratch_folder(spark)
+    variants.write_measured(
+        variants.measured_records(landing.records(envelopes)).select("id", R.snapshot_date, variants.MEASURED),
+        root,
+    )
+    return store.read_snapshots(spark, root).groupBy(R.snapshot_date).agg(
+        F.count(variants.value_of("index")).alias("n_index"),
+        F.sum(variants.value_of("index")).alias("index_total"),
+        F.count(variants.value_of("absent")).alias("n_absent"),
+    )
+
+
 _streams: dict[tuple[str, str], str] = {}
 
 
@@ -225,6 +277,6 @@ QUERIES = {
         asof_purchases, asof_orders, span_quantiles, set_changes, month_entities,
         correction_history, known_at_load, price_skyline, order_skyline, state_trends,
         presence_spells, spells_incremental, rank_agreement, tied_agreement, event_windows,
-        windows_incremental,
+        windows_incremental, measured_keys, measured_drift, measured_landing,
     )
 }
