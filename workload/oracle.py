@@ -709,3 +709,4 @@ WHERE NOT EXISTS (SELECT 1 FROM keys n WHERE n.key = k.key AND n.snapshot_date =
 ORACLE["measured_landing"] = _with([SNAP], """
 SELECT snapshot_date, count(quality) AS n_index, sum(quality) AS index_total, CAST(0 AS BIGINT) AS n_absent
 FROM snap GROUP BY 1""")
+ORACLE["placed_trends"] = _with([SNAP], _trends("snap"))

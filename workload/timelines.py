@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -13,8 +14,9 @@ from fieldrank.operators.correlation import rank_correlation
 from fieldrank.operators.skyline import skyline
 from fieldrank.operators.spells import spells, spells_after
 from fieldrank.operators.statistics import with_mean_price
+from fieldrank.operators.trends import trends
 from fieldrank.roles import DEFAULT_ROLES as R
-from fieldrank.sources import history, landing, states, store, variants
+from fieldrank.sources import history, landing, placed, states, store, variants
 from fieldrank.streaming import changes
 from workload import fixtures as fx
 
@@ -251,6 +253,18 @@ def measured_landing(spark, sf_dir):
     )
 
 
+def placed_trends(spark, sf_dir):
+    """Trends of the whole table placed by supplier, after three months were corrected:
+    the window reads the buckets as they lie."""
+    rows, table = fx.snapshots(spark, sf_dir), f"placed_{uuid.uuid4().hex}"
+    changed = [dt.date(1995, 3, 1), dt.date(1997, 11, 1), dt.date(1998, 12, 1)]
+    month, supplier = F.col(R.snapshot_date), F.col("entity_id").cast("int")
+    before = rows.where((month != changed[0]) & ~(month.isin(changed[1:]) & (supplier % 3 == 0)))
+    placed.place_by_entity(before, table, scratch_folder(spark), 8)
+    placed.refresh_placed(rows, table, changed)
+    return trends(placed.read_placed(spark, table))
+
+
 _streams: dict[tuple[str, str], str] = {}
 
 
@@ -278,5 +292,6 @@ QUERIES = {
         correction_history, known_at_load, price_skyline, order_skyline, state_trends,
         presence_spells, spells_incremental, rank_agreement, tied_agreement, event_windows,
         windows_incremental, measured_keys, measured_drift, measured_landing,
+        placed_trends,
     )
 }
