@@ -26,10 +26,6 @@ from fieldrank.names import named
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
-# Beyond that, rows of one join key are spread over this many salts, or as many
-# as there are shuffle partitions if these are fewer.
-SALTS = 32
-
 
 @dataclass(frozen=True)
 class Stored:
@@ -122,25 +118,12 @@ def materialise(df: DataFrame, codec: str | None = None, **observed: Column) ->
     )
 
 
-def join_stored(
-    rows: DataFrame,
-    side: Stored,
-    on: list[str],
-    how: str = "inner",
-    salt_by: list[str] | None = None,
-) -> DataFrame:
+def join_stored(rows: DataFrame, side: Stored, on: list[str], how: str = "inner") -> DataFrame:
     """Join ``rows`` with a written side.
 
-    A side below the measured bound is broadcast, so ``rows`` does not move.
-    A larger side is joined by shuffle on the key plus a salt: each key's rows
-    spread over up to ``SALTS`` tasks and the side is repeated once per salt. Each
-    row meets exactly one copy of its match, so inner, left, semi and anti
-    joins keep their meaning.
+    A side below the measured bound is broadcast, so ``rows`` does not move. A larger
+    side is joined by shuffle, each of its rows once; adaptive execution splits the
+    tasks of hot keys of ``rows`` by their measured sizes (inner, left, semi and anti
+    joins), and only for these does a task's part of the side go to several tasks.
     """
-    if side.fits_broadcast:
-        return rows.join(F.broadcast(side.df), on, how)
-    salt_by = salt_by or [name for name in rows.columns if name not in on] or on
-    salts = min(SALTS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
-    copies = side.df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    return rows.join(F.broadcast(side.df) if side.fits_broadcast else side.df, on, how)

@@ -129,7 +129,7 @@ def rank_correlation(
         known &= ~F.isnan(value)
     earlier = Window.partitionBy(entity).orderBy("_number").rangeBetween(-steps, -steps)
     rows = join_stored(
-        df.where(known).select(entity, day, F.col(value).alias("_value")), calendar, [day], salt_by=[entity]
+        df.where(known).select(entity, day, F.col(value).alias("_value")), calendar, [day]
     )
     pairs = materialise(
         rows.withColumn("_earlier", F.first("_value").over(earlier))

@@ -44,7 +44,7 @@ def entered_dropped(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     )
     by_entity = Window.partitionBy(roles.entity_id).orderBy(day)
     rows = join_stored(
-        df.select(roles.entity_id, day), dates, [day], salt_by=[roles.entity_id]
+        df.select(roles.entity_id, day), dates, [day]
     ).withColumns({
         "_last": F.lag(day).over(by_entity),
         "_next": F.lead(day).over(by_entity),

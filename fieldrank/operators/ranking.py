@@ -83,7 +83,7 @@ def _number_large(
     runs = _run_starts(placed, group, F.count(F.lit(1)), _first=F.min("_place"))
     number = F.col("_place") - F.col("_first") + F.col("_before") + 1
     return (
-        join_stored(placed, materialise(runs), [*group, "_task"], salt_by=["_place"])
+        join_stored(placed, materialise(runs), [*group, "_task"])
         .withColumn(out, number.cast("bigint"))
         .drop("_task", "_place", "_first", "_before")
     )
@@ -121,7 +121,7 @@ def distribution(
     )
     runs = materialise(_run_starts(placed, group, F.sum("n_equal")))
     return (
-        join_stored(placed, runs, [*group, "_task"], salt_by=[value])
+        join_stored(placed, runs, [*group, "_task"])
         .withColumn("n_upto", F.sum("n_equal").over(inside) + F.col("_before"))
         .drop("_task", "_before")
     )
@@ -173,7 +173,7 @@ def percent_ranks(
         )
         share = F.when(F.col(size) > 1, F.col("_below") / (F.col(size) - 1)).otherwise(0.0)
         large = (
-            join_stored(large, found, [*group, value], salt_by=[tie_break])
+            join_stored(large, found, [*group, value])
             .withColumn(out, share)
             .drop("_below")
         )

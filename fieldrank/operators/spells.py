@@ -27,7 +27,7 @@ def _islands(rows: DataFrame, calendar: Stored, roles: Roles) -> DataFrame:
     day, entity = roles.snapshot_date, roles.entity_id
     by_entity = Window.partitionBy(entity).orderBy(day)
     return (
-        join_stored(rows, calendar, [day], salt_by=[entity])
+        join_stored(rows, calendar, [day])
         .withColumn("_island", F.col("_number") - F.row_number().over(by_entity))
         .groupBy(entity, "_island")
         .agg(F.min(day).alias("first_date"), F.max(day).alias("last_date"), F.count(day).alias("n_snapshots"))

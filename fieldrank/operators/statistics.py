@@ -102,7 +102,7 @@ def attach(
 ) -> DataFrame:
     """Give every row the statistics of its snapshot."""
     return join_stored(
-        df, statistics.stored, [roles.snapshot_date], salt_by=[roles.entity_id]
+        df, statistics.stored, [roles.snapshot_date]
     )
 
 
@@ -132,4 +132,4 @@ def exact_quantiles(
     for cut, name in zip(cuts, names):
         position = F.ceil(F.col(SIZE).cast("decimal(19,0)") * F.lit(Decimal(str(cut))))
         picks.append(F.min(F.when(F.col("n_upto") >= position, F.col(value))).alias(name))
-    return join_stored(spread, size, [day], salt_by=[value]).groupBy(day).agg(*picks)
+    return join_stored(spread, size, [day]).groupBy(day).agg(*picks)

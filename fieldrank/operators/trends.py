@@ -136,6 +136,6 @@ def _neighbours(
         edge = F.lit(edge + dt.timedelta(days=side * days))
         rest = cleaned.where(date < edge if side < 0 else date > edge)
         wanted = materialise(unseen.df.select(entity).distinct())
-        rest = join_stored(rest, wanted, [entity], "left_semi", salt_by=[day])
+        rest = join_stored(rest, wanted, [entity], "left_semi")
         found = found.unionByName(materialise(beside(rest, unseen.df, True)).df)
     return found.drop("_changed")

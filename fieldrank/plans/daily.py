@@ -168,7 +168,7 @@ def _with_earlier_files(rows: DataFrame, tables: Tables, chain: Chain) -> DataFr
     if earlier is None:
         return rows
     files = materialise(rows.select("file_path").distinct())
-    kept = join_stored(earlier, files, ["file_path"], "left_anti", salt_by=list(chain.rules.key))
+    kept = join_stored(earlier, files, ["file_path"], "left_anti")
     # The result replaces the dates that it is read from.
     return materialise(merged(kept, rows)).df
 

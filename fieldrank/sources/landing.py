@@ -176,7 +176,7 @@ def _newest_of_dates(envelopes: DataFrame) -> Stored:
 
 def _of_files(envelopes: DataFrame, files: Stored, how: str) -> DataFrame:
     on = ["snapshot_date", "file_path"]
-    return join_stored(envelopes, files, on, how, salt_by=["file_time"])
+    return join_stored(envelopes, files, on, how)
 
 
 def newest_files(envelopes: DataFrame) -> DataFrame:

@@ -118,7 +118,7 @@ def drift(states: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     earlier = by_key.rowsBetween(Window.unboundedPreceding, -1)
     kinds = F.when(F.size("kinds") > 0, F.col("kinds"))
     rows = join_stored(
-        states.where(F.col("key").isNotNull()).select(day, "key", "kinds"), calendar, [day], salt_by=["key"]
+        states.where(F.col("key").isNotNull()).select(day, "key", "kinds"), calendar, [day]
     ).withColumns({
         "_last": F.lag("_number").over(by_key),
         "_next": F.lead("_number").over(by_key),

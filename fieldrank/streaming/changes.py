@@ -158,9 +158,9 @@ def settled(changes: DataFrame, cleaned: DataFrame, roles: Roles = DEFAULT_ROLES
         F.max("late").alias("_late"), F.count_if("first").alias("_firsts")
     ).where("_late or _firsts > 1").select(entity)
     open_ones = materialise(unseen.union(unsure).distinct())
-    ready = join_stored(changes, open_ones, [entity], "left_anti", salt_by=[day])
+    ready = join_stored(changes, open_ones, [entity], "left_anti")
     names = [name for name in changes.columns if name not in ("first", "late", "batch")]
-    again = trends(join_stored(cleaned, open_ones, [entity], "left_semi", salt_by=[day]), roles)
+    again = trends(join_stored(cleaned, open_ones, [entity], "left_semi"), roles)
     return ready.select(*names).unionByName(again.select(*names))
 
 

@@ -92,16 +92,42 @@ def test_exact_quantiles_are_the_same_on_both_ways(snapshot_rows):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_broadcast_join(skewed, how, monkeypatch):
+def test_shuffled_join_equals_broadcast_join(skewed, how, monkeypatch):
     side = written.materialise(
         skewed.groupBy("grp").agg(F.count("*").alias("n")).where("grp != 'g8'")
     )
     near = as_set(written.join_stored(skewed, side, ["grp"], how))
     monkeypatch.setattr(written, "BROADCAST_ROWS", 0)
-    salted = written.join_stored(skewed, side, ["grp"], how)
-    plan = salted._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan
-    assert as_set(salted) == near
+    assert as_set(written.join_stored(skewed, side, ["grp"], how)) == near
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_shuffled_side_is_not_copied_and_hot_keys_are_split(spark, how, monkeypatch):
+    """One key holds nine tenths; the side goes into the shuffle once."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    monkeypatch.setattr(written, "BROADCAST_ROWS", 0)
+    key = F.when(F.col("id") % 10 == 0, F.col("id") % 100).otherwise(7)
+    rows = spark.range(0, 100_000, 1, 8).select(key.alias("key"), F.sha2(F.col("id").cast("string"), 256).alias("t"))
+    side = written.materialise(spark.range(100).select(F.col("id").alias("key"), (F.col("id") * 2).alias("n")))
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        joined = written.join_stored(rows, side, ["key"], how)
+        found = joined.collect()
+        execution = joined._jdf.queryExecution()
+        execution.executedPlan().executeCollect()
+        plan = execution.executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(found) == (0 if how == "left_anti" else 100_000)
+    assert "skew=true" in plan and "Generate" not in plan
 
 
 def test_wide_sides_are_not_broadcast(spark):
