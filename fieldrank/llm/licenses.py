@@ -1,16 +1,21 @@
 """Licence scans: MinHash bands of text windows retrieve templates, exact
 containment of word shingles verifies them.
 
-A template of m five-word shingles is looked for in windows of 1.25 m shingles
-that overlap so that any m shingles in a row lie inside one. A window that holds
-0.8 of the template has a Jaccard similarity of 0.8 / 1.45 = 0.55 with it at
-least; with 32 bands of two rows the two then share a band with a probability of
-``collision_probability(0.55)``, above 0.99998. What shares a band is verified
-exactly, so nothing is reported that is not there.
-
-Two sets can only share a minimum that is a shingle of both. So windows without
-any shingle of a template need no signature: positions that hold one are found
-first (by a hash that may show too many, never too few).
+Templates are put into classes by their number m of five-word shingles, each class
+up to 1.25 times as large as the one before. A class up to B shingles has windows of
+W = 1.25 B shingles that overlap so that any B in a row lie inside one. A window
+that holds 0.8 of a template has a Jaccard similarity of ``least_jaccard`` = 0.8 m /
+(W + 0.2 m) with it at least, which is above 0.45; with 48 bands of two rows the two
+share a band with a probability of ``collision_probability`` > 0.99998. Only what
+shares a band is looked at again, exactly, so nothing is reported that is not there.
+
+A window's signature is taken over its shingles that consist of words of templates.
+All shingles of templates do, so what the two share stays and what they don't shrinks:
+the similarity can only grow. Windows without such a shingle share nothing.
+
+A template that differs from one of another licence by few shingles (a version, a
+name) must hold half of these. Of finds that overlap by half of the shorter one, the
+one with the most shingles found less shingles missed stays.
 
 Templates are fixed texts, or the caller's; they travel with the plan and their
 size is checked. Each document is scanned by itself; nothing shuffles.
@@ -22,8 +27,12 @@ named columns are read; others may have any name.
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left, insort
 from collections import defaultdict
-from itertools import repeat
+from collections.abc import Iterable, Iterator
+from itertools import groupby, repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,14 +48,33 @@ from fieldrank.llm.license_texts import TEMPLATES
 SHINGLE = 5
 CONTAINED = 0.8
 WIDER = 1.25
-BANDS, ROWS = 32, 2
+BANDS, ROWS = 48, 2
+
+# Share of the shingles that tell a template from another one which a find must hold.
+TOLD = 0.5
 
 # Bytes of templates that travel with the plan.
 TEMPLATE_BYTES = 8 * 1024 * 1024
 
+# Windows signed at once.
+_AT_ONCE = 1 << 15
+
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
+class Find(NamedTuple):
+    license: str
+    start: int  # first word
+    end: int  # after the last word
+    containment: float
+    found: int  # shingles of the template that are there
+    missed: int
+
+    @property
+    def weight(self) -> tuple:
+        return (self.missed - self.found, -self.containment, self.start, self.end, self.license)
+
+
 def collision_probability(jaccard: float) -> float:
     return 1 - (1 - jaccard**ROWS) ** BANDS
 
@@ -58,21 +86,61 @@ def shingles(words: list[bytes]) -> list[bytes]:
     return [b" ".join(words[i:i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))]
 
 
+def size_class(size: int) -> int:
+    """The largest size of the class that a template of ``size`` shingles is in."""
+    top = 1
+    while top < size:
+        top = max(top + 1, int(top * WIDER))
+    return top
+
+
+def window(top: int) -> tuple[int, int]:
+    """Shingles in a window of a class, and from one window to the next."""
+    width = math.ceil(WIDER * top)
+    return width, width - top + 1
+
+
+def least_jaccard(size: int) -> float:
+    """Of a template and a window that holds enough of it."""
+    held = math.ceil(CONTAINED * size)
+    return held / (window(size_class(size))[0] + size - held)
+
+
+def _hashes(numbers: np.ndarray) -> np.ndarray:
+    """One number per five numbers in a row."""
+    out = np.zeros(max(0, len(numbers) - SHINGLE + 1), dtype=np.uint64)
+    for i in range(SHINGLE):
+        out = (out + numbers[i:i + len(out)].astype(np.uint64)) * _PRIME
+        out ^= out >> np.uint64(31)
+    return out
+
+
 class Signer:
-    """MinHash signatures: the least of mixed hashes, each mixed another way."""
+    """MinHash signatures of ranges: the least of mixed hashes, each mixed another way."""
 
     def __init__(self, seed: int = 7):
         draw = np.random.default_rng(seed)
-        self.times = draw.integers(1, 1 << 32, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
+        self.times = draw.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
         self.plus = draw.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
 
-    def bands(self, parts: list[bytes]) -> list[tuple[int, bytes]]:
-        hashes = np.array([xxhash.xxh64_intdigest(p) for p in parts], dtype=np.uint64)
-        mixed = hashes[None, :] * self.times[:, None] + self.plus[:, None]
-        mixed ^= mixed >> np.uint64(32)
-        mixed *= _PRIME
-        signature = (mixed ^ (mixed >> np.uint64(29))).min(axis=1).reshape(BANDS, ROWS)
-        return [(i, row.tobytes()) for i, row in enumerate(signature)]
+    def bands(self, hashes: np.ndarray, low: np.ndarray, high: np.ndarray) -> Iterator[np.ndarray]:
+        """Band by band a number for each range [low, high) of hashes; none is empty."""
+        levels = np.frexp((high - low).astype(np.float64))[1] - 1
+        depth = int(levels.max()) + 1
+        right = high - (1 << levels)
+        for band in range(BANDS):
+            out = np.zeros(len(low), dtype=np.uint64)
+            for row in range(band * ROWS, (band + 1) * ROWS):
+                mixed = hashes * self.times[row] + self.plus[row]
+                least = [((mixed ^ (mixed >> np.uint64(32))) * _PRIME) >> np.uint64(32)]
+                for level in range(1, depth):
+                    half, below = 1 << (level - 1), least[-1]
+                    above = below.copy()
+                    np.minimum(below[:-half], below[half:], out=above[:-half])
+                    least.append(above)
+                table = np.stack(least)
+                out = out << np.uint64(32) | np.minimum(table[levels, low], table[levels, right])
+            yield out
 
 
 class Templates:
@@ -81,97 +149,155 @@ class Templates:
         self.names: list[str] = []
         self.parts: list[frozenset[bytes]] = []
         self.vocabulary: dict[bytes, int] = {}
-        self.by_band: dict[tuple[int, bytes], set[int]] = defaultdict(set)
-        by_mark: dict[int, set[int]] = defaultdict(set)
+        numbers, tops = [], []
         for name, versions in texts.items():
             for text in versions:
                 words = words_of(text.encode())
                 if len(words) < SHINGLE:
                     raise ValueError(f"a template of {name} has less than {SHINGLE} words")
-                number, parts = len(self.names), shingles(words)
                 self.names.append(name)
-                self.parts.append(frozenset(parts))
-                for band in self.signer.bands(parts):
-                    self.by_band[band].add(number)
-                numbers = np.array(
+                self.parts.append(frozenset(shingles(words)))
+                tops.append(size_class(len(self.parts[-1])))
+                numbers.append(_hashes(np.array(
                     [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words]
-                )
-                for mark in _marks(numbers).tolist():
-                    by_mark[mark].add(number)
-        self.marks = np.array(sorted(by_mark), dtype=np.uint64)
-        self.owners = [sorted(by_mark[mark]) for mark in self.marks.tolist()]
-
-    def places(self, words: list[bytes]) -> dict[int, list[int]]:
-        """Per template the positions that may hold one of its shingles."""
-        out: dict[int, list[int]] = defaultdict(list)
-        if len(words) < SHINGLE or not len(self.marks):
-            return out
+                )))
+        self.tops = np.array(tops, dtype=np.int64)
+        self.classes = np.unique(self.tops).tolist()
+        ends = np.cumsum([len(n) for n in numbers], dtype=np.int64)
+        # Per band the numbers of the templates, sorted, and whose they are.
+        self.by_band = []
+        if numbers:
+            starts = np.concatenate(([0], ends[:-1]))
+            for values in self.signer.bands(np.concatenate(numbers), starts, ends):
+                order = np.argsort(values, kind="stable")
+                self.by_band.append((values[order], order))
+        self.telling = [self._telling(i) for i in range(len(self.names))]
+
+    def _telling(self, number: int) -> list[frozenset[bytes]]:
+        """Few shingles each that a template of another licence lacks.
+
+        Where it lacks more than 0.4 of them, a find holds half of those anyway.
+        """
+        parts = self.parts[number]
+        bound = len(parts) * (1 - CONTAINED) / TOLD
+        told = {
+            parts - other for name, other in zip(self.names, self.parts)
+            if name != self.names[number]
+        }
+        return [few for few in told if 0 < len(few) <= bound]
+
+    def candidates(self, words: list[bytes], starts: np.ndarray) -> list[tuple[int, int, int]]:
+        """(first word, end word, template) of windows that share a band.
+
+        ``words`` are those of several documents, which begin at ``starts``; the
+        last of them is the number of words.
+        """
+        if len(words) < SHINGLE or not self.by_band:
+            return []
         numbers = np.fromiter(
             map(self.vocabulary.get, words, repeat(0)), dtype=np.int64, count=len(words)
         )
-        known = np.concatenate(([0], np.cumsum(numbers > 0)))
-        at = np.flatnonzero(known[SHINGLE:] - known[:-SHINGLE] == SHINGLE)
+        unknown = np.concatenate(([0], np.cumsum(numbers == 0)))
+        at = np.flatnonzero(unknown[SHINGLE:] == unknown[:-SHINGLE])
+        doc = np.searchsorted(starts, at, side="right") - 1
+        inside = at + SHINGLE <= starts[doc + 1]
+        at, doc = at[inside], doc[inside]
         if len(at) == 0:
-            return out
-        marks = _marks(numbers)[at]
-        spot = np.minimum(np.searchsorted(self.marks, marks), len(self.marks) - 1)
-        hit = self.marks[spot] == marks
-        for position, owner in zip(at[hit].tolist(), spot[hit].tolist()):
-            for number in self.owners[owner]:
-                out[number].append(position)
-        return out
-
-
-def _marks(numbers: np.ndarray) -> np.ndarray:
-    n = len(numbers) - SHINGLE + 1
-    out = np.zeros(n, dtype=np.uint64)
-    for i in range(SHINGLE):
-        out = out * _PRIME + numbers[i:i + n].astype(np.uint64)
-    return out
+            return []
+        hashes = _hashes(numbers)[at]
+        first, last, tops = (np.concatenate(p) for p in zip(
+            *[_windows(at, doc, starts, top) for top in self.classes]
+        ))
+        low, high = np.searchsorted(at, first), np.searchsorted(at, last)
+        found, order = set(), np.argsort(low, kind="stable")
+        for begin in range(0, len(order), _AT_ONCE):
+            some = order[begin:begin + _AT_ONCE]
+            base, end = int(low[some[0]]), int(high[some].max())
+            signed = self.signer.bands(hashes[base:end], low[some] - base, high[some] - base)
+            for values, (known, owner) in zip(signed, self.by_band):
+                left = np.searchsorted(known, values)
+                right = np.searchsorted(known, values, side="right")
+                for hit in np.flatnonzero(right > left).tolist():
+                    spot = some[hit]
+                    for number in owner[left[hit]:right[hit]].tolist():
+                        if self.tops[number] == tops[spot]:
+                            found.add((int(first[spot]), int(last[spot]) + SHINGLE - 1, number))
+        return sorted(found)
+
+    def verified(self, inside: list[bytes], start: int, number: int) -> Find | None:
+        """The find of a template in a window that begins at a word, if it holds enough."""
+        parts = self.parts[number]
+        places = [i for i, part in enumerate(inside) if part in parts]
+        held = {inside[i] for i in places}
+        if len(held) < CONTAINED * len(parts):
+            return None
+        if any(len(few & held) < TOLD * len(few) for few in self.telling[number]):
+            return None
+        return Find(
+            self.names[number], start + places[0], start + places[-1] + SHINGLE,
+            len(held) / len(parts), len(held), len(parts) - len(held),
+        )
 
 
-def windows(size: int, total: int, positions: list[int]) -> list[int]:
-    """Starts of the windows for a template of ``size`` shingles that cover a position."""
-    width = int(np.ceil(WIDER * size))
-    stride = width - size + 1
-    starts = set()
-    last = max(0, -(-(total - width) // stride))
-    for position in positions:
-        low = max(0, -(-(position - width + 1) // stride))
-        starts.update(range(low, min(position // stride, last) + 1))
-    return [start * stride for start in sorted(starts)]
-
-
-def scan(words: list[bytes], templates: Templates) -> list[tuple[str, int, int, float]]:
-    """(licence, first word, end word, containment); overlapping windows are one find."""
-    found: dict[str, list[tuple[int, int, float]]] = defaultdict(list)
-    total = len(words) - SHINGLE + 1
-    signed: dict[tuple[int, int], set[int]] = {}
-    for number, positions in templates.places(words).items():
-        parts = templates.parts[number]
-        width = int(np.ceil(WIDER * len(parts)))
-        for start in windows(len(parts), total, positions):
-            end = min(start + width, total) + SHINGLE - 1
-            inside = shingles(words[start:end])
-            if (start, end) not in signed:
-                signed[start, end] = set().union(
-                    *(templates.by_band.get(band, ()) for band in templates.signer.bands(inside))
-                )
-            if number in signed[start, end]:
-                share = len(parts.intersection(inside)) / len(parts)
-                if share >= CONTAINED:
-                    found[templates.names[number]].append((start, end, share))
+def _windows(at: np.ndarray, doc: np.ndarray, starts: np.ndarray, top: int):
+    """First and end shingle of the windows of a class that hold a position, and the class."""
+    width, stride = window(top)
+    begin, total = starts[doc], starts[doc + 1] - starts[doc] - SHINGLE + 1
+    last = np.maximum(0, -((width - total) // stride))
+    near = np.minimum((at - begin) // stride, last)
     out = []
-    for name in sorted(found):
-        spans: list[list] = []
-        for start, end, share in sorted(found[name]):
-            if spans and start < spans[-1][1]:
-                spans[-1][1] = max(spans[-1][1], end)
-                spans[-1][2] = max(spans[-1][2], share)
-            else:
-                spans.append([start, end, share])
-        out += [(name, *span) for span in spans]
-    return out
+    for back in range(-(-width // stride)):
+        step = near - back
+        holds = (step >= 0) & (begin + step * stride + width > at)
+        out.append((begin + step * stride)[holds])
+    first = np.unique(np.concatenate(out))
+    owner = np.searchsorted(starts, first, side="right") - 1
+    end = np.minimum(first + width, starts[owner + 1] - SHINGLE + 1)
+    return first, end, np.full(len(first), top)
+
+
+def strongest(finds: Iterable[Find]) -> list[Find]:
+    """The finds that no stronger one overlaps by half of the shorter of the two.
+
+    Those that stay overlap each other by less, so few of them reach into any find:
+    they are kept by their starts, in layers of lengths that differ by two at most.
+    """
+    layers: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    kept = []
+    for find in sorted(set(finds), key=lambda f: f.weight):
+        size = find.end - find.start
+        if any(_overlapped(find, layer, 1 << bits) for bits, layer in layers.items()):
+            continue
+        insort(layers[size.bit_length()], (find.start, find.end))
+        kept.append(find)
+    return sorted(kept, key=lambda f: (f.start, f.end, f.license))
+
+
+def _overlapped(find: Find, layer: list[tuple[int, int]], longest: int) -> bool:
+    """Whether one of the spans, all shorter than ``longest``, overlaps a find by half."""
+    spot = bisect_left(layer, (find.start - longest, 0))
+    while spot < len(layer) and layer[spot][0] < find.end:
+        start, end = layer[spot]
+        shared = min(end, find.end) - max(start, find.start)
+        if 2 * shared >= min(end - start, find.end - find.start):
+            return True
+        spot += 1
+    return False
+
+
+def scan(documents: list[list[bytes]], templates: Templates) -> list[list[Find]]:
+    """The finds in each of some documents, given as words."""
+    starts = np.concatenate(([0], np.cumsum([len(d) for d in documents], dtype=np.int64)))
+    words = [word for document in documents for word in document]
+    finds: list[list[Find]] = [[] for _ in documents]
+    for (start, end), group in groupby(templates.candidates(words, starts), key=lambda c: c[:2]):
+        doc = int(np.searchsorted(starts, start, side="right")) - 1
+        inside = shingles(words[start:end])
+        for _, _, number in group:
+            find = templates.verified(inside, start - int(starts[doc]), number)
+            if find is not None:
+                finds[doc].append(find)
+    return [strongest(found) for found in finds]
 
 
 _FIND = T.StructType([
@@ -190,14 +316,12 @@ def scanned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         built = Templates(templates)
 
         def function(texts):
-            rows, counts = [], []
-            for text in texts:
-                words = words_of(text)
-                counts.append(len(words))
-                rows.append([
-                    dict(zip(("license", "start", "end", "containment"), find))
-                    for find in scan(words, built)
-                ])
+            documents = [words_of(text) for text in texts]
+            counts = [len(words) for words in documents]
+            rows = [
+                [dict(zip(("license", "start", "end", "containment"), find)) for find in finds]
+                for finds in scan(documents, built)
+            ]
             kind = pa.struct([("license", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
                               ("containment", pa.float64())])
             return [pa.array(counts, pa.int64()), pa.array(rows, pa.list_(kind))]
