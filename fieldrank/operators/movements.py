@@ -27,9 +27,13 @@ def rank_movement(board: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     )
 
 
-def entered_dropped(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
+def entered_dropped(
+    df: DataFrame, roles: Roles = DEFAULT_ROLES, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Entities that appear or are gone compared with the snapshot before.
 
+    ``keep`` are further columns to return, of the first row or of the last one.
+
     Neighbouring snapshots come from the list of distinct dates; an entity's
     own neighbours come from one window by entity, so no row pairs are built.
     """
@@ -44,7 +48,7 @@ def entered_dropped(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
     )
     by_entity = Window.partitionBy(roles.entity_id).orderBy(day)
     rows = join_stored(
-        df.select(roles.entity_id, day), dates, [day]
+        df.select(roles.entity_id, day, *keep), dates, [day]
     ).withColumns({
         "_last": F.lag(day).over(by_entity),
         "_next": F.lead(day).over(by_entity),
@@ -58,10 +62,10 @@ def entered_dropped(df: DataFrame, roles: Roles = DEFAULT_ROLES) -> DataFrame:
         F.struct(F.col("_after").alias("day"), F.lit("dropped").alias("change")),
     )
     changes = rows.select(
-        roles.entity_id, F.explode(F.array_compact(F.array(entered, dropped))).alias("_c")
+        roles.entity_id, *keep, F.explode(F.array_compact(F.array(entered, dropped))).alias("_c")
     )
     return changes.select(
-        F.col("_c.day").alias(day), roles.entity_id, F.col("_c.change").alias("change")
+        F.col("_c.day").alias(day), roles.entity_id, F.col("_c.change").alias("change"), *keep
     )
 
 

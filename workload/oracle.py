@@ -710,3 +710,53 @@ ORACLE["measured_landing"] = _with([SNAP], """
 SELECT snapshot_date, count(quality) AS n_index, sum(quality) AS index_total, CAST(0 AS BIGINT) AS n_absent
 FROM snap GROUP BY 1""")
 ORACLE["placed_trends"] = _with([SNAP], _trends("snap"))
+
+
+def _renames(rows: str) -> str:
+    """Links in the order of edits, each taken unless one of its entities is."""
+    return f"""
+WITH RECURSIVE {SNAP.strip()}, named AS ({rows}), dates AS (
+  SELECT snapshot_date AS d, lag(snapshot_date) OVER (ORDER BY snapshot_date) AS before,
+         lead(snapshot_date) OVER (ORDER BY snapshot_date) AS after
+  FROM (SELECT DISTINCT snapshot_date FROM named)
+), entered AS (
+  SELECT n.snapshot_date AS day, n.entity_id AS id, n.entity_name AS name FROM named n JOIN dates ON d = n.snapshot_date
+  WHERE before IS NOT NULL AND NOT EXISTS (
+    SELECT 1 FROM named p WHERE p.entity_id = n.entity_id AND p.snapshot_date = before)
+), dropped AS (
+  SELECT after AS day, n.entity_id AS id, n.entity_name AS name FROM named n JOIN dates ON d = n.snapshot_date
+  WHERE after IS NOT NULL AND NOT EXISTS (
+    SELECT 1 FROM named p WHERE p.entity_id = n.entity_id AND p.snapshot_date = after)
+), edges AS (
+  SELECT day, b.id AS id_before, n.id AS id_now, b.name AS name_before, n.name AS name_now,
+         levenshtein(lower(b.name), lower(n.name)) AS edits
+  FROM dropped b JOIN entered n USING (day) WHERE levenshtein(lower(b.name), lower(n.name)) <= 2
+), ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY day ORDER BY edits, md5(lower(name_before) || ':' || lower(name_now)),
+                               lower(name_before), lower(name_now)) AS r
+  FROM edges
+), greedy AS (
+  SELECT day, 0::BIGINT AS r, false AS ok, []::VARCHAR[] AS gone, []::VARCHAR[] AS come
+  FROM (SELECT DISTINCT day FROM edges)
+  UNION ALL
+  SELECT day, r, ok, CASE WHEN ok THEN list_append(gone, id_before) ELSE gone END,
+         CASE WHEN ok THEN list_append(come, id_now) ELSE come END
+  FROM (
+    SELECT o.*, gone, come, NOT list_contains(gone, id_before) AND NOT list_contains(come, id_now) AS ok
+    FROM greedy g JOIN ordered o ON o.day = g.day AND o.r = g.r + 1
+  )
+)
+SELECT day AS snapshot_date, id_before, id_now, name_before, name_now, edits::INTEGER AS edits
+FROM greedy JOIN ordered USING (day, r) WHERE ok"""
+
+
+ORACLE["near_named_suppliers"] = _renames("SELECT snapshot_date, entity_id, entity_name FROM snap")
+ORACLE["renamed_suppliers"] = _renames("""
+  SELECT snapshot_date, CASE WHEN other THEN 'r' || entity_id ELSE entity_id END AS entity_id,
+         CASE WHEN NOT other THEN name WHEN k % 4 = 0 THEN substr(name, 2, 9) WHEN k % 4 = 1 THEN name || 'xy'
+         WHEN k % 4 = 2 THEN substr(name, 1, 4) || '-' || substr(name, 6, 5) ELSE upper(name) END AS entity_name
+  FROM (
+    SELECT snapshot_date, entity_id, entity_id::INTEGER AS k, substr(md5(entity_name), 1, 10) AS name,
+           entity_id::INTEGER % 7 = 3
+           AND snapshot_date >= DATE '1994-01-01' + to_months(entity_id::INTEGER % 48) AS other
+    FROM snap)""")

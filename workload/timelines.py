@@ -11,6 +11,7 @@ from fieldrank.materialise import materialise, scratch_folder
 from fieldrank.operators.asof import asof_join
 from fieldrank.operators.calendar import calendar_windows, windows_after
 from fieldrank.operators.correlation import rank_correlation
+from fieldrank.operators.renames import renamed_entities
 from fieldrank.operators.skyline import skyline
 from fieldrank.operators.spells import spells, spells_after
 from fieldrank.operators.statistics import with_mean_price
@@ -265,6 +266,34 @@ def placed_trends(spark, sf_dir):
     return trends(placed.read_placed(spark, table))
 
 
+def _with_new_ids(rows):
+    """A seventh of the suppliers get another id at a month of their own, and most of
+    them a name with up to two edits."""
+    supplier, name = F.col("entity_id").cast("int"), F.substring(F.md5("entity_name"), 1, 10)
+    since = F.add_months(F.lit(dt.date(1994, 1, 1)), supplier % 48)
+    other = (supplier % 7 == 3) & (F.col(R.snapshot_date) >= since)
+    edited = (
+        F.when(supplier % 4 == 0, F.substring(name, 2, 9))
+        .when(supplier % 4 == 1, F.concat(name, F.lit("xy")))
+        .when(supplier % 4 == 2, F.concat(F.substring(name, 1, 4), F.lit("-"), F.substring(name, 6, 5)))
+        .otherwise(F.upper(name))
+    )
+    return rows.withColumns({
+        "entity_id": F.when(other, F.concat(F.lit("r"), "entity_id")).otherwise(F.col("entity_id")),
+        "entity_name": F.when(other, edited).otherwise(name),
+    })
+
+
+def renamed_suppliers(spark, sf_dir):
+    """Suppliers that go on under another id."""
+    return renamed_entities(_with_new_ids(fx.snapshots(spark, sf_dir)))
+
+
+def near_named_suppliers(spark, sf_dir):
+    """Names that differ in a few digits: most dropped ones have many near ones."""
+    return renamed_entities(fx.snapshots(spark, sf_dir), part_names=4)
+
+
 _streams: dict[tuple[str, str], str] = {}
 
 
@@ -292,6 +321,6 @@ QUERIES = {
         correction_history, known_at_load, price_skyline, order_skyline, state_trends,
         presence_spells, spells_incremental, rank_agreement, tied_agreement, event_windows,
         windows_incremental, measured_keys, measured_drift, measured_landing,
-        placed_trends,
+        placed_trends, renamed_suppliers, near_named_suppliers,
     )
 }
