@@ -5,14 +5,16 @@
 2. A source's target is met by whole passes over its blocks and a part of one
    more pass, which ends at the document nearest to the target.
 3. The blocks of all passes are dealt to the output shards by a splitting tree:
-   each node draws, without replacement, how many blocks of each source go to
-   its left half (a multivariate hypergeometric draw, made by ordering one
-   ticket per block by hash); the leaves hold exact quotas.
+   each node draws from its counts per source how many blocks of each go to its
+   left half (a multivariate hypergeometric draw: source by source, by inversion
+   of the exact probabilities from the mode outwards); the leaves hold exact quotas.
 4. Each shard takes its quota of consecutive blocks of the source's permuted
    list, so shards are disjoint, and shuffles its documents locally.
 
 All on built-in functions. Only sums per source, per block and per ticket leave
-the map side; the number of blocks is about ``BLOCKS`` at any size of input.
+the map side. There are about ``BLOCKS`` blocks, or ``SHARD_BLOCKS`` for each shard
+where that is more, so no shard stays empty; a node of the tree is one row with the
+counts of its sources, and the rows are spread over tasks as they multiply.
 
 Nulls: a null text has no words, a null id counts as the empty id, a null source
 is a source of its own and comes last. Rows equal in id and text share their
@@ -22,7 +24,7 @@ verdict. Documents without words are never taken. An empty table gives no rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -32,9 +34,14 @@ from pyspark.sql.window import Window as W
 from fieldrank.llm.common import WORD, join_measured, picked, unpacked, whole
 from fieldrank.materialise import Stored, materialise
 
-# About so many blocks over all sources, and so many documents in a block at least.
+# About so many blocks over all sources, and so many documents in a block at least,
+# unless the shards need more blocks than that makes.
 BLOCKS = 65_536
 BLOCK_DOCS = 256
+SHARD_BLOCKS = 16
+
+# Above so many shards, a task sorts and writes several of them, one after the other.
+SHARD_TASKS = 65_536
 
 # Words in an output shard of documents.
 SHARD_WORDS = 4_000_000
@@ -44,6 +51,7 @@ SHARE = 1.5
 CAP = 2.0
 
 _PREFIX = 16**8
+_DRAW_DIGITS = 13
 
 
 @dataclass(frozen=True)
@@ -109,22 +117,133 @@ def with_targets(sources: DataFrame, weights: Sequence[float], share: float, cap
     ).drop("_weight", "_cap", "_level", "_all", "_left", "_open", "_fill")
 
 
-def _deal(tickets: DataFrame, shards: int, seed: int) -> DataFrame:
-    """The leaf of each ticket (``_key``, ``_ticket``) in the splitting tree."""
-    node = tickets.withColumns({"_low": F.lit(0), "_high": F.lit(shards)})
-    for level in range((shards - 1).bit_length()):
-        draw = F.md5(F.concat_ws(":", F.lit(seed), F.lit("draw"), F.lit(level), "_key", "_ticket"))
-        middle = F.floor((F.col("_low") + F.col("_high")) / 2).cast("int")
-        spot = F.row_number().over(W.partitionBy("_low", "_high").orderBy(draw, "_key", "_ticket"))
-        size = F.count(F.lit(1)).over(W.partitionBy("_low", "_high"))
-        held = F.floor(size * (middle - F.col("_low")) / (F.col("_high") - F.col("_low")))
-        node = (
-            node.withColumns({"_middle": middle, "_left": (spot <= held)})
-            .withColumn("_low", F.when(F.col("_left"), F.col("_low")).otherwise(F.col("_middle")))
-            .withColumn("_high", F.when(F.col("_left"), F.col("_middle")).otherwise(F.col("_high")))
-            .drop("_middle", "_left")
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def hypergeometric(total: Column, marked: Column, drawn: Column, at: Column) -> Column:
+    """How many of ``drawn`` among ``total`` are marked, where ``at`` in [0, 1) chooses.
+
+    Weights are relative to that of the mode, each from its neighbour's by their exact
+    ratio. ``at`` runs over the mode, then over what is above it, then below.
+    """
+    low = F.greatest(F.lit(0).cast("long"), drawn - (total - marked))
+    high = F.least(marked, drawn)
+    mode = F.floor((drawn + 1) * (marked + 1) / (total + 2))
+    given = F.struct(
+        (total - marked - drawn).cast("double").alias("others"),
+        marked.cast("double").alias("marked"), drawn.cast("double").alias("drawn"),
+        low.alias("low"), high.alias("high"), at.alias("at"),
+        F.greatest(low, F.least(high, mode)).cast("long").alias("mode"),
+    )
+    nothing = F.array().cast("array<bigint>")
+
+    def walk(v: Column, up: bool, limit: Column) -> Column:
+        """The sum of weights on a side of the mode, and how often it was within a limit."""
+        if up:
+            steps = F.when(v["high"] > v["mode"], F.sequence(v["mode"], v["high"] - 1))
+        else:
+            steps = F.when(v["low"] < v["mode"], F.sequence(v["mode"], v["low"] + 1, F.lit(-1).cast("long")))
+
+        def step(state: Column, place: Column) -> Column:
+            k = place.cast("double")
+            ratio = (
+                (v["marked"] - k) * (v["drawn"] - k) / ((k + 1) * (v["others"] + k + 1)) if up
+                else k * (v["others"] + k) / ((v["marked"] - k + 1) * (v["drawn"] - k + 1))
+            )
+            return _with(state["weight"] * ratio, lambda weight: F.struct(
+                weight.alias("weight"), (state["sum"] + weight).alias("sum"),
+                (state["within"] + (state["sum"] + weight <= limit).cast("long")).alias("within"),
+            ))
+
+        start = F.struct(
+            F.lit(1.0).alias("weight"), F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("within")
+        )
+        return F.aggregate(F.coalesce(steps, nothing), start, step)
+
+    def chosen(v: Column) -> Column:
+        sums = F.struct(
+            walk(v, True, F.lit(0.0))["sum"].alias("up"), walk(v, False, F.lit(0.0))["sum"].alias("down")
         )
-    return node
+
+        def beyond_mode(rest: Column, up: Column) -> Column:
+            above = v["mode"] + 1 + walk(v, True, rest)["within"]
+            below = _with(rest - up, lambda r: v["mode"] - 1 - walk(v, False, r)["within"])
+            return F.when(rest < up, above).otherwise(F.greatest(v["low"], below))
+
+        return _with(sums, lambda w: _with(
+            v["at"] * (1 + w["up"] + w["down"]) - 1,
+            lambda rest: F.when(rest < 0, v["mode"]).otherwise(beyond_mode(rest, w["up"])),
+        ))
+
+    return _with(given, chosen)
+
+
+def _halves(node: DataFrame, seed: int) -> DataFrame:
+    """Split nodes (``_low``, ``_high``, ``_have``: blocks by source) in two, nearly equal
+    for each shard."""
+    zero = F.lit(0).cast("long")
+    middle = F.floor((F.col("_low") + F.col("_high")) / 2).cast("int")
+    size = F.aggregate("_have", zero, lambda n, x: n + x["_n"])
+    held = F.floor(
+        F.col("_size") * (F.col("_middle") - F.col("_low")) / (F.col("_high") - F.col("_low"))
+    )
+
+    def at(key: Column) -> Column:
+        drawn = F.md5(F.concat_ws(":", F.lit(seed), F.lit("draw"), F.col("_low"), F.col("_high"), key))
+        digits = F.conv(F.substring(drawn, 1, _DRAW_DIGITS), 16, 10).cast("double")
+        return digits / F.lit(16.0**_DRAW_DIGITS)
+
+    def draw(state: Column, source: Column) -> Column:
+        got = hypergeometric(state["total"], source["_n"], state["drawn"], at(source["_key"]))
+        return _with(got, lambda n: F.struct(
+            (state["total"] - source["_n"]).alias("total"), (state["drawn"] - n).alias("drawn"),
+            F.concat(state["out"], F.array(n)).alias("out"),
+        ))
+
+    start = F.struct(
+        F.col("_size").alias("total"), F.col("_held").alias("drawn"),
+        F.array().cast("array<bigint>").alias("out"),
+    )
+    drawn = node.withColumns({"_middle": middle, "_size": size}).withColumn("_held", held).withColumn(
+        "_left", F.aggregate("_have", start, draw, lambda s: s["out"])
+    )
+
+    def half(low: str, high: str, count: Callable[[Column, Column], Column]) -> Column:
+        counts = F.zip_with(
+            "_have", "_left",
+            lambda x, n: F.struct(x["_key"].alias("_key"), count(x["_n"], n).alias("_n")),
+        )
+        return F.struct(
+            F.col(low).alias("_low"), F.col(high).alias("_high"),
+            F.filter(counts, lambda x: x["_n"] > 0).alias("_have"),
+        )
+
+    both = F.array(
+        half("_low", "_middle", lambda n, left: left),
+        half("_middle", "_high", lambda n, left: n - left),
+    )
+    return drawn.select(F.explode(both).alias("_half")).select("_half.*").where("_low < _high")
+
+
+# Levels of the tree that one task goes down before the nodes are spread again.
+_LEVELS = 6
+
+
+def _quotas(counts: DataFrame, shards: int, seed: int) -> DataFrame:
+    """Blocks of each source (``_key``, ``_n``) for each shard (``_low``)."""
+    have = F.array_sort(F.collect_list(F.struct("_key", F.col("_n").cast("long").alias("_n"))))
+    node = counts.agg(have.alias("_have")).select(
+        F.lit(0).alias("_low"), F.lit(shards).alias("_high"), "_have"
+    )
+    for level in range((shards - 1).bit_length()):
+        if level and level % _LEVELS == 0:
+            node = node.repartition("_low", "_high")
+        node = _halves(node, seed)
+    return node.select("_low", F.explode("_have").alias("_source")).select(
+        F.col("_source._key").alias("_key"), "_low", F.col("_source._n").alias("_quota")
+    )
 
 
 def plan_mix(
@@ -137,7 +256,9 @@ def plan_mix(
 ) -> Mix:
     """Plan the mix of rows (``_key``, ``source``, ``size``, ``_place``)."""
     total = placed.agg(F.count(F.lit(1))).first()[0]
-    block_docs = max(BLOCK_DOCS, -(-total // BLOCKS))
+    block_docs = min(
+        max(BLOCK_DOCS, -(-total // BLOCKS)), max(1, -(-total // (SHARD_BLOCKS * shards)))
+    )
     sums = placed.groupBy("_key", "source").agg(
         F.sum("size").alias("source_size"),
         F.ceil(F.count(F.lit(1)) / block_docs).cast("long").alias("_blocks"),
@@ -192,8 +313,8 @@ def plan_mix(
     ).select("_key", "_block", "_pass", "_ticket")
     units = materialise(units).df
 
-    leaves = _deal(units.select("_key", "_ticket"), shards, seed)
-    quotas = leaves.groupBy("_key", "_low").agg(F.count(F.lit(1)).alias("_quota"))
+    counts = units.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+    quotas = materialise(_quotas(counts, shards, seed)).df
     upto = W.partitionBy("_key").orderBy("_low")
     spans = quotas.withColumn("_to", F.sum("_quota").over(upto)).select(
         "_key", "_low", F.explode(F.sequence(F.col("_to") - F.col("_quota") + 1, "_to")).alias("_ticket")
@@ -269,8 +390,9 @@ def mixed_documents(
     """The documents of the mix, a row for each time one is taken, shard by shard.
 
     There are as many shards as the mix has times ``shard_words`` words. Partition
-    i holds output shard i in a random order. Columns are those of ``docs``. A
-    document without words is in no shard.
+    i holds output shard i in a random order; above ``SHARD_TASKS`` shards it holds
+    the same number of consecutive ones, one after the other. Columns are those of
+    ``docs``. A document without words is in no shard.
     """
     packed = whole(docs)
     get = F.col("doc").getField
@@ -282,9 +404,10 @@ def mixed_documents(
     shards = max(1, math.ceil(mixed_words / shard_words))
     mixed = with_shards(rows, plan_mix(narrow.df, shards, seed=seed, **terms)).where("size > 0")
     order = F.md5(F.concat_ws(":", F.lit(seed), F.lit("local"), "_place", "_spot"))
+    together = -(-shards // SHARD_TASKS)
     out = (
         mixed.select("doc", "_place", F.posexplode("shards").alias("_spot", "_shard"))
-        .repartitionById(shards, F.col("_shard"))
-        .sortWithinPartitions(order)
+        .repartitionById(-(-shards // together), F.floor(F.col("_shard") / together).cast("int"))
+        .sortWithinPartitions("_shard", order)
     )
     return unpacked(out)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fieldrank.llm.mixing import BLOCK_DOCS, BLOCKS
+from fieldrank.llm.mixing import BLOCK_DOCS, BLOCKS, SHARD_BLOCKS
 
 # The classes of characters of the contracts.
 _ITEM_WORDS = (
@@ -90,27 +90,61 @@ FROM sums JOIN scored USING (r)
 """
 
 # The splitting tree over eight output shards has three levels.
+def _walk(up: bool, limit: str) -> str:
+    """Weights on a side of the mode, each from its neighbour's: their sum, and how many
+    sums are within a limit."""
+    if up:
+        steps = "range(m, high_k)"
+        ratio = "(n::DOUBLE - k) * (take::DOUBLE - k) / ((k + 1) * (others + k + 1))"
+    else:
+        steps = "range(m, low_k, -1)"
+        ratio = "k * (others + k) / ((n::DOUBLE - k + 1) * (take::DOUBLE - k + 1))"
+    return f"""list_reduce(
+      list_transform(list_transform({steps}, lambda j: j::DOUBLE), lambda k: {{'w': {ratio}, 's': 0.0::DOUBLE, 'p': 0::BIGINT}}),
+      lambda a, e: {{'w': a.w * e.w, 's': a.s + a.w * e.w, 'p': a.p + (a.s + a.w * e.w <= {limit})::BIGINT}},
+      {{'w': 1.0::DOUBLE, 's': 0.0::DOUBLE, 'p': 0::BIGINT}})"""
+
+
+# One level of the splitting tree: draws source by source, then the two halves.
 _MIX_LEVELS = "".join(f"""
-, spot{i} AS (
-  SELECT *, (low + high) // 2 AS middle, count(*) OVER n AS size,
-         row_number() OVER (n ORDER BY md5('0:draw:{i}:' || key || ':' || ticket), key, ticket) AS spot
-  FROM node{i} WINDOW n AS (PARTITION BY low, high)
+, listed{i} AS (
+  SELECT *, (low + high) // 2 AS middle, sum(n) OVER (PARTITION BY low, high)::BIGINT AS size,
+         row_number() OVER (PARTITION BY low, high ORDER BY key) AS i
+  FROM node{i}
+), drawn{i} AS (
+  SELECT DISTINCT low, high, 0::BIGINT AS i, size AS total, (size * (middle - low) // (high - low))::BIGINT AS take,
+         0::BIGINT AS x FROM listed{i}
+  UNION ALL
+  SELECT low, high, i, total - n, take - x, x FROM (
+    SELECT *, CASE WHEN rest < 0 THEN m WHEN rest < up THEN m + 1 + {_walk(True, "rest")}.p
+                   ELSE greatest(low_k, m - 1 - {_walk(False, "(rest - up)")}.p) END AS x
+    FROM (
+      SELECT *, chance * (1 + up + down) - 1 AS rest FROM (
+        SELECT *, {_walk(True, "0.0")}.s AS up, {_walk(False, "0.0")}.s AS down FROM (
+          SELECT *, greatest(low_k, least(high_k, (take + 1) * (n + 1) // (total + 2)))::BIGINT AS m FROM (
+            SELECT d.low, d.high, l.i, d.total, d.take, l.n, (d.total - l.n - d.take)::DOUBLE AS others,
+                   greatest(0, d.take - (d.total - l.n))::BIGINT AS low_k, least(l.n, d.take)::BIGINT AS high_k,
+                   ('0x' || substr(md5('0:draw:' || d.low || ':' || d.high || ':' || l.key), 1, 13))::BIGINT
+                   / 4503599627370496.0::DOUBLE AS chance
+            FROM drawn{i} d JOIN listed{i} l ON l.low = d.low AND l.high = d.high AND l.i = d.i + 1
+  )))))
 ), node{i + 1} AS (
-  SELECT key, ticket,
-         CASE WHEN spot <= size * (middle - low) // (high - low) THEN low ELSE middle END AS low,
-         CASE WHEN spot <= size * (middle - low) // (high - low) THEN middle ELSE high END AS high
-  FROM spot{i}
+  SELECT key, low, middle AS high, x AS n FROM listed{i} JOIN drawn{i} USING (low, high, i) WHERE x > 0
+  UNION ALL
+  SELECT key, middle, high, n - x FROM listed{i} JOIN drawn{i} USING (low, high, i) WHERE n > x
 )""" for i in range(3))
 
 OP9 = rf"""
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT doc_id, source, coalesce('s' || source, 'n') AS key,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
          md5('0:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS place
   FROM documents
 ), s AS (
   SELECT key, source, sum(size)::BIGINT AS source_size,
-         ceil(count(*) / greatest({BLOCK_DOCS}, ceil((SELECT count(*) FROM d) / {BLOCKS}.0)))::BIGINT AS n_blocks,
+         ceil(count(*) / least(
+           greatest({BLOCK_DOCS}, ceil((SELECT count(*) FROM d) / {BLOCKS}.0)),
+           greatest(1, ceil((SELECT count(*) FROM d) / {SHARD_BLOCKS * 8}.0))))::BIGINT AS n_blocks,
          [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INTEGER]::DOUBLE AS weight
   FROM d GROUP BY key, source
 ), levels AS (
@@ -149,10 +183,11 @@ WITH d AS (
   SELECT *, row_number() OVER (PARTITION BY key
               ORDER BY md5('0:block:' || key || ':' || block || ':' || pass), block, pass) AS ticket
   FROM units
-), node0 AS (SELECT key, ticket, 0 AS low, 8 AS high FROM tickets)
+), node0 AS (SELECT key, 0 AS low, 8 AS high, count(*) AS n FROM tickets GROUP BY key)
 {_MIX_LEVELS}
 , leaves AS (
-  SELECT key, low AS shard, row_number() OVER (PARTITION BY key ORDER BY low) AS ticket FROM node3
+  SELECT key, shard, row_number() OVER (PARTITION BY key ORDER BY shard) AS ticket
+  FROM (SELECT key, low AS shard, unnest(range(n)) FROM node3)
 ), dealt AS (
   SELECT key, block, list(shard ORDER BY pass) AS shards
   FROM tickets JOIN leaves USING (key, ticket) GROUP BY key, block

@@ -65,17 +65,79 @@ def test_shards_hold_exact_and_equal_quotas_of_blocks(documents, monkeypatch):
     assert len(counts) == 6 and max(counts.values()) - min(counts.values()) < 40
 
 
-def test_tree_deals_every_ticket_once(spark):
-    tickets = spark.createDataFrame(
-        [(s, i) for s, n in (("sa", 50), ("sb", 7), ("sc", 1)) for i in range(1, n + 1)],
-        "_key string, _ticket int",
+def test_tree_deals_every_block_once(spark):
+    have = {"sa": 50, "sb": 7, "sc": 1}
+    counts = spark.createDataFrame(list(have.items()), "_key string, _n long")
+    for shards in (1, 2, 5, 8, 58, 150):
+        quotas = mixing._quotas(counts, shards, 0).collect()
+        by_source, by_shard = Counter(), Counter()
+        for row in quotas:
+            assert row._quota > 0 and 0 <= row._low < shards
+            by_source[row._key] += row._quota
+            by_shard[row._low] += row._quota
+        assert by_source == have
+        assert len(by_shard) == min(shards, 58)
+        assert max(by_shard.values()) - min(by_shard[s] for s in range(shards)) <= 2
+    assert mixing._quotas(counts.limit(0), 4, 0).collect() == []
+
+
+@pytest.mark.parametrize("total, marked, drawn", [
+    (10, 4, 5), (7, 7, 3), (9, 0, 4), (6, 5, 6), (40, 13, 20), (3, 1, 0), (5000, 1700, 2500),
+])
+def test_single_draws_have_exact_probabilities(spark, total, marked, drawn):
+    n = 20_000
+    args = [F.lit(x).cast("long") for x in (total, marked, drawn)]
+    got = spark.range(n).select(
+        mixing.hypergeometric(*args, (F.col("id") + 0.5) / n).alias("k")
+    ).groupBy("k").count()
+    counts = {row.k: row["count"] for row in got.collect()}
+    assert sum(counts.values()) == n
+    for k in range(marked + 1):
+        exact = math.comb(marked, k) * math.comb(total - marked, drawn - k) / math.comb(total, drawn) \
+            if k <= drawn and drawn - k <= total - marked else 0
+        assert abs(counts.get(k, 0) - n * exact) <= 2
+
+
+def test_joint_draws_are_multivariate_hypergeometric(spark):
+    n, have = 20_000, {"sa": 3, "sb": 2, "sc": 4}
+    nodes = spark.range(n).select(
+        (F.col("id") * 2).cast("int").alias("_low"), (F.col("id") * 2 + 2).cast("int").alias("_high"),
+        F.array(*[
+            F.struct(F.lit(k).alias("_key"), F.lit(v).cast("long").alias("_n")) for k, v in have.items()
+        ]).alias("_have"),
+    )
+    left = mixing._halves(nodes, 3).where("_low % 2 = 0").collect()
+    found = Counter(
+        tuple({x._key: x._n for x in row._have}.get(key, 0) for key in have) for row in left
     )
-    for shards in (1, 2, 5, 8):
-        leaves = mixing._deal(tickets, shards, 0).collect()
-        assert len(leaves) == 58 and all(r._high == r._low + 1 for r in leaves)
-        sizes = Counter(r._low for r in leaves)
-        assert sorted(sizes) == list(range(shards))
-        assert max(sizes.values()) - min(sizes.values()) <= 2
+    cells = 0
+    for a in range(4):
+        for b in range(3):
+            c = 4 - a - b
+            if not 0 <= c <= 4:
+                assert (a, b, c) not in found
+                continue
+            exact = n * math.comb(3, a) * math.comb(2, b) * math.comb(4, c) / math.comb(9, 4)
+            assert abs(found[a, b, c] - exact) <= 5 * math.sqrt(exact)
+            cells += 1
+    assert cells == len(found) and sum(found.values()) == n
+
+
+def test_no_shard_is_empty(documents):
+    docs = documents(*[(i, "one two", "a" if i % 3 else "b") for i in range(600)])
+    shards = Counter()
+    for row in mixing.mix_report(docs, 400).collect():
+        shards.update(filter(None, row.shards.split(",")))
+    assert len(shards) == 400
+
+
+def test_a_task_may_hold_several_shards(documents, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_TASKS", 2)
+    docs = corpus(documents, {"a": 60, "b": 25, "c": 30})
+    mixed = mixing.mixed_documents(docs, 100)
+    assert mixed.rdd.getNumPartitions() == 2
+    report = mixing.mix_report(docs, 4).agg(F.sum("taken")).first()[0]
+    assert mixed.select(F.sum(mixing.n_words(F.col("text")))).first()[0] == report
 
 
 def test_mixed_rows_follow_the_report(documents, clashing, monkeypatch):
