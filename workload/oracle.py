@@ -712,10 +712,10 @@ FROM snap GROUP BY 1""")
 ORACLE["placed_trends"] = _with([SNAP], _trends("snap"))
 
 
-def _renames(rows: str) -> str:
+def _renames(source: str, rows: str) -> str:
     """Links in the order of edits, each taken unless one of its entities is."""
     return f"""
-WITH RECURSIVE {SNAP.strip()}, named AS ({rows}), dates AS (
+WITH RECURSIVE {source.strip()}, named AS ({rows}), dates AS (
   SELECT snapshot_date AS d, lag(snapshot_date) OVER (ORDER BY snapshot_date) AS before,
          lead(snapshot_date) OVER (ORDER BY snapshot_date) AS after
   FROM (SELECT DISTINCT snapshot_date FROM named)
@@ -750,8 +750,8 @@ SELECT day AS snapshot_date, id_before, id_now, name_before, name_now, edits::IN
 FROM greedy JOIN ordered USING (day, r) WHERE ok"""
 
 
-ORACLE["near_named_suppliers"] = _renames("SELECT snapshot_date, entity_id, entity_name FROM snap")
-ORACLE["renamed_suppliers"] = _renames("""
+ORACLE["near_named_users"] = _renames(EVENTS, "SELECT snapshot_date, entity_id, entity_name FROM snap")
+ORACLE["renamed_suppliers"] = _renames(SNAP, """
   SELECT snapshot_date, CASE WHEN other THEN 'r' || entity_id ELSE entity_id END AS entity_id,
          CASE WHEN NOT other THEN name WHEN k % 4 = 0 THEN substr(name, 2, 9) WHEN k % 4 = 1 THEN name || 'xy'
          WHEN k % 4 = 2 THEN substr(name, 1, 4) || '-' || substr(name, 6, 5) ELSE upper(name) END AS entity_name

@@ -289,9 +289,9 @@ def renamed_suppliers(spark, sf_dir):
     return renamed_entities(_with_new_ids(fx.snapshots(spark, sf_dir)))
 
 
-def near_named_suppliers(spark, sf_dir):
+def near_named_users(spark, sf_dir):
     """Names that differ in a few digits: most dropped ones have many near ones."""
-    return renamed_entities(fx.snapshots(spark, sf_dir), part_names=4)
+    return renamed_entities(fx.daily_events(spark, sf_dir), part_names=4)
 
 
 _streams: dict[tuple[str, str], str] = {}
@@ -321,6 +321,6 @@ QUERIES = {
         correction_history, known_at_load, price_skyline, order_skyline, state_trends,
         presence_spells, spells_incremental, rank_agreement, tied_agreement, event_windows,
         windows_incremental, measured_keys, measured_drift, measured_landing,
-        placed_trends, renamed_suppliers, near_named_suppliers,
+        placed_trends, renamed_suppliers, near_named_users,
     )
 }
