@@ -1,11 +1,14 @@
 """Entities that come back under another id with the same or a similar name.
 
-Names of dropped entities meet names that entered at the same date in blocks of shared
-q-grams. One edit touches ``gram`` q-grams at most, so of two names within ``edits``
-edits one has no more than ``edits * gram`` different q-grams that the other lacks.
-Ordered by frequency, rare ones first, their first ``edits * gram + 1`` therefore share
-one, and only these make blocks. Two names with fewer q-grams meet by what is left of
-them after deleting up to ``edits`` characters. No name within the bound is missed.
+Names of dropped entities meet names that entered at the same date in blocks. Names
+within ``edits`` edits have in common what is left of them after deleting up to ``edits``
+characters, so short names meet by these rests: a block has names near each other only,
+however many there are. A long name has too many rests and meets by shared q-grams. One
+edit touches ``gram`` q-grams at most, so of two names within ``edits`` edits one has no
+more than ``edits * gram`` different q-grams that the other lacks. Ordered by frequency,
+rare ones first, their first ``edits * gram + 1`` therefore share one, and only these make
+blocks; with fewer q-grams, long names meet by their rests too. No name within the bound is
+missed. Names of one edit meet first, and only what they leave over is looked at for more.
 
 A block with many dropped names is dealt to parts. Equal names are one row with a count,
 so many entities of one name make no pairs. Links are one to one: the fewest edits first,
@@ -17,6 +20,8 @@ come first.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
+from math import comb
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +35,9 @@ from fieldrank.roles import DEFAULT_ROLES, Roles
 # Dropped names of a block in one part.
 PART_NAMES = 1_000
 
+# Names with more rests than this are long.
+MOST_RESTS = 300
+
 # Entities of one name that meet their links together.
 CHUNK = 1_000
 
@@ -61,12 +69,13 @@ def renamed_entities(
         come, (gone["_day"] == come["_day"]) & (F.col("_before") == F.col("_now"))
     ).select(gone["_day"], "_before", "_now", F.lit(0).alias("_edits"))
     pieces, left = _settled(materialise(same), left)
-    if edits > 0:
+    # Fewer edits come first, and what they leave over has no pair of fewer edits.
+    for bound in range(1, edits + 1):
         near = near_names(
             _open(left, True, "_name").select("_day", "_name"),
-            _open(left, False, "_name").select("_day", "_name"), edits, gram, part_names,
+            _open(left, False, "_name").select("_day", "_name"), bound, gram, part_names,
         )
-        more, _ = _settled(materialise(near), left)
+        more, left = _settled(materialise(near), left)
         pieces += more
     return _linked(rows, sizes, pieces, roles)
 
@@ -103,6 +112,28 @@ def near_names(
 
 
 def _tokens(names: DataFrame, edits: int, gram: int) -> DataFrame:
+    """The blocks of each name. Two names of which one is short both have their rests,
+    two long ones both have their q-grams."""
+    longest = _longest_short(edits)
+    given = materialise(names, long=F.count_if(F.length("_name") > longest))
+    by_rest = given.df.where(F.length("_name") <= longest + edits).select(
+        "_day", "_gone", "_name", F.explode(_marked_rests(edits)).alias("_token")
+    )
+    if not given.observed["long"]:
+        return by_rest
+    by_gram = _gram_tokens(given.df.where(F.length("_name") > longest), edits, gram)
+    return by_rest.union(by_gram).distinct()
+
+
+def _longest_short(edits: int) -> int:
+    """The length up to which a name has no more than ``MOST_RESTS`` rests."""
+    most = max(edits, 1)
+    return next(
+        n for n in count() if sum(comb(n + 1, k) for k in range(most + 1)) > MOST_RESTS
+    )
+
+
+def _gram_tokens(names: DataFrame, edits: int, gram: int) -> DataFrame:
     needed = edits * gram + 1
     starts = F.sequence(F.lit(1), F.greatest(F.length("_name") - gram + 1, F.lit(1)))
     grams = F.array_distinct(
@@ -115,12 +146,15 @@ def _tokens(names: DataFrame, edits: int, gram: int) -> DataFrame:
         F.slice(rare_first, 1, needed).alias("_first")
     )
     marked = F.transform("_first", lambda g: F.concat(F.lit("g"), g))
-    rests = F.transform(_rests(F.col("_name"), edits), lambda r: F.concat(F.lit("r"), r))
     few = F.size("_first") < needed
-    every = F.when(few, F.concat(marked, rests)).otherwise(marked)
+    every = F.when(few, F.concat(marked, _marked_rests(edits))).otherwise(marked)
     return first.select("_day", "_gone", "_name", F.explode(every).alias("_token"))
 
 
+def _marked_rests(edits: int) -> Column:
+    return F.transform(_rests(F.col("_name"), edits), lambda r: F.concat(F.lit("r"), r))
+
+
 def _rests(name: Column, edits: int) -> Column:
     """What is left of a name after deleting up to so many characters."""
     def without_one(text: Column) -> Column:

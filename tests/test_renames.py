@@ -81,6 +81,31 @@ def test_no_near_name_is_missed(spark, gram):
     }
 
 
+def test_blocks_of_numbered_names_stay_small(spark):
+    """Names that share all their q-grams with many others."""
+    day, n = day_of(1), 4_000
+    names = spark.range(0, 40 * n, 40).select(
+        F.lit(day).alias("_day"), (F.col("id") % 80 == 0).alias("_gone"),
+        F.format_string("user %06d", "id").alias("_name"),
+    )
+    sizes = renames._tokens(names, 2, 2).groupBy("_token").agg(
+        F.count_if("_gone").alias("gone"), F.count_if(~F.col("_gone")).alias("come")
+    )
+    pairs = sizes.agg(F.sum(F.col("gone") * F.col("come")).alias("n")).first().n
+    assert pairs < n * n / 20
+
+
+@pytest.mark.parametrize("size", [0, 8, 300])
+def test_short_and_long_names_meet(spark, monkeypatch, size):
+    monkeypatch.setattr(renames, "MOST_RESTS", size)
+    rng = random.Random(size)
+    words = ["".join(rng.choice("abcd") for _ in range(rng.randint(0, 9))) for _ in range(150)]
+    gone, come = sorted(set(words[::2])), sorted(set(words[1::2]))
+    sides = [spark.createDataFrame([(day_of(1), w) for w in side], "_day date, _name string") for side in (gone, come)]
+    near = {(r._before, r._now): r._edits for r in near_names(*sides, 2, 2, 7).collect()}
+    assert near == {(a, b): e for a in gone for b in come if a != b and (e := distance(a, b)) <= 2}
+
+
 def test_planted_renames_are_found(spark):
     rng = random.Random(5)
     letters = "abcdefghijklmnopqrstuvwxyz"
