@@ -168,6 +168,9 @@ def _with_earlier_files(rows: DataFrame, tables: Tables, chain: Chain) -> DataFr
     if earlier is None:
         return rows
     files = materialise(rows.select("file_path").distinct())
+    others = earlier.select("file_path").distinct()
+    if join_stored(others, files, ["file_path"], "left_anti").isEmpty():
+        return rows  # all of them came again
     kept = join_stored(earlier, files, ["file_path"], "left_anti")
     # The result replaces the dates that it is read from.
     return materialise(merged(kept, rows)).df

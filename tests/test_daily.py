@@ -5,6 +5,7 @@ from test_landing import land, record
 from fieldrank.__main__ import main
 from fieldrank.operators.scoring import leaderboard
 from fieldrank.operators.trends import trends
+from fieldrank.plans import daily
 from fieldrank.plans.daily import Chain, RejectedInput, Tables, run_daily, verification
 from fieldrank.sources import landing, store
 from fieldrank.streaming.ingest import ingest_available
@@ -156,6 +157,20 @@ def test_what_a_load_leaves_out_is_recorded(spark, tmp_path):
     assert rejects(spark, tables) == [("raw_2024-01-01.json", "superseded", 1), *unusable]
 
 
+def test_files_that_all_come_again_are_not_merged(spark, tmp_path, monkeypatch):
+    files, tables = tmp_path / "in", Tables(str(tmp_path / "out"))
+    land(files, 1, day(1), minute=1)
+    land(files, 1, day(1, "cd"), minute=2)
+    land(files, 2, day(2), minute=1)
+    run_daily(spark, str(files), tables, CHAIN)
+    first = as_set(store.read_snapshots(spark, tables.flat))
+    merges = []
+    monkeypatch.setattr(daily, "merged", lambda *sides: merges.append(sides) or store.merged(*sides))
+    run_daily(spark, str(files), tables, CHAIN)
+    assert as_set(store.read_snapshots(spark, tables.flat)) == first and not merges
+    consistent(spark, tables)
+
+
 def test_a_strict_load_writes_nothing(spark, tmp_path):
     bad_landing(tmp_path / "in")
     tables = Tables(str(tmp_path / "out"))

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from fieldrank.contracts import check_contract
 from fieldrank.materialise import materialise
+from fieldrank.operators import trends as trends_module
 from fieldrank.operators.trends import trends, trends_after
+from fieldrank.roles import DEFAULT_ROLES
 
 
 def test_previous_is_the_entitys_own_last_row(snapshot_rows):
@@ -68,6 +70,67 @@ def test_incremental_equals_full(snapshot_rows, reloaded, lookback):
     assert as_set(replaced(current, changed)) == as_set(trends(new))
 
 
+def rows_written(make):
+    """What ``make`` returns, and the rows it wrote for itself."""
+    sizes = []
+    write = trends_module.materialise
+
+    def counted(df, *args, **options):
+        stored = write(df, *args, **options)
+        sizes.append(stored.rows)
+        return stored
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(trends_module, "materialise", counted)
+        return make(), sum(sizes)
+
+
+def test_a_reload_of_all_dates_looks_for_no_neighbours(snapshot_rows):
+    days = range(1, 400, 40)
+    rows = history(snapshot_rows, 7, days)
+    current = materialise(trends(rows)).df
+    found, written = rows_written(lambda: trends_after(rows, current, [*map(day_of, days)]))
+    assert as_set(found) == as_set(trends(rows)) and written == 0
+
+
+@pytest.mark.parametrize("side", [-1, 1])
+def test_rows_and_changed_dates_meet_in_a_window(snapshot_rows, side):
+    days = range(1, 120, 10)
+    rows = history(snapshot_rows, 8, days)
+    pairs = rows.select("entity_id", F.col("snapshot_date").alias("_changed"))
+    beside = trends_module._beside(rows, pairs, DEFAULT_ROLES, side)
+    plan = beside._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" in plan
+    seen = {(r.entity_id, r._changed): r.snapshot_date for r in beside.collect()}
+    dates = {}
+    for row in rows.collect():
+        dates.setdefault(row.entity_id, []).append(row.snapshot_date)
+    want = {}
+    for entity, own in dates.items():
+        for at in own:
+            others = [d for d in own if (d < at if side < 0 else d > at)]
+            if others:
+                want[entity, at] = max(others) if side < 0 else min(others)
+    assert seen == want
+
+
+def test_a_correction_reads_the_next_date_not_the_whole_history(snapshot_rows, monkeypatch):
+    days = [*range(1, 400, 40)]
+    rows = history(snapshot_rows, 9, days, presence=1.0)
+    read = []
+    beside = trends_module._beside
+
+    def seen(near, *args):
+        read.append(near.select("snapshot_date").distinct().count())
+        return beside(near, *args)
+
+    monkeypatch.setattr(trends_module, "_beside", seen)
+    current = materialise(trends(rows)).df
+    changed = trends_after(rows, current, [day_of(days[5])])
+    assert as_set(replaced(current, changed)) == as_set(trends(rows))
+    assert read == [1, 1]
+
+
 def test_append_touches_only_its_date(snapshot_rows):
     old = history(snapshot_rows, 4, range(1, 6))
     new = old.unionByName(history(snapshot_rows, 5, [6]))
