@@ -116,7 +116,7 @@ def load_envelopes(envelopes: DataFrame, tables: Tables, chain: Chain) -> Load:
     if chain.on_reject not in ("record", "fail"):
         raise ValueError(f"on_reject must be 'record' or 'fail', not {chain.on_reject!r}")
     stamp = F.xxhash64("file_path", "file_time").cast("decimal(38,0)")
-    stored = materialise(envelopes, digest=F.sum(stamp))
+    stored = materialise(envelopes, codec="zstd", digest=F.sum(stamp))
     envelopes = stored.df  # the files are parsed once
     name = f"{stored.rows} {stored.observed['digest']}".encode()
     load_id = f"load-{hashlib.sha256(name).hexdigest()[:32]}"

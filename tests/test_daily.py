@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from conftest import as_dicts, as_set, day_of
 from test_landing import land, record
@@ -171,6 +173,24 @@ def test_files_that_all_come_again_are_not_merged(spark, tmp_path, monkeypatch):
     consistent(spark, tables)
 
 
+def test_envelopes_are_kept_compressed(spark, tmp_path, monkeypatch):
+    """Also those of compressed lines, as the queries land them."""
+    files, tables = tmp_path / "in", Tables(str(tmp_path / "out"))
+    envelope = json.dumps({"data": day(1)})
+    lines = spark.createDataFrame([(envelope, day_of(1))], "value string, snapshot_date date")
+    lines.write.partitionBy("snapshot_date").text(str(files), compression="gzip")
+    codecs = []
+    write = daily.materialise
+
+    def noted(df, codec=None, **observed):
+        codecs.append(codec)
+        return write(df, codec, **observed)
+
+    monkeypatch.setattr(daily, "materialise", noted)
+    assert run_daily(spark, str(files), tables, CHAIN, multi_line=False).rows == 3
+    assert codecs[0] == "zstd"
+
+
 def test_a_strict_load_writes_nothing(spark, tmp_path):
     bad_landing(tmp_path / "in")
     tables = Tables(str(tmp_path / "out"))

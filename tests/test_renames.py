@@ -93,7 +93,7 @@ def test_blocks_of_numbered_names_grow_with_the_names(spark):
         )
         return sizes.agg(F.sum(F.col("gone") * F.col("come")).alias("n")).first().n
 
-    assert pairs(4_000) < 9 * pairs(1_000)
+    assert pairs(4_000) < 8 * pairs(1_000)
 
 
 @pytest.mark.parametrize("size", [0, 8, 300])

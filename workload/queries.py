@@ -646,7 +646,9 @@ def _stream_with_correction(spark, sf_dir) -> Tables:
     fix = F.regexp_replace("value", r'"index":[0-9.]+', '"index":1.0')
     chain = Chain(landing.record_rules("index"), keys=["index"], exact_cuts=True)
     for batch in (lines, lines.where(changed).withColumn("value", fix)):
-        batch.drop("entity_id").write.mode("append").partitionBy("snapshot_date").text(path)
+        batch.drop("entity_id").write.mode("append").partitionBy("snapshot_date").text(
+            path, compression="gzip"
+        )
         ingest_available(spark, path, tables, chain, f"{tables.root}/_stream", multi_line=False)
     return tables
 
