@@ -99,3 +99,37 @@ def test_more_than_64_bits_in_a_pair():
     known = collocations._Frequent(first, last, np.array([7, 8, 9]))
     found = known.find(np.array([1, 5, 5, 2]) << 59, np.array([3, 3, 1, 1]) << 59)
     assert found.tolist() == [8, 9, -1, -1]
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_python_gets_and_gives_short_batches(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(collocations, "BATCH_BYTES", 20_000, raising=False)
+    frame, rows = type(spark.range(0)), 1 << 15
+    whole = frame.mapInArrow
+
+    def checked(df, function, schema):
+        def run(batches):
+            def given():
+                for batch in batches:
+                    assert batch.num_rows == 1 or batch.slice(0, batch.num_rows - 1).nbytes <= 20_000, "large"
+                    yield batch
+
+            for batch in function(given()):
+                assert batch.num_rows <= rows, "long"
+                yield batch
+
+        return whole(df, run, schema)
+
+    monkeypatch.setattr(frame, "mapInArrow", checked)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    rng = random.Random(5)
+    docs = [(" ".join(f"w{rng.randrange(300)}" for _ in range(5_000)), "en") for _ in range(40)]
+    expected = brute(docs, least=3)
+    assert mined(spark, docs, least=3, broadcast=broadcast, block_words=45_000) == expected and expected
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
+def test_words_of_one_spelling_in_several_languages(spark):
+    docs = [("a\x00b c " * 20, "x"), ("c " * 20, "x\ta\x00b"), ("b c " * 20, "x\ta"), ("ä\x1f c " * 9, None)]
+    for broadcast in (True, False):
+        assert mined(spark, docs, least=5, broadcast=broadcast) == brute(docs, least=5) != []
